@@ -38,15 +38,25 @@ def pivot_monthly(stg: DataFrame) -> DataFrame:
 
 
 def macro_wide(stg: DataFrame) -> DataFrame:
-    """Spine + daily pivot on date + monthly pivot on month, and the
-    month-to-date running sum of the daily CDI (plain sum)."""
-    spine = date_spine(stg).withColumn("month", F.trunc("obs_date", "MM"))
-    w = (Window.partitionBy("month").orderBy("obs_date")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = (spine.join(pivot_daily(stg), "obs_date", "left")
-              .join(pivot_monthly(stg), "month", "left"))
-    return j.select("obs_date", *[o for _, o in DAILY_PIVOT], *[o for _, o in MONTHLY_PIVOT],
-                    F.sum("cdi_daily").over(w).alias("cdi_mtd_sum"))
+    """The date spine with the daily pivot of its date, the monthly
+    pivot of its month, and the month-to-date running sum of the daily CDI
+    (plain sum).
+
+    Same result as the model's spine + two pivots + two joins, in one
+    aggregate by date and one window by month: every monthly observation's
+    date is itself a spine date, so the month's maximum over spine dates
+    equals the monthly pivot.
+    """
+    daily, monthly = F.col("frequency") == "diario", F.col("frequency") == "mensal"
+    v, s = F.col("value"), F.col("series")
+    day = stg.groupBy("obs_date").agg(
+        *[F.max(F.when(daily & (s == name), v)).alias(o) for name, o in DAILY_PIVOT],
+        *[F.max(F.when(monthly & (s == name), v)).alias("m_" + o) for name, o in MONTHLY_PIVOT])
+    wm = Window.partitionBy(F.trunc("obs_date", "MM"))
+    run = wm.orderBy("obs_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return day.select("obs_date", *[o for _, o in DAILY_PIVOT],
+                      *[F.max("m_" + o).over(wm).alias(o) for _, o in MONTHLY_PIVOT],
+                      F.sum("cdi_daily").over(run).alias("cdi_mtd_sum"))
 
 
 def macro_ffill(stg: DataFrame) -> DataFrame:

@@ -133,22 +133,26 @@ def correlation_matrix(mart: DataFrame, year: int | None = None) -> DataFrame:
 
     Symbols are those that appear in a pair that year; the diagonal is 1,
     a pair's value is mirrored, and a pair absent from the mart is 0. The
-    matrix is the output itself, so its size is the square of the symbols
-    of one year.
+    mart is read once: one explode emits both orientations and the diagonal
+    entry of each side. The matrix is the output itself, so its size is
+    the square of the symbols of one year.
     """
-    if year is None:
-        y = F.lit(mart.select(F.max("year")).scalar())
-    else:
-        y = F.lit(year)
-    m = mart.where(F.col("year") == y).select("symbol_a", "symbol_b", "year", "correlation")
-    syms = (m.select(F.col("symbol_a").alias("s"), "year")
-             .union(m.select(F.col("symbol_b").alias("s"), "year")).distinct())
-    both = (m.union(m.select(F.col("symbol_b").alias("symbol_a"),
-                             F.col("symbol_a").alias("symbol_b"), "year", "correlation"))
-             .withColumn("present", F.lit(True)))
-    grid = (syms.select(F.col("s").alias("symbol_a"), "year")
-                .join(syms.select(F.col("s").alias("symbol_b"), "year"), "year"))
-    g = grid.join(both, ["symbol_a", "symbol_b", "year"], "left")
-    val = (F.when(F.col("symbol_a") == F.col("symbol_b"), F.lit(1.0))
-            .when(F.col("present"), F.col("correlation")).otherwise(F.lit(0.0)))
+    y = F.lit(year) if year is not None else mart.select(F.max("year")).scalar()
+    m = mart.where(F.col("year") == y)
+    e = m.select("year", F.explode(F.array(
+        F.struct(F.col("symbol_a").alias("a"), F.col("symbol_b").alias("b"),
+                 F.col("correlation").alias("c")),
+        F.struct(F.col("symbol_b").alias("a"), F.col("symbol_a").alias("b"),
+                 F.col("correlation").alias("c")),
+        F.struct(F.col("symbol_a").alias("a"), F.col("symbol_a").alias("b"),
+                 F.lit(1.0).alias("c")),
+        F.struct(F.col("symbol_b").alias("a"), F.col("symbol_b").alias("b"),
+                 F.lit(1.0).alias("c")))).alias("p"))
+    cells = (e.select("year", F.col("p.a").alias("symbol_a"), F.col("p.b").alias("symbol_b"),
+                      F.col("p.c").alias("c"))
+              .groupBy("year", "symbol_a", "symbol_b").agg(F.first("c").alias("c")))
+    syms = cells.where(F.col("symbol_a") == F.col("symbol_b")).select("year", "symbol_a")
+    grid = syms.join(syms.withColumnRenamed("symbol_a", "symbol_b"), "year")
+    g = grid.join(cells.withColumn("present", F.lit(True)), ["year", "symbol_a", "symbol_b"], "left")
+    val = F.when(F.col("present"), F.col("c")).otherwise(F.lit(0.0))
     return g.select("year", "symbol_a", "symbol_b", val.alias("correlation"))

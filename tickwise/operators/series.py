@@ -73,16 +73,21 @@ def ytd_return_col():
 
 
 def with_benchmark(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """D1 joined on: bench_return, bench_level and a has_bench flag per row.
+    """D1 attached to every row: bench_return, bench_level and has_bench
+    (the benchmark has a bar that day).
 
-    The benchmark side holds one row per trading day (key (symbol, date) is
-    unique), so it grows with the calendar, not with the data; the join is
-    left to AQE, which broadcasts it after measuring it and otherwise keeps
-    a shuffled join.
+    A window over the date instead of a join to a filtered copy of the
+    returns: the copy would be a second branch of the plan, re-reading the
+    raw input, because Catalyst pushes the benchmark filter below the
+    shared aggregate. A date holds at most one row per symbol.
     """
-    b = benchmark_series(returns, params)
-    return (returns.join(b, "trade_date", "left")
-                   .withColumn("has_bench", F.col("bench_level").isNotNull()))
+    wd = Window.partitionBy("trade_date")
+    is_b = F.col("symbol") == params.benchmark
+    return returns.select(
+        "*",
+        F.max(F.when(is_b, F.col("simple_return"))).over(wd).alias("bench_return"),
+        F.max(F.when(is_b, F.col("adj_close").cast("double"))).over(wd).alias("bench_level"),
+        F.coalesce(F.max(is_b).over(wd), F.lit(False)).alias("has_bench"))
 
 
 def benchmark_series(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -113,3 +118,57 @@ def drawdown_col(peak="running_peak"):
     column (the model repeats the window three times; one is enough)."""
     a, p = F.col("adj_close").cast("double"), F.col(peak).cast("double")
     return rnd(safe_div(a - p, p), 6)
+
+
+def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Beta with the denominator exactly as the model writes it: var_pop of
+    the benchmark return over the trailing ``beta_window`` rows of *all*
+    matched rows ordered by (date, symbol), not per symbol (Q1; the symbol
+    tie-break makes it deterministic). The numerator stays per symbol.
+
+    A window without partition would move every row into one task. Instead:
+    rows are numbered globally as k = rows on earlier dates + rank within
+    the date; sums of 1, b and b^2 up to any k come from date-level prefix
+    sums (one row per date, so the only unpartitioned window is over the
+    calendar) plus the within-date offset; the frame sum is P(k) - P(k-w),
+    with P(k-w) fetched by an equi-join on the position. A frame inside a
+    single date has constant b, where the window gives exactly 0 and hence
+    NULL; the difference form would leave a residue, so it is set NULL.
+    """
+    w = params.beta_window
+    x = (with_benchmark(returns, params)
+         .where(F.col("has_bench") & (F.col("symbol") != params.benchmark))
+         .select("symbol", "trade_date", "simple_return", "bench_return",
+                 F.covar_pop("simple_return", "bench_return").over(trailing(w)).alias("cov")))
+    b = F.col("bench_return")
+    ind = F.when(b.isNotNull(), 1).otherwise(0)
+    day = x.groupBy("trade_date").agg(F.count(F.lit(1)).alias("c"), F.max(b).alias("b"))
+    wd = Window.orderBy("trade_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c, bb = F.col("c"), F.col("b")
+    vi = F.when(bb.isNotNull(), 1).otherwise(0)
+    b0 = F.coalesce(bb, F.lit(0.0))
+    day = day.select(
+        "trade_date", "c", "b",
+        (F.sum(c).over(wd) - c).alias("c_prev"),
+        (F.sum(c * vi).over(wd) - c * vi).alias("n_prev"),
+        (F.sum(c * b0).over(wd) - c * b0).alias("s1_prev"),
+        (F.sum(c * b0 * b0).over(wd) - c * b0 * b0).alias("s2_prev"))
+    j = F.row_number().over(Window.partitionBy("trade_date").orderBy("symbol"))
+    rows = x.join(day.drop("b"), "trade_date").withColumn("j", j)
+    ji = F.col("j")
+    rows = rows.select(
+        "symbol", "trade_date", "cov", "c_prev",
+        (F.col("c_prev") + ji).alias("k"),
+        (F.col("n_prev") + ji * ind).alias("pn"),
+        (F.col("s1_prev") + ji * F.coalesce(b, F.lit(0.0))).alias("p1"),
+        (F.col("s2_prev") + ji * F.coalesce(b, F.lit(0.0)) * F.coalesce(b, F.lit(0.0))).alias("p2"))
+    back = rows.select((F.col("k") + w).alias("k"), F.col("pn").alias("qn"),
+                       F.col("p1").alias("q1"), F.col("p2").alias("q2"))
+    y = rows.join(back, "k", "left")
+    n = (F.col("pn") - F.coalesce(F.col("qn"), F.lit(0))).cast("double")
+    s1 = F.col("p1") - F.coalesce(F.col("q1"), F.lit(0.0))
+    s2 = F.col("p2") - F.coalesce(F.col("q2"), F.lit(0.0))
+    var = F.when(n > 0, s2 / n - (s1 / n) * (s1 / n))
+    single_date = F.greatest(F.col("k") - w, F.lit(0)) >= F.col("c_prev")
+    beta = F.when(~single_date, rnd(safe_div(F.col("cov"), var), 4))
+    return y.select("symbol", "trade_date", beta.alias("beta"))

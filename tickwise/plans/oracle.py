@@ -246,6 +246,9 @@ def build(final_sql: str, extra_deps: list[str] | None = None) -> str:
     if not order:
         return final_sql
     body = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    head = final_sql.lstrip()
+    if head[:4].upper() == "WITH":
+        return f"WITH {body},\n{head[4:].lstrip()}"
     return f"WITH {body}\n{final_sql}"
 
 
@@ -331,3 +334,9 @@ cte("correlation_mart", ["pair_corr"], f"""
     correlation, {CORR_CASE.format(v='correlation')} AS corr_class,
     {DIV_CASE.format(v='correlation')} AS diversification
   FROM pair_corr""")
+
+cte("beta_global", ["ret_b"], f"""
+  SELECT symbol, trade_date,
+    {R(f'covar_pop(simple_return, bench_return) OVER ({W_SYM} {_rows(BETAW)}) / '
+       f'nullif(var_pop(bench_return) OVER (ORDER BY trade_date, symbol {_rows(BETAW)}), 0)', 4)} AS beta
+  FROM ret_b WHERE has_bench AND symbol <> {q(BENCH)}""")

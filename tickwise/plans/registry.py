@@ -314,3 +314,74 @@ def q_div_class(m: Models):
 @register("correlation_mart", "SELECT * FROM correlation_mart")
 def q_corr_mart(m: Models):
     return m.correlation_mart
+
+
+@register("rolling_beta_global_denominator", "SELECT * FROM beta_global")
+def q_beta_global(m: Models):
+    return S.rolling_beta_global_denominator(m.returns, m.params)
+
+
+# ---- macros and reports ------------------------------------------------------------------
+PERIOD = ("1996-03-15", "1999-06-30")
+
+
+@register("period_return", f"""
+  SELECT symbol, {O.R('exp(sum(log_return)) - 1', 8)} AS period_return FROM price_fact
+  WHERE trade_date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' AND log_return IS NOT NULL
+  GROUP BY symbol""")
+def q_period_return(m: Models):
+    return Rp.period_return(m.fact, *PERIOD)
+
+
+@register("session_gaps", """
+  SELECT * FROM (
+    SELECT symbol, trade_date AS curr_date, lag(trade_date) OVER (PARTITION BY symbol ORDER BY trade_date) AS prev_date,
+      CAST(datediff('day', lag(trade_date) OVER (PARTITION BY symbol ORDER BY trade_date), trade_date) AS INTEGER) AS gap_days
+    FROM stg_bars) t
+  WHERE gap_days > 10 AND dayofweek(prev_date) NOT IN (5, 6)""")
+def q_session_gaps(m: Models):
+    return Rp.session_gaps(m.stg_bars)
+
+
+@register("asset_overview", "SELECT symbol, name, sector, kind, last_price, ytd_return, current_vol, "
+                            "current_beta, risk_profile FROM asset_dim")
+def q_overview(m: Models):
+    return Rp.asset_overview(m.asset_dim)
+
+
+@register("base100_prices", f"""
+  SELECT f.symbol, f.trade_date, f.adj_close, {O.R('f.adj_close / b.base_price * 100', 6)} AS base100
+  FROM fact_nb f LEFT JOIN (
+    SELECT symbol, adj_close AS base_price FROM fact_nb
+    WHERE trade_date = (SELECT min(trade_date) FROM fact_nb)) b ON b.symbol = f.symbol""")
+def q_base100(m: Models):
+    return Rp.base100_prices(m.fact, m.params)
+
+
+@register("correlation_matrix", """
+  WITH y AS (SELECT max(year) AS year FROM correlation_mart),
+  m AS (SELECT c.symbol_a, c.symbol_b, c.year, c.correlation FROM correlation_mart c JOIN y USING (year)),
+  s AS (SELECT DISTINCT symbol_a AS s, year FROM m UNION SELECT DISTINCT symbol_b, year FROM m),
+  b AS (SELECT symbol_a, symbol_b, correlation FROM m UNION ALL SELECT symbol_b, symbol_a, correlation FROM m)
+  SELECT sa.year, sa.s AS symbol_a, sb.s AS symbol_b,
+    CASE WHEN sa.s = sb.s THEN 1.0 WHEN b.symbol_a IS NOT NULL THEN b.correlation ELSE 0.0 END AS correlation
+  FROM s sa JOIN s sb ON sa.year = sb.year
+  LEFT JOIN b ON b.symbol_a = sa.s AND b.symbol_b = sb.s""")
+def q_corr_matrix(m: Models):
+    return P.correlation_matrix(m.correlation_mart)
+
+
+@register("top_sharpe", """
+  SELECT symbol, year, annual_return_pct, volatility_pct, sharpe, max_drawdown_pct, win_rate_pct,
+    var_95_pct, CASE WHEN sharpe IS NOT NULL THEN greatest(sharpe, 0.0) * 200 + 50 END AS marker_size
+  FROM risk_mart WHERE year = (SELECT max(year) FROM risk_mart)
+  ORDER BY sharpe DESC NULLS FIRST, symbol LIMIT 5""")
+def q_top_sharpe(m: Models):
+    return Rp.top_sharpe(m.risk_mart)
+
+
+@register("macro_history", """
+  SELECT obs_date, series, CAST(value AS DOUBLE) AS value FROM stg_macro
+  WHERE series IN ('selic_meta', 'ipca', 'usd_brl', 'cdi') AND frequency IN ('diario', 'mensal')""")
+def q_macro_history(m: Models):
+    return Rp.macro_history(m.stg_macro)

@@ -7,9 +7,9 @@ same doubles.
 
 Plan shape at scale: ``lineitem`` is scanned once and joined to ``part``;
 a single partial aggregation by (symbol, day) shrinks it to one row per
-symbol and day before the only large shuffle. The benchmark bar is then
-re-aggregated from those per-symbol partials (sum, count, min/max structs
-are all decomposable), so ``lineitem`` is not read a second time.
+symbol and day before the only large shuffle. The benchmark bar is
+computed by a second grouping set of the same aggregation, so
+``lineitem`` is not read a second time.
 """
 
 from __future__ import annotations
@@ -44,8 +44,15 @@ def _rounded_mean_micro(sum_col, n_col):
     return _int_div_micro(s * 200 + n, n * 2)
 
 
-def _bar_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (symbol, day) partial aggregates; symbol NULL for unmatched parts."""
+def raw_bars(spark: SparkSession, sf_dir: str, params: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Raw daily bars: symbol, trade_date, open, high, low, close, adj_close,
+    volume, source. 25 brand symbols plus the benchmark over all line items.
+
+    One scan of ``lineitem``, one join to ``part`` and one aggregation with
+    grouping sets ((symbol, day), (day)): the second set is the benchmark,
+    so the large input is read once and shuffled once, after the map-side
+    partial aggregation has reduced it to one row per group.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate")
@@ -54,22 +61,23 @@ def _bar_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = (F.round(F.col("l_extendedprice") * 100).cast("long")
          * F.round((1 - F.col("l_discount")) * 100).cast("long"))
     tup = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return (j.select(
-                F.regexp_replace(F.upper("p_brand"), "#", "").alias("symbol"),
-                F.col("l_shipdate").cast("date").alias("trade_date"),
-                x.alias("x"), tup.alias("tup"),
-                F.col("l_quantity").cast("long").alias("qty"),
-                F.col("l_extendedprice").alias("price"))
-             .groupBy("symbol", "trade_date")
+    rows = j.select(
+        F.regexp_replace(F.upper("p_brand"), "#", "").alias("symbol"),
+        F.col("l_shipdate").cast("date").alias("trade_date"),
+        x.alias("x"), tup.alias("tup"),
+        F.col("l_quantity").cast("long").alias("qty"),
+        F.col("l_extendedprice").alias("price"))
+    g = (rows.groupingSets([["symbol", "trade_date"], ["trade_date"]], "symbol", "trade_date")
              .agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n"),
                   F.sum("qty").alias("qty"), F.max("price").alias("high"),
                   F.min("price").alias("low"), F.min("tup").alias("first_t"),
-                  F.max("tup").alias("last_t")))
-
-
-def _finish_bars(p: DataFrame) -> DataFrame:
-    return p.select(
-        "symbol", "trade_date",
+                  F.max("tup").alias("last_t"), F.grouping_id().alias("gid")))
+    # gid 0: one symbol (unmatched parts give a NULL symbol and are dropped);
+    # gid 2: every line item of the day, i.e. the benchmark.
+    g = g.where((F.col("gid") == 2) | F.col("symbol").isNotNull())
+    return g.select(
+        F.when(F.col("gid") == 2, F.lit(params.benchmark)).otherwise(F.col("symbol")).alias("symbol"),
+        "trade_date",
         F.col("first_t.l_extendedprice").alias("open"),
         "high", "low",
         F.col("last_t.l_extendedprice").alias("close"),
@@ -78,20 +86,6 @@ def _finish_bars(p: DataFrame) -> DataFrame:
         F.lit("yahoo_finance").alias("source"))
 
 
-def raw_bars(spark: SparkSession, sf_dir: str, params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Raw daily bars: symbol, trade_date, open, high, low, close, adj_close,
-    volume, source. 25 brand symbols plus the benchmark over all line items."""
-    p = _bar_partials(spark, sf_dir)
-    sym = p.where(F.col("symbol").isNotNull())
-    bench = (p.groupBy("trade_date")
-              .agg(F.sum("sum_x").alias("sum_x"), F.sum("n").alias("n"),
-                   F.sum("qty").alias("qty"), F.max("high").alias("high"),
-                   F.min("low").alias("low"), F.min("first_t").alias("first_t"),
-                   F.max("last_t").alias("last_t"))
-              .withColumn("symbol", F.lit(params.benchmark)))
-    return _finish_bars(sym).unionByName(_finish_bars(bench))
-
-
 # Which orders feed which macro series, the date grain and the
 # divisor q (FIXTURES.md §2, "Macro").
 PRIORITY_SERIES = [
