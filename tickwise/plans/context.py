@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.operators import assets as A, fact as Fa, macro as Mc, pairs as P
+from tickwise.functions.num import surrogate_key
 from tickwise.operators import risk as R, series as S, staging as St
 from tickwise.params import DEFAULT_PARAMS, Params
 from tickwise.sources import testdata as Td
@@ -70,3 +71,19 @@ class Models:
     @cached_property
     def correlation_mart(self) -> DataFrame:
         return P.correlation_mart(self.fact, self.params)
+
+    def test_tables(self) -> dict[str, DataFrame]:
+        """Every model the declarative tests run on, raw tables with their key."""
+        return {
+            "raw_bars": self.raw_bars.withColumn("id", surrogate_key("symbol", "trade_date")),
+            "raw_macro": self.raw_macro.withColumn("id", surrogate_key("obs_date", "series")),
+            "raw_assets": self.raw_assets.withColumn("id", surrogate_key("symbol")),
+            "stg_bars": self.stg_bars, "stg_macro": self.stg_macro,
+            "stg_assets": self.stg_assets, "daily_returns": self.returns,
+            "macro_wide": self.macro_wide, "price_fact": self.fact,
+            "asset_dim": self.asset_dim, "risk_mart": self.risk_mart,
+            "correlation_mart": self.correlation_mart,
+        }
+
+    def suite_tables(self) -> dict[str, DataFrame]:
+        return {"suite_bars": self.raw_bars, "suite_macro": self.raw_macro}

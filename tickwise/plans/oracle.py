@@ -340,3 +340,110 @@ cte("beta_global", ["ret_b"], f"""
     {R(f'covar_pop(simple_return, bench_return) OVER ({W_SYM} {_rows(BETAW)}) / '
        f'nullif(var_pop(bench_return) OVER (ORDER BY trade_date, symbol {_rows(BETAW)}), 0)', 4)} AS beta
   FROM ret_b WHERE has_bench AND symbol <> {q(BENCH)}""")
+
+
+# ---- data quality ---------------------------------------------------------------------------
+cte("raw_bars_t", ["raw_bars"], f"SELECT {md5key('symbol', 'trade_date')} AS id, * FROM raw_bars")
+cte("raw_macro_t", ["raw_macro"], f"SELECT {md5key('obs_date', 'series')} AS id, * FROM raw_macro")
+cte("raw_assets_t", ["raw_assets"], f"SELECT {md5key('symbol')} AS id, * FROM raw_assets")
+
+TEST_TABLES = {"raw_bars": "raw_bars_t", "raw_macro": "raw_macro_t", "raw_assets": "raw_assets_t",
+               "stg_bars": "stg_bars", "stg_macro": "stg_macro", "stg_assets": "stg_assets",
+               "daily_returns": "returns", "macro_wide": "macro_wide", "price_fact": "price_fact",
+               "asset_dim": "asset_dim", "risk_mart": "risk_mart",
+               "correlation_mart": "correlation_mart"}
+
+
+def _test_count_sql(t) -> str:
+    tb, c = TEST_TABLES[t.model], t.column
+    if t.kind == "not_null":
+        return f"SELECT count(*) FROM {tb} WHERE {c} IS NULL"
+    if t.kind == "expression":
+        w = f"({t.where}) AND " if t.where else ""
+        return f"SELECT count(*) FROM {tb} WHERE {w}NOT ({c} {t.expr})"
+    if t.kind == "unique":
+        return (f"SELECT count(*) FROM (SELECT {c} FROM {tb} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1) d")
+    return (f"SELECT count(*) FROM (SELECT DISTINCT {c} FROM {tb} WHERE {c} IS NOT NULL "
+            f"AND {c} NOT IN ({inlist(t.values)})) d")
+
+
+def tests_sql(tests) -> str:
+    rows = [f"SELECT {q(t.test_id)} AS test_id, {q(t.model)} AS model, {q(t.kind)} AS kind, "
+            f"{q(t.column)} AS column_name, CAST(({_test_count_sql(t)}) AS BIGINT) AS failures"
+            for t in tests]
+    return "SELECT *, failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(rows) + "\n) t"
+
+
+EXP_TABLES = {"suite_bars": "raw_bars", "suite_macro": "raw_macro"}
+
+
+def _lit(v) -> str:
+    return "NULL" if v is None else repr(v) if not isinstance(v, str) else q(v)
+
+
+def _bounds_sql(c, lo, hi) -> str:
+    parts = []
+    if lo is not None:
+        parts.append(f"{c} >= {lo}")
+    if hi is not None:
+        parts.append(f"{c} <= {hi}")
+    return " AND ".join(parts) or "true"
+
+
+def _mostly_sql(el, un, mostly) -> str:
+    m = 1.0 if mostly is None else float(mostly)
+    return (f"({el} = 0 OR (CAST({el} AS DOUBLE) - CAST({un} AS DOUBLE)) / "
+            f"CAST({el} AS DOUBLE) >= {m})")
+
+
+def expectation_sql(e, idx: int) -> str:
+    tb = EXP_TABLES[e.suite]
+    t = e.etype
+    cond = e.kw("row_condition") or "true"
+    c = e.column
+    colname = e.column or ",".join(e.kw("column_list") or [e.kw("column_A") or "", e.kw("column_B") or ""])
+    head = (f"SELECT {q(e.suite)} AS suite, {idx} AS expectation_idx, {q(t)} AS expectation_type, "
+            f"{q(colname)} AS column_name, ")
+    if t == "expect_table_row_count_to_be_between":
+        inner = f"SELECT count(*) AS el, CAST(NULL AS BIGINT) AS un, CAST(count(*) AS DOUBLE) AS obs FROM {tb}"
+        succ = f"coalesce({_bounds_sql('obs', e.kw('min_value'), e.kw('max_value'))}, false)"
+    elif t == "expect_column_stdev_to_be_between":
+        inner = (f"SELECT count({c}) AS el, CAST(NULL AS BIGINT) AS un, {R(f'stddev_samp({c})', 6)} AS obs "
+                 f"FROM {tb}")
+        succ = f"coalesce({_bounds_sql('obs', e.kw('min_value'), e.kw('max_value'))}, false)"
+    elif t == "expect_compound_columns_to_be_unique":
+        cols = e.kw("column_list")
+        keep = " OR ".join(f"{x} IS NOT NULL" for x in cols)
+        inner = (f"SELECT coalesce(sum(n), 0) AS el, coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS un, "
+                 f"CAST(NULL AS DOUBLE) AS obs FROM (SELECT count(*) AS n FROM {tb} WHERE {keep} "
+                 f"GROUP BY {', '.join(cols)}) g")
+        succ = _mostly_sql("el", "un", e.kw("mostly"))
+    else:
+        if t == "expect_column_values_to_not_be_null":
+            el, bad = f"({cond})", f"{c} IS NULL"
+        elif t == "expect_column_pair_values_a_to_be_greater_than_b":
+            a, b = e.kw("column_A"), e.kw("column_B")
+            op = ">=" if e.kw("or_equal") else ">"
+            el = f"({cond}) AND NOT ({a} IS NULL AND {b} IS NULL)"
+            bad = f"NOT coalesce({a} {op} {b}, false)"
+        else:
+            el = f"({cond}) AND {c} IS NOT NULL"
+            if t == "expect_column_values_to_be_between":
+                bad = f"NOT ({_bounds_sql(c, e.kw('min_value'), e.kw('max_value'))})"
+            elif t == "expect_column_values_to_be_in_set":
+                bad = f"{c} NOT IN ({inlist(e.kw('value_set'))})"
+            elif t == "expect_column_values_to_match_regex":
+                bad = f"NOT regexp_matches({c}, {q(e.kw('regex'))})"
+            else:   # dateutil parseable: the column is a DATE
+                bad = "false"
+        inner = (f"SELECT count(*) FILTER (WHERE {el}) AS el, "
+                 f"count(*) FILTER (WHERE ({el}) AND ({bad})) AS un, CAST(NULL AS DOUBLE) AS obs FROM {tb}")
+        succ = _mostly_sql("el", "un", e.kw("mostly"))
+    return (f"{head}CAST(el AS BIGINT) AS element_count, CAST(un AS BIGINT) AS unexpected_count, "
+            f"CAST(obs AS DOUBLE) AS observed_value, {succ} AS success FROM ({inner}) x")
+
+
+def expectations_sql(exps, all_exps) -> str:
+    idx = {id(e): i for i, e in enumerate(all_exps)}
+    return "\nUNION ALL\n".join(expectation_sql(e, idx[id(e)]) for e in exps)

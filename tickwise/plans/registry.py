@@ -385,3 +385,49 @@ def q_top_sharpe(m: Models):
   WHERE series IN ('selic_meta', 'ipca', 'usd_brl', 'cdi') AND frequency IN ('diario', 'mensal')""")
 def q_macro_history(m: Models):
     return Rp.macro_history(m.stg_macro)
+
+
+# ---- data quality --------------------------------------------------------------------------------
+from tickwise.operators import quality as Qy  # noqa: E402
+
+
+def _tests(kind: str | None):
+    ts = [t for t in Qy.DATA_TESTS if kind is None or t.kind == kind]
+
+    def fn(m: Models):
+        tables = m.test_tables()
+        return Qy.run_tests({k: tables[k] for k in {t.model for t in ts}}, ts)
+    return ts, fn
+
+
+for _key, _kind in [("check_unique", "unique"), ("check_not_null", "not_null"),
+                    ("check_accepted_values", "accepted_values"),
+                    ("check_expression", "expression"), ("data_tests", None)]:
+    _ts, _fn = _tests(_kind)
+    register(_key, O.tests_sql(_ts))(_fn)
+
+
+def _exps(etypes: tuple[str, ...] | None, row_condition: bool | None = None):
+    es = [e for e in Qy.EXPECTATIONS if (etypes is None or e.etype in etypes)
+          and (row_condition is None or bool(e.kw("row_condition")) == row_condition)]
+
+    def fn(m: Models):
+        tables = m.suite_tables()
+        return Qy.run_expectations({k: tables[k] for k in {e.suite for e in es}}, es)
+    return es, fn
+
+
+for _key, _types, _rc in [
+        ("expect_row_count", ("expect_table_row_count_to_be_between",), None),
+        ("expect_not_null", ("expect_column_values_to_not_be_null",), None),
+        ("expect_between", ("expect_column_values_to_be_between",), False),
+        ("expect_between_where", ("expect_column_values_to_be_between",), True),
+        ("expect_pair_greater", ("expect_column_pair_values_a_to_be_greater_than_b",), None),
+        ("expect_in_set", ("expect_column_values_to_be_in_set",), None),
+        ("expect_compound_unique", ("expect_compound_columns_to_be_unique",), None),
+        ("expect_regex", ("expect_column_values_to_match_regex",), None),
+        ("expect_date_parseable", ("expect_column_values_to_be_dateutil_parseable",), None),
+        ("expect_stdev", ("expect_column_stdev_to_be_between",), None),
+        ("quality_checkpoint", None, None)]:
+    _es, _fn = _exps(_types, _rc)
+    register(_key, O.expectations_sql(_es, Qy.EXPECTATIONS))(_fn)
