@@ -44,7 +44,8 @@ def _case(col: str, pairs, default="NULL") -> str:
     return f"CASE {col} {body} ELSE {default} END"
 
 
-UNIT_CASE = _case("series", [(k, q(v)) for k, v in Ld.SERIES_UNITS.items()], q(Ld.DEFAULT_UNIT))
+UNIT_CASE = _case("series", [(k, q(v)) for k, v in Ld.SERIES_UNITS.items()]
+                  + [("ipca", q(Ld.IPCA_UNIT))], q(Ld.DEFAULT_UNIT))
 
 
 def _series_select(key_col: str, table) -> str:

@@ -431,3 +431,10 @@ for _key, _types, _rc in [
         ("quality_checkpoint", None, None)]:
     _es, _fn = _exps(_types, _rc)
     register(_key, O.expectations_sql(_es, Qy.EXPECTATIONS))(_fn)
+
+
+# ---- ingest, validation, load ---------------------------------------------------------------------
+from tickwise.plans import ingest_queries as Iq  # noqa: E402
+
+for _key, _fn in Iq.SPARK.items():
+    register(_key, Iq.SQL[_key])(_fn)

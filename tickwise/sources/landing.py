@@ -43,10 +43,15 @@ NESTED_SERIES_SCHEMA = ("array<struct<resultados:array<struct<series:"
                         "array<struct<serie:map<string,string>>>>>>>")
 
 
-def unit_lookup(df: DataFrame, series_col: str = "series") -> DataFrame:
-    """A5: attach the unit of each series (a literal map, no join)."""
+def unit_col(series_col: str = "series") -> Column:
+    """A5: the unit of a series from a literal map (no join), default '%'."""
     m = F.create_map(*[F.lit(x) for kv in SERIES_UNITS.items() for x in kv])
-    return df.withColumn("unit", F.coalesce(m[F.col(series_col)], F.lit(DEFAULT_UNIT)))
+    return F.coalesce(m[F.col(series_col)], F.lit(DEFAULT_UNIT))
+
+
+def unit_lookup(df: DataFrame, series_col: str = "series") -> DataFrame:
+    """A5: attach the unit of each series."""
+    return df.withColumn("unit", unit_col(series_col))
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -121,7 +126,7 @@ def parse_daily_series(docs: DataFrame, series_col: str = "series",
     arr = F.from_json(F.col(doc_col), DAILY_SERIES_SCHEMA)
     x = docs.select(F.col(series_col).alias("series"), arr.alias("items"))
     e = x.select("series", F.explode_outer("items").alias("it"))
-    d = F.try_to_date(F.col("it.data"), F.lit("d/M/y"))
+    d = F.try_to_date(F.col("it.data"), "d/M/y")
     v = F.expr("try_cast(replace(it.valor, ',', '.') AS DOUBLE)")
     return e.select(
         F.trim(F.col("series")).alias("series"), d.alias("obs_date"), v.alias("value"),
@@ -139,19 +144,21 @@ def parse_nested_series(docs: DataFrame, series_name: str = "ipca",
     r = v.select(F.explode("var.resultados").alias("res"))
     first = F.try_element_at(F.col("res.series"), F.lit(1))
     m = r.select(F.explode(first.getField("serie")).alias("period", "raw"))
-    d = F.try_to_date(F.concat(F.col("period"), F.lit("01")), F.lit("yyyyMMdd"))
+    d = F.try_to_date(F.concat(F.col("period"), F.lit("01")), "yyyyMMdd")
     val = F.expr("try_cast(raw AS DOUBLE)")
     return m.select(
         F.lit(series_name).alias("series"), d.alias("obs_date"), val.alias("value"),
         F.when(d.isNull(), "bad_date").when(val.isNull(), "bad_value").alias("reason"))
 
 
-def macro_records(parsed: DataFrame, source: str = "bcb") -> DataFrame:
-    """Parsed observations that passed, in the raw macro shape."""
+def macro_records(parsed: DataFrame, source: str = "bcb", unit: str | None = None) -> DataFrame:
+    """Parsed observations that passed, in the raw macro shape.
+    ``unit`` overrides the per-series lookup (the monthly source sets its own)."""
     ok = parsed.where(F.col("reason").isNull())
     out = ok.select("obs_date", F.lower(F.trim("series")).alias("series"), "value",
                     F.lit(source).alias("source"))
-    return unit_lookup(out).select("obs_date", "series", "value", "unit", "source")
+    out = unit_lookup(out) if unit is None else out.withColumn("unit", F.lit(unit))
+    return out.select("obs_date", "series", "value", "unit", "source")
 
 
 def to_source_date(c) -> Column:

@@ -121,7 +121,7 @@ def raw_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan of ``orders`` with a two-element explode and one aggregation makes
     every series.
     """
-    from tickwise.sources.landing import unit_lookup
+    from tickwise.sources.landing import IPCA_UNIT, unit_col
 
     o = table(spark, sf_dir, "orders").select(
         "o_orderstatus", "o_orderpriority", "o_orderdate",
@@ -133,9 +133,10 @@ def raw_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
           .groupBy(F.col("s.series").alias("series"), F.col("s.obs_date").alias("obs_date"),
                    F.col("s.q").alias("q"))
           .agg(F.sum("cents").alias("sc"), F.count(F.lit(1)).alias("n")))
-    out = g.select("obs_date", "series", _macro_value().alias("value"),
-                   F.when(F.col("series") == "ipca", "ibge").otherwise("bcb").alias("source"))
-    return unit_lookup(out).select("obs_date", "series", "value", "unit", "source")
+    ipca = F.col("series") == "ipca"
+    return g.select("obs_date", "series", _macro_value().alias("value"),
+                    F.when(ipca, F.lit(IPCA_UNIT)).otherwise(unit_col()).alias("unit"),
+                    F.when(ipca, "ibge").otherwise("bcb").alias("source"))
 
 
 def _macro_value():
