@@ -438,3 +438,10 @@ from tickwise.plans import ingest_queries as Iq  # noqa: E402
 
 for _key, _fn in Iq.SPARK.items():
     register(_key, Iq.SQL[_key])(_fn)
+
+
+# ---- jobs with side effects (rows-only) -------------------------------------------------------------
+from tickwise.plans import job_queries as Jq  # noqa: E402
+
+for _key, _fn in Jq.SPARK.items():
+    register(_key, None)(_fn)

@@ -35,14 +35,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Jobs cut lineage and keep streaming state only there; a missing
-    setting is an error rather than a silent fallback to local disk.
+    Jobs cut lineage, stage rewrites and keep streaming state only there.
+    When the session names none, a folder inside the catalog's warehouse
+    (shared storage by definition) is used and registered, never a local
+    temporary folder.
     """
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set for this session")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        wh = spark.conf.get("spark.sql.warehouse.dir")
+        d = wh.rstrip("/") + "/_tickwise_checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")

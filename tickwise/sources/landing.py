@@ -65,7 +65,7 @@ def _zero_to_null(c: Column) -> Column:
 
 
 def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = None,
-                source: str = DEFAULT_BAR_SOURCE) -> DataFrame:
+                source: str = DEFAULT_BAR_SOURCE, keep: tuple[str, ...] = ()) -> DataFrame:
     """A1-A3: API-shaped frame(s) -> raw bars.
 
     ``frame`` carries a ``symbol`` column and the API columns (any case,
@@ -73,8 +73,10 @@ def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = No
     adjusted close falls back to the close only when that column is absent
     (not when a value is NULL). The range is [start, end), as the API's.
     A NaN volume is kept as NaN in ``volume_raw`` for validation to reject.
+    Columns named in ``keep`` are carried through unchanged.
     """
     df = normalise_columns(frame)
+    keep = tuple(c.lower().replace(" ", "_") for c in keep)
     cols = set(df.columns)
     adj = F.col("adj_close") if "adj_close" in cols else F.col("close")
     price = {c: _zero_to_null(F.col(c).cast("double")) if c in cols else F.lit(None).cast("double")
@@ -88,7 +90,7 @@ def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = No
         _zero_to_null(adj.cast("double")).alias("adj_close"),
         F.when(~F.isnan(vol), _zero_to_null(vol).cast("long")).alias("volume"),
         vol.alias("volume_raw"),
-        F.lit(source).alias("source"))
+        F.lit(source).alias("source"), *[F.col(f"`{c}`") for c in keep])
     if start:
         out = out.where(F.col("trade_date") >= F.lit(start).cast("date"))
     if end:
