@@ -42,12 +42,11 @@ def price_fact(stg_bars: DataFrame, stg_macro: DataFrame,
     """The fact table, one row per (symbol, date) after each symbol's
     first bar."""
     ret = S.with_benchmark(S.daily_returns(stg_bars), params)
-    x = ret.select(
+    x = S.with_rolling_beta(ret.select(
         "*",
         S.rolling_volatility_col(params).alias("ann_vol"),
         S.cumulative_return_col().alias("cum_return"),
-        S.ytd_return_col().alias("ytd_return"),
-        S.rolling_beta_col(params).alias("beta"))
+        S.ytd_return_col().alias("ytd_return")), params)
     wide = M.macro_wide(stg_macro).withColumnRenamed("obs_date", "trade_date")
     j = x.join(wide, "trade_date", "left")
     return j.select(

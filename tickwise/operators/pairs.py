@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.num import rnd, surrogate_key
 from tickwise.params import DEFAULT_PARAMS, Params
+from tickwise.session import checkpoint_dir
 
 SLOTS = 366
 
@@ -79,6 +80,11 @@ def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
     b = int(params.pair_blocks)
     v = year_vectors(fact, params).withColumn(
         "blk", F.pmod(F.xxhash64("symbol"), F.lit(b)).cast("int"))
+    # Both join sides read the vectors: materialise them once (T x years
+    # rows) in the shared checkpoint folder rather than computing the whole
+    # fact twice; this also cuts the lineage a lost executor would replay.
+    checkpoint_dir(fact.sparkSession)
+    v = v.checkpoint(eager=True)
     others = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
     left = v.select(F.col("symbol").alias("symbol_a"), "year", F.col("vec").alias("va"),
                     F.col("blk").alias("ba"), others.alias("bb"))

@@ -97,15 +97,60 @@ def benchmark_series(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> Dat
                            F.col("adj_close").cast("double").alias("bench_level")))
 
 
-def rolling_beta_col(params: Params = DEFAULT_PARAMS):
+def trailing_moments(x: str, y: str, n: int, *extra) -> dict:
+    """Population co-moments of (x, y) over the trailing ``n`` rows of each
+    (symbol, *extra) partition in O(rows): running sums minus the same sums
+    ``n`` rows back (``lag``), instead of re-aggregating a sliding frame
+    per row (O(rows x n)). Values are centred on their partition mean
+    first so the differences do not cancel. Returns columns for cov(x, y)
+    (pairs with both present) and var(y) (rows with y present)."""
+    whole = Window.partitionBy("symbol", *extra)
+    run = running(*extra)
+    ordered = by_symbol(*extra)
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    cx = F.col(x) - F.avg(F.when(both, F.col(x))).over(whole)
+    cy = F.col(y) - F.avg(F.when(both, F.col(y))).over(whole)
+    cb = F.col(y) - F.avg(y).over(whole)
+    parts = {
+        "n": F.when(both, 1).otherwise(0),
+        "sx": F.when(both, cx).otherwise(0.0),
+        "sy": F.when(both, cy).otherwise(0.0),
+        "sxy": F.when(both, cx * cy).otherwise(0.0),
+        "nb": F.when(F.col(y).isNotNull(), 1).otherwise(0),
+        "sb": F.coalesce(cb, F.lit(0.0)),
+        "sbb": F.coalesce(cb * cb, F.lit(0.0)),
+    }
+    return {k: (F.sum(v).over(run), ordered, n) for k, v in parts.items()}
+
+
+def _frame_sum(cum_name: str, ordered, n: int):
+    c = F.col(cum_name)
+    return c - F.coalesce(F.lag(c, n).over(ordered), F.lit(0) if cum_name.endswith("n") else F.lit(0.0))
+
+
+def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str = "beta") -> DataFrame:
     """covar_pop(r, bench) / var_pop(bench) over the trailing
     ``beta_window`` rows that have a benchmark bar (Q2: unmatched days are
     not counted), per symbol; NULL for the benchmark itself and for rows
-    without a benchmark bar. Needs ``with_benchmark`` columns."""
-    w = trailing(params.beta_window, "has_bench")
-    beta = safe_div(F.covar_pop("simple_return", "bench_return").over(w),
-                    F.var_pop("bench_return").over(w))
-    return F.when(F.col("has_bench") & (F.col("symbol") != params.benchmark), rnd(beta, 4))
+    without a benchmark bar. Needs the ``with_benchmark`` columns.
+
+    Computed from running sums (see ``trailing_moments``); a frame with a
+    single benchmark value has variance exactly 0 in the window form and is
+    NULL here by rule, not by a floating residue."""
+    w = params.beta_window
+    mom = trailing_moments("simple_return", "bench_return", w, "has_bench")
+    x = df.select("*", *[c.alias(f"_c_{k}") for k, (c, _, _) in mom.items()])
+    ordered = by_symbol("has_bench")
+    fs = {k: _frame_sum(f"_c_{k}", ordered, w) for k in mom}
+    x = x.select("*", *[v.alias(f"_f_{k}") for k, v in fs.items()])
+    n, sx, sy, sxy = (F.col(f"_f_{k}") for k in ("n", "sx", "sy", "sxy"))
+    nb, sb, sbb = (F.col(f"_f_{k}") for k in ("nb", "sb", "sbb"))
+    nd, nbd = n.cast("double"), nb.cast("double")
+    cov = F.when(n > 0, (sxy - sx * sy / nd) / nd)
+    var = F.when(nb > 1, (sbb - sb * sb / nbd) / nbd).when(nb == 1, F.lit(0.0))
+    beta = F.when(F.col("has_bench") & (F.col("symbol") != params.benchmark),
+                  rnd(safe_div(cov, var), 4))
+    return x.withColumn(out, beta).drop(*[c for c in x.columns if c.startswith(("_c_", "_f_"))])
 
 
 def running_peak_col():
@@ -136,10 +181,15 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
     NULL; the difference form would leave a residue, so it is set NULL.
     """
     w = params.beta_window
-    x = (with_benchmark(returns, params)
+    m = (with_benchmark(returns, params)
          .where(F.col("has_bench") & (F.col("symbol") != params.benchmark))
-         .select("symbol", "trade_date", "simple_return", "bench_return",
-                 F.covar_pop("simple_return", "bench_return").over(trailing(w)).alias("cov")))
+         .select("symbol", "trade_date", "simple_return", "bench_return"))
+    mom = trailing_moments("simple_return", "bench_return", w)
+    m = m.select("*", *[mom[k][0].alias(f"_c_{k}") for k in ("n", "sx", "sy", "sxy")])
+    fs = {k: _frame_sum(f"_c_{k}", by_symbol(), w) for k in ("n", "sx", "sy", "sxy")}
+    n = fs["n"].cast("double")
+    cov = F.when(fs["n"] > 0, (fs["sxy"] - fs["sx"] * fs["sy"] / n) / n)
+    x = m.select("symbol", "trade_date", "simple_return", "bench_return", cov.alias("cov"))
     b = F.col("bench_return")
     ind = F.when(b.isNotNull(), 1).otherwise(0)
     day = x.groupBy("trade_date").agg(F.count(F.lit(1)).alias("c"), F.max(b).alias("b"))

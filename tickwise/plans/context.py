@@ -72,17 +72,28 @@ class Models:
     def correlation_mart(self) -> DataFrame:
         return P.correlation_mart(self.fact, self.params)
 
+    @cached_property
+    def stored_fact(self) -> DataFrame:
+        """The fact materialised once in the shared checkpoint folder, for
+        plans that read it many times (as a published table would be)."""
+        from tickwise.session import checkpoint_dir
+        checkpoint_dir(self.spark)
+        return self.fact.checkpoint(eager=True)
+
     def test_tables(self) -> dict[str, DataFrame]:
-        """Every model the declarative tests run on, raw tables with their key."""
+        """Every model the declarative tests run on, raw tables with their key.
+        Marts are built from the stored fact, as they are from the table."""
+        f = self.stored_fact
         return {
             "raw_bars": self.raw_bars.withColumn("id", surrogate_key("symbol", "trade_date")),
             "raw_macro": self.raw_macro.withColumn("id", surrogate_key("obs_date", "series")),
             "raw_assets": self.raw_assets.withColumn("id", surrogate_key("symbol")),
             "stg_bars": self.stg_bars, "stg_macro": self.stg_macro,
             "stg_assets": self.stg_assets, "daily_returns": self.returns,
-            "macro_wide": self.macro_wide, "price_fact": self.fact,
-            "asset_dim": self.asset_dim, "risk_mart": self.risk_mart,
-            "correlation_mart": self.correlation_mart,
+            "macro_wide": self.macro_wide, "price_fact": f,
+            "asset_dim": A.asset_dim(self.stg_assets, f),
+            "risk_mart": R.risk_mart(f, self.params),
+            "correlation_mart": P.correlation_mart(f, self.params),
         }
 
     def suite_tables(self) -> dict[str, DataFrame]:

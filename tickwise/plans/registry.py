@@ -157,8 +157,8 @@ def q_mean(m: Models):
 @register("rolling_beta", "SELECT symbol, trade_date, beta FROM fact_win "
                           f"WHERE has_bench AND symbol <> {O.q(O.BENCH)}")
 def q_beta(m: Models):
-    x = S.with_benchmark(m.returns, m.params)
-    b = x.select("symbol", "trade_date", "has_bench", S.rolling_beta_col(m.params).alias("beta"))
+    x = S.with_rolling_beta(S.with_benchmark(m.returns, m.params), m.params)
+    b = x.select("symbol", "trade_date", "has_bench", "beta")
     return b.where(F.col("has_bench") & (F.col("symbol") != m.params.benchmark)).drop("has_bench")
 
 

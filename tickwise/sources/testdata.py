@@ -8,13 +8,12 @@ same doubles.
 Plan shape at scale: ``lineitem`` is scanned once and joined to ``part``;
 a single partial aggregation by (symbol, day) shrinks it to one row per
 symbol and day before the only large shuffle. The benchmark bar is
-computed by a second grouping set of the same aggregation, so
-``lineitem`` is not read a second time.
+re-aggregated from that result, so ``lineitem`` is not read a second time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.params import DEFAULT_PARAMS, Params
@@ -48,10 +47,12 @@ def raw_bars(spark: SparkSession, sf_dir: str, params: Params = DEFAULT_PARAMS)
     """Raw daily bars: symbol, trade_date, open, high, low, close, adj_close,
     volume, source. 25 brand symbols plus the benchmark over all line items.
 
-    One scan of ``lineitem``, one join to ``part`` and one aggregation with
-    grouping sets ((symbol, day), (day)): the second set is the benchmark,
-    so the large input is read once and shuffled once, after the map-side
-    partial aggregation has reduced it to one row per group.
+    One scan of ``lineitem``, one join to ``part`` and one aggregation by
+    (symbol, day), partial on the map side, so the only large shuffle moves
+    one row per symbol, day and task. The benchmark's totals come from a
+    window over the day on those aggregated rows (sums, counts, min and max
+    all combine), and one ``inline`` emits each symbol row plus one
+    benchmark row per day: a single linear plan, the large input read once.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -67,17 +68,28 @@ def raw_bars(spark: SparkSession, sf_dir: str, params: Params = DEFAULT_PARAMS)
         x.alias("x"), tup.alias("tup"),
         F.col("l_quantity").cast("long").alias("qty"),
         F.col("l_extendedprice").alias("price"))
-    g = (rows.groupingSets([["symbol", "trade_date"], ["trade_date"]], "symbol", "trade_date")
+    g = (rows.groupBy("symbol", "trade_date")
              .agg(F.sum("x").alias("sum_x"), F.count(F.lit(1)).alias("n"),
                   F.sum("qty").alias("qty"), F.max("price").alias("high"),
                   F.min("price").alias("low"), F.min("tup").alias("first_t"),
-                  F.max("tup").alias("last_t"), F.grouping_id().alias("gid")))
-    # gid 0: one symbol (unmatched parts give a NULL symbol and are dropped);
-    # gid 2: every line item of the day, i.e. the benchmark.
-    g = g.where((F.col("gid") == 2) | F.col("symbol").isNotNull())
+                  F.max("tup").alias("last_t")))
+    day = Window.partitionBy("trade_date")
+    fields = ["sum_x", "n", "qty", "high", "low", "first_t", "last_t"]
+    comb = {"sum_x": F.sum, "n": F.sum, "qty": F.sum, "high": F.max, "low": F.min,
+            "first_t": F.min, "last_t": F.max}
+    t = g.select("*", *[comb[c](c).over(day).alias(f"d_{c}") for c in fields],
+                 F.row_number().over(day.orderBy(F.col("symbol").asc_nulls_first())).alias("rn"))
+    own = F.when(F.col("symbol").isNotNull(), F.struct(
+        F.col("symbol"), *[F.col(c) for c in fields]))
+    bench = F.when(F.col("rn") == 1, F.struct(
+        F.lit(params.benchmark).alias("symbol"), *[F.col(f"d_{c}").alias(c) for c in fields]))
+    out = t.select("trade_date", F.inline(F.filter(F.array(own, bench), lambda e: e.isNotNull())))
+    return _finish(out)
+
+
+def _finish(g: DataFrame) -> DataFrame:
     return g.select(
-        F.when(F.col("gid") == 2, F.lit(params.benchmark)).otherwise(F.col("symbol")).alias("symbol"),
-        "trade_date",
+        "symbol", "trade_date",
         F.col("first_t.l_extendedprice").alias("open"),
         "high", "low",
         F.col("last_t.l_extendedprice").alias("close"),
