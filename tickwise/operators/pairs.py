@@ -73,26 +73,41 @@ def _corr_from_moments(m: str) -> Column:
     return F.when(n > 0, cov / F.when(den != 0, den))
 
 
+def blocked_pairs(df: DataFrame, key: str, group: str, blocks: int,
+                  carry: list[str] = (), strict: bool = True) -> DataFrame:
+    """All ordered pairs (a, b) of ``key`` values within each ``group`` value,
+    with a < b (``strict``) or every (a, b) including a = b, as a blocked
+    equi-join: each row hashes to one of ``blocks`` blocks and is replicated
+    once per block on the other side, so the join key (group, block_a,
+    block_b) spreads one group's pairs over blocks^2 tasks instead of one.
+    ``carry`` columns come along as ``<col>_a`` / ``<col>_b``."""
+    b = int(blocks)
+    v = df.withColumn("_blk", F.pmod(F.xxhash64(key), F.lit(b)).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
+    left = v.select(F.col(key).alias(f"{key}_a"), F.col(group),
+                    *[F.col(c).alias(f"{c}_a") for c in carry],
+                    F.col("_blk").alias("_ba"), others.alias("_bb"))
+    right = v.select(F.col(key).alias(f"{key}_b"), F.col(group).alias("_g"),
+                     *[F.col(c).alias(f"{c}_b") for c in carry],
+                     F.col("_blk").alias("_bb2"), others.alias("_ba2"))
+    cond = ((left[group] == right["_g"]) & (left["_ba"] == right["_ba2"])
+            & (left["_bb"] == right["_bb2"]))
+    cond = cond & ((left[f"{key}_a"] < right[f"{key}_b"]) if strict
+                   else F.lit(True))
+    return left.join(right, cond).drop("_g", "_ba", "_bb", "_ba2", "_bb2")
+
+
 def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
                  min_obs: int = 1) -> DataFrame:
     """(symbol_a < symbol_b, year, n_obs, corr_raw) for pairs with >= min_obs
     common days."""
-    b = int(params.pair_blocks)
-    v = year_vectors(fact, params).withColumn(
-        "blk", F.pmod(F.xxhash64("symbol"), F.lit(b)).cast("int"))
     # Both join sides read the vectors: materialise them once (T x years
     # rows) in the shared checkpoint folder rather than computing the whole
     # fact twice; this also cuts the lineage a lost executor would replay.
     checkpoint_dir(fact.sparkSession)
-    v = v.checkpoint(eager=True)
-    others = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
-    left = v.select(F.col("symbol").alias("symbol_a"), "year", F.col("vec").alias("va"),
-                    F.col("blk").alias("ba"), others.alias("bb"))
-    right = v.select(F.col("symbol").alias("symbol_b"), F.col("year").alias("year_b"),
-                     F.col("vec").alias("vb"), F.col("blk").alias("bb_"), others.alias("ba_"))
-    j = left.join(right, (left.year == right.year_b) & (left.ba == right.ba_)
-                  & (left.bb == right.bb_) & (left.symbol_a < right.symbol_b))
-    mom = j.select("symbol_a", "symbol_b", "year", _welford("va", "vb").alias("m"))
+    v = year_vectors(fact, params).checkpoint(eager=True)
+    j = blocked_pairs(v, "symbol", "year", params.pair_blocks, carry=["vec"])
+    mom = j.select("symbol_a", "symbol_b", "year", _welford("vec_a", "vec_b").alias("m"))
     return (mom.where(F.col("m.n") >= min_obs)
                .select("symbol_a", "symbol_b", "year", F.col("m.n").alias("n_obs"),
                        _corr_from_moments("m").alias("corr_raw")))
@@ -134,14 +149,16 @@ def correlation_mart(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
         diversification_col().alias("diversification"))
 
 
-def correlation_matrix(mart: DataFrame, year: int | None = None) -> DataFrame:
+def correlation_matrix(mart: DataFrame, year: int | None = None,
+                       blocks: int = DEFAULT_PARAMS.pair_blocks) -> DataFrame:
     """Long-form symmetric matrix for one year (default: the latest).
 
     Symbols are those that appear in a pair that year; the diagonal is 1,
     a pair's value is mirrored, and a pair absent from the mart is 0. The
-    mart is read once: one explode emits both orientations and the diagonal
-    entry of each side. The matrix is the output itself, so its size is
-    the square of the symbols of one year.
+    mart is read once (one explode emits both orientations and the diagonal
+    entry of each side); the dense grid of the year's symbols is the output
+    itself and is formed by the blocked pair join, so no task holds a whole
+    year's grid.
     """
     y = F.lit(year) if year is not None else mart.select(F.max("year")).scalar()
     m = mart.where(F.col("year") == y)
@@ -157,8 +174,9 @@ def correlation_matrix(mart: DataFrame, year: int | None = None) -> DataFrame:
     cells = (e.select("year", F.col("p.a").alias("symbol_a"), F.col("p.b").alias("symbol_b"),
                       F.col("p.c").alias("c"))
               .groupBy("year", "symbol_a", "symbol_b").agg(F.first("c").alias("c")))
-    syms = cells.where(F.col("symbol_a") == F.col("symbol_b")).select("year", "symbol_a")
-    grid = syms.join(syms.withColumnRenamed("symbol_a", "symbol_b"), "year")
+    syms = cells.where(F.col("symbol_a") == F.col("symbol_b")).select(
+        F.col("symbol_a").alias("symbol"), "year")
+    grid = blocked_pairs(syms, "symbol", "year", blocks, strict=False)
     g = grid.join(cells.withColumn("present", F.lit(True)), ["year", "symbol_a", "symbol_b"], "left")
     val = F.when(F.col("present"), F.col("c")).otherwise(F.lit(0.0))
     return g.select("year", "symbol_a", "symbol_b", val.alias("correlation"))
