@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.num import rnd, surrogate_key
 from tickwise.params import DEFAULT_PARAMS, Params
-from tickwise.session import checkpoint_dir
+from tickwise.session import stored
 
 SLOTS = 366
 
@@ -101,11 +101,10 @@ def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
                  min_obs: int = 1) -> DataFrame:
     """(symbol_a < symbol_b, year, n_obs, corr_raw) for pairs with >= min_obs
     common days."""
-    # Both join sides read the vectors: materialise them once (T x years
-    # rows) in the shared checkpoint folder rather than computing the whole
-    # fact twice; this also cuts the lineage a lost executor would replay.
-    checkpoint_dir(fact.sparkSession)
-    v = year_vectors(fact, params).checkpoint(eager=True)
+    # Both join sides read the vectors: store them once (T x years rows) in
+    # the shared checkpoint folder rather than computing the whole fact
+    # twice; this also cuts the lineage a lost executor would replay.
+    v = stored(year_vectors(fact, params), "pair_vectors")
     j = blocked_pairs(v, "symbol", "year", params.pair_blocks, carry=["vec"])
     mom = j.select("symbol_a", "symbol_b", "year", _welford("vec_a", "vec_b").alias("m"))
     return (mom.where(F.col("m.n") >= min_obs)

@@ -14,6 +14,7 @@ from tickwise.operators import assets as A, fact as Fa, macro as Mc, pairs as P
 from tickwise.functions.num import surrogate_key
 from tickwise.operators import risk as R, series as S, staging as St
 from tickwise.params import DEFAULT_PARAMS, Params
+from tickwise.session import stored
 from tickwise.sources import testdata as Td
 
 
@@ -72,29 +73,41 @@ class Models:
     def correlation_mart(self) -> DataFrame:
         return P.correlation_mart(self.fact, self.params)
 
-    @cached_property
-    def stored_fact(self) -> DataFrame:
-        """The fact materialised once in the shared checkpoint folder, for
-        plans that read it many times (as a published table would be)."""
-        from tickwise.session import checkpoint_dir
-        checkpoint_dir(self.spark)
-        return self.fact.checkpoint(eager=True)
+    def stored(self) -> "Models":
+        """The same models built on raw inputs and a fact that are each
+        materialised once in the shared checkpoint folder, for plans that
+        read every model (as checks on published tables do): the large
+        tables are then processed once, not once per model."""
+        return StoredModels(self.spark, self.sf_dir, self.params)
 
     def test_tables(self) -> dict[str, DataFrame]:
-        """Every model the declarative tests run on, raw tables with their key.
-        Marts are built from the stored fact, as they are from the table."""
-        f = self.stored_fact
+        """Every model the declarative tests run on, raw tables with their key."""
         return {
             "raw_bars": self.raw_bars.withColumn("id", surrogate_key("symbol", "trade_date")),
             "raw_macro": self.raw_macro.withColumn("id", surrogate_key("obs_date", "series")),
             "raw_assets": self.raw_assets.withColumn("id", surrogate_key("symbol")),
             "stg_bars": self.stg_bars, "stg_macro": self.stg_macro,
             "stg_assets": self.stg_assets, "daily_returns": self.returns,
-            "macro_wide": self.macro_wide, "price_fact": f,
-            "asset_dim": A.asset_dim(self.stg_assets, f),
-            "risk_mart": R.risk_mart(f, self.params),
-            "correlation_mart": P.correlation_mart(f, self.params),
+            "macro_wide": self.macro_wide, "price_fact": self.fact,
+            "asset_dim": self.asset_dim, "risk_mart": self.risk_mart,
+            "correlation_mart": self.correlation_mart,
         }
 
     def suite_tables(self) -> dict[str, DataFrame]:
         return {"suite_bars": self.raw_bars, "suite_macro": self.raw_macro}
+
+
+class StoredModels(Models):
+    """Models whose raw inputs and fact are stored once (see ``Models.stored``)."""
+
+    @cached_property
+    def raw_bars(self) -> DataFrame:
+        return stored(Td.raw_bars(self.spark, self.sf_dir, self.params), "raw_bars")
+
+    @cached_property
+    def raw_macro(self) -> DataFrame:
+        return stored(Td.raw_macro(self.spark, self.sf_dir), "raw_macro")
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return stored(Fa.price_fact(self.stg_bars, self.stg_macro, self.params), "price_fact")

@@ -38,8 +38,10 @@ def corrupt_file_quarantine(m: Models) -> DataFrame:
     cut = F.when(F.col("Volume") % 13 == 0, F.substring("value", 1, 25)).otherwise(F.col("value"))
     lines.select("sym", cut.alias("value")).write.partitionBy("sym").text(d)
     df = Ld.read_landed_bars(m.spark, d, "json")
+    # The record's own columns are read too: a scan of the corrupt-record
+    # column alone is refused by Spark (it would skip full parsing).
     return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_corrupt_record").isNotNull().alias("corrupt"))
+                      (F.col("_corrupt_record").isNotNull() | F.col("symbol").isNull()).alias("corrupt"))
               .groupBy("file_path")
               .agg(F.count_if(~F.col("corrupt")).alias("rows_ok"),
                    F.count_if(F.col("corrupt")).alias("rows_corrupt")))

@@ -3,10 +3,10 @@
 Tables are Parquet partitioned by year and sorted by (symbol, date) inside
 each file, so date and symbol predicates skip row groups by min/max. A
 rewrite replaces only the year partitions present in the new data
-(dynamic partition overwrite), and the merged data is first materialised
-with ``checkpoint()`` in the shared checkpoint folder: the rewrite then
-never reads the files it is replacing, and a lost executor recomputes from
-the checkpoint instead of from the whole lineage.
+(dynamic partition overwrite), and the merged data is first stored in the
+shared checkpoint folder (``session.stored``): the rewrite then never
+reads the files it is replacing, and a lost executor re-reads the stored
+files instead of replaying the whole lineage.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators import upsert as U, validate as V
-from tickwise.session import checkpoint_dir
+from tickwise.session import stored
 
 
 def with_year(df: DataFrame, date_col: str) -> DataFrame:
@@ -52,17 +52,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                 update_cols: list[str], date_col: str) -> DataFrame:
     """A16-A18 against a stored table: only the stored years the batch touches
-    take part in the join, the merge is checkpointed, those years are
-    rewritten. Returns the checkpointed merged rows."""
-    checkpoint_dir(spark)
+    take part in the join, the merge is stored, those years are rewritten.
+    Returns the merged rows."""
     if table_exists(spark, path):
         years = batch.select(F.year(date_col).alias("year")).distinct()
-        stored = spark.read.parquet(path)
-        target = stored.join(F.broadcast(years), "year", "left_semi").drop("year")
+        # The distinct years of a batch are bounded by the calendar span.
+        current = spark.read.parquet(path)
+        target = current.join(F.broadcast(years), "year", "left_semi").drop("year")
         merged = U.upsert(target.select(*batch.columns), batch, keys, update_cols)
     else:
         merged = batch
-    merged = merged.checkpoint(eager=True)
+    merged = stored(merged, "upsert")
     publish(merged, path, date_col, keys[0] if keys[0] != date_col else None)
     return merged
 
@@ -110,9 +110,9 @@ def run_pipeline(spark: SparkSession, out_dir: str, bars: DataFrame, macro: Data
             rejects.append(V.quarantine(v, "assets", ["symbol"]))
             good = V.valid_rows(v)
             if table_exists(spark, paths["assets"]):
-                stored = spark.read.parquet(paths["assets"])
-                good = U.upsert(stored.select(*good.columns), good, U.ASSET_KEYS, U.ASSET_UPDATES)
-            good.checkpoint(eager=True).write.mode("overwrite").parquet(paths["assets"])
+                current = spark.read.parquet(paths["assets"])
+                good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS, U.ASSET_UPDATES)
+            stored(good, "assets").write.mode("overwrite").parquet(paths["assets"])
         elif step == "prices":
             v = V.validate_bars(bars)
             rejects.append(V.quarantine(v, "bars", ["symbol", "trade_date"]))

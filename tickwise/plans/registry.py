@@ -395,8 +395,9 @@ def _tests(kind: str | None):
     ts = [t for t in Qy.DATA_TESTS if kind is None or t.kind == kind]
 
     def fn(m: Models):
-        tables = m.test_tables()
-        return Qy.run_tests({k: tables[k] for k in {t.model for t in ts}}, ts)
+        models = {t.model for t in ts}
+        tables = (m.stored() if len(models) > 1 else m).test_tables()
+        return Qy.run_tests({k: tables[k] for k in models}, ts)
     return ts, fn
 
 

@@ -48,3 +48,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+def stored(df, name: str = "table"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back.
+
+    Unlike an eager ``DataFrame.checkpoint()``, which computes its input once
+    to count and again to save, this computes it once; the result carries
+    file statistics (AQE and broadcast decisions), column pruning and
+    filter pushdown. A lost executor re-reads the files instead of
+    replaying the lineage.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tickwise_stored/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
