@@ -21,7 +21,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
+    # Small local inputs: let AQE keep small CPU-heavy window stages on
+    # several cores instead of coalescing them to one or two tasks.
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
           .config("spark.driver.memory", "16g"))
     if checkpoint:
         b = b.config("spark.checkpoint.dir", checkpoint)
