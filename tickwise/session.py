@@ -30,8 +30,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         b = b.config("spark.checkpoint.dir", checkpoint)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint)
     return spark
 
 
@@ -40,16 +38,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Jobs cut lineage, stage rewrites and keep streaming state only there.
     When the session names none, a folder inside the catalog's warehouse
-    (shared storage by definition) is used and registered, never a local
-    temporary folder.
+    (shared storage by definition) is used, never a local temporary folder.
+    Only session configuration is read, so this works on any session.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        wh = spark.conf.get("spark.sql.warehouse.dir")
-        d = wh.rstrip("/") + "/_tickwise_checkpoints"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tickwise_checkpoints"
     return d.rstrip("/")
 
 
