@@ -27,7 +27,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
           .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
           .config("spark.driver.memory", "16g"))
     if checkpoint:
-        b = b.config("spark.checkpoint.dir", checkpoint)
+        # Our own folder only where the environment names none (tests).
+        from pyspark import SparkConf
+        if not SparkConf().get("spark.checkpoint.dir", None):
+            b = b.config("spark.checkpoint.dir", checkpoint)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
