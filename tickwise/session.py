@@ -26,12 +26,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
           .config("spark.driver.memory", "16g"))
-    if checkpoint:
-        # Our own folder only where the environment names none (tests).
-        from pyspark import SparkConf
-        if not SparkConf().get("spark.checkpoint.dir", None):
-            b = b.config("spark.checkpoint.dir", checkpoint)
     spark = b.getOrCreate()
+    if checkpoint and not spark.conf.get("spark.checkpoint.dir", None):
+        # Our own folder only where the environment names none (tests); a
+        # core setting, so the session is rebuilt with it.
+        spark.stop()
+        spark = b.config("spark.checkpoint.dir", checkpoint).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
