@@ -1,4 +1,4 @@
-"""Jobs with side effects: publishing, pipeline modes, streaming upsert."""
+"""Jobs with side effects: publishing, load modes, streaming upsert."""
 
 from pyspark.sql import functions as F
 
@@ -19,9 +19,9 @@ def test_stream_ingest_later_fetch_wins(spark):
     assert bad.count() == 0
 
 
-def test_pipeline_reload_is_idempotent(spark):
+def test_reload_is_idempotent(spark):
     m = Models(spark, SF_SMALL)
-    out = {r.table_name: r.rows for r in Jq.pipeline_modes(m).collect()}
+    out = {r.table_name: r.rows for r in Jq.ingest_modes(m).collect()}
     assert out == {"assets": m.raw_assets.count(), "prices": m.raw_bars.count(),
                    "macro": m.raw_macro.count()}
 

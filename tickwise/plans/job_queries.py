@@ -47,13 +47,13 @@ def corrupt_file_quarantine(m: Models) -> DataFrame:
                    F.count_if(F.col("corrupt")).alias("rows_corrupt")))
 
 
-def pipeline_modes(m: Models) -> DataFrame:
+def ingest_modes(m: Models) -> DataFrame:
     """A full load, then an incremental load of the same inputs; the
     stored row counts must not change (the reload is idempotent)."""
-    d = _scratch(m, "pipeline")
+    d = _scratch(m, "load")
     bars = Ld.ingest_bars(Iq.api_frame(m.raw_bars))
-    J.run_pipeline(m.spark, d, bars, m.raw_macro, m.raw_assets, mode="full")
-    return J.run_pipeline(m.spark, d, bars, m.raw_macro, m.raw_assets, mode="incremental",
+    J.run_load(m.spark, d, bars, m.raw_macro, m.raw_assets, mode="full")
+    return J.run_load(m.spark, d, bars, m.raw_macro, m.raw_assets, mode="incremental",
                           start_date=m.params.start_date)
 
 
@@ -82,7 +82,7 @@ def sink_tables(m: Models) -> DataFrame:
 
 SPARK = {
     "corrupt_file_quarantine": corrupt_file_quarantine,
-    "pipeline_modes": pipeline_modes,
+    "ingest_modes": ingest_modes,
     "stream_ingest": stream_ingest,
     "sink_tables": sink_tables,
 }

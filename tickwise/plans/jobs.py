@@ -91,7 +91,7 @@ def materialise(spark: SparkSession, df: DataFrame, name: str, kind: str = "tabl
     return spark.table(name)
 
 
-def run_pipeline(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
+def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
                  assets: DataFrame, mode: str = "incremental", only: str | None = None,
                  start_date: str = "2019-01-01") -> DataFrame:
     """Load assets, then prices, then macro (or one of them with
