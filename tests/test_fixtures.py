@@ -218,3 +218,19 @@ def test_risk_metrics_match_python(spark):
     assert row.sessions == n and row.up_days == sum(x > 0 for x in r)
     assert abs(row.sharpe - round(mean * 252 / (sd * math.sqrt(252)), 4)) < 1e-4
     assert row.win_rate_pct == round(sum(x > 0 for x in r) / n * 100, 2)
+
+
+def test_global_denominator_single_date_frame_is_null(spark):
+    # Window of 2 rows: every frame that lies inside one date holds a single
+    # benchmark value, so its variance is exactly 0 and beta is NULL.
+    p = Params(benchmark="^IDX", beta_window=2)
+    rows = [(s, dd, px) for s, k in (("AAA", 1.0), ("BBB", 2.0), ("CCC", 3.0))
+            for dd, px in (("2020-01-02", 10 * k), ("2020-01-03", 11 * k), ("2020-01-06", 12 * k))]
+    rows += [("^IDX", dd, b) for dd, b in (("2020-01-02", 100), ("2020-01-03", 101), ("2020-01-06", 99))]
+    ret = S.daily_returns(St.stg_bars(bars(spark, rows)))
+    out = {(r.symbol, r.trade_date): r.beta for r in S.rolling_beta_global_denominator(ret, p).collect()}
+    # 2020-01-03: AAA is the first row of the frame series; BBB's and CCC's
+    # frames (2 rows) lie inside 2020-01-03 -> NULL. 2020-01-06: AAA's frame
+    # spans two dates -> a value; BBB and CCC again inside one date -> NULL.
+    assert out[("BBB", d("2020-01-03"))] is None and out[("CCC", d("2020-01-03"))] is None
+    assert out[("BBB", d("2020-01-06"))] is None and out[("CCC", d("2020-01-06"))] is None

@@ -38,3 +38,19 @@ def test_sink_table_partitioned_by_year(spark):
     m = Models(spark, SF_SMALL)
     out = Jq.sink_tables(m)
     assert out.agg(F.sum("rows")).collect()[0][0] == m.fact.count()
+
+
+def test_quality_results_appended_per_run(spark):
+    import os
+    from tickwise.operators import quality as Qy
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    import uuid
+    m = Models(spark, SF_SMALL)
+    res = Qy.run_expectations(m.suite_tables(), Qy.EXPECTATIONS)
+    path = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    a = J.store_quality_results(res, path)
+    b = J.store_quality_results(res, path)
+    stored = spark.read.parquet(path)
+    assert {r.run_id for r in stored.select("run_id").distinct().collect()} == {a, b}
+    assert stored.count() == 2 * len(Qy.EXPECTATIONS)

@@ -34,3 +34,42 @@ def test_risk_mart_one_exchange_after_fact(spark):
     p = m.risk_mart._jdf.queryExecution().sparkPlan().toString()
     # the (symbol, year) aggregate reuses the symbol partitioning of the windows
     assert p.count("HashAggregate") + p.count("SortAggregate") + p.count("ObjectHashAggregate") >= 2
+
+
+def test_pair_join_is_blocked_not_by_date(spark):
+    from tickwise.operators import pairs as P
+    m = Models(spark, "/root/testdata/sf0.01")
+    p = P.pair_moments(m.fact, m.params, 20)._jdf.queryExecution().optimizedPlan().toString()
+    join_lines = [ln for ln in p.splitlines() if "Join Inner" in ln]
+    assert join_lines and all("_ba" in ln and "_bb" in ln for ln in join_lines)
+    assert "trade_date" not in " ".join(join_lines)
+
+
+def test_global_denominator_has_no_row_level_global_window(spark):
+    from tickwise.operators import series as S
+    m = Models(spark, SF_SMALL)
+    p = S.rolling_beta_global_denominator(m.returns, m.params)._jdf.queryExecution().optimizedPlan()
+    txt = p.toString()
+    # every window without a partition key runs over the per-date table (c_prev etc.)
+    for ln in txt.splitlines():
+        if "Window [" in ln and "trade_date ASC" in ln and "], [trade_date" not in ln and ", [], [" in ln:
+            assert "c_prev" in ln or "sum(c#" in ln or "sum((c" in ln, ln
+
+
+def test_every_query_reads_each_large_input_at_most_once(spark):
+    """AQE does not reuse an identical shuffle stage within one query, so a
+    plan that referenced an expensive input twice would read it twice; every
+    registered query must scan lineitem and orders at most once (inputs that
+    are needed repeatedly are stored first)."""
+    import __spark_entry__ as E
+    from tickwise.plans import job_queries as Jq
+    bad = {}
+    for name, q in E.queries().items():
+        if name in Jq.SPARK:
+            continue
+        df = q(spark, SF_SMALL)
+        p = _plan(df)
+        n = max(p.count("lineitem.parquet"), p.count("orders.parquet"))
+        if n > 1:
+            bad[name] = n
+    assert not bad, bad

@@ -63,13 +63,17 @@ def macro_ffill(stg: DataFrame) -> DataFrame:
     """C11 (the intent in the model's comment): carry the last monthly value
     forward to every later spine date, across month boundaries.
 
-    The fill runs on the month table (about 12 rows a year) and is joined
-    back to the spine by month, so the one unpartitioned window sorts only
-    a calendar's worth of months.
+    One linear plan: an aggregate to one row per spine date, the month's
+    value spread over its dates by a window over the month, then the carry
+    by a window ordered over the date table. That table has one row per
+    calendar date, so its single ordered window is bounded by the calendar.
     """
-    spine = date_spine(stg).withColumn("month", F.trunc("obs_date", "MM"))
-    months = spine.select("month").distinct().join(pivot_monthly(stg), "month", "left")
-    w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = months.select("month", *[
+    monthly = F.col("frequency") == "mensal"
+    day = stg.groupBy("obs_date").agg(*[
+        F.max(F.when(monthly & (F.col("series") == name), F.col("value"))).alias("m_" + o)
+        for name, o in MONTHLY_PIVOT])
+    wm = Window.partitionBy(F.trunc("obs_date", "MM"))
+    month_val = day.select("obs_date", *[F.max("m_" + o).over(wm).alias(o) for _, o in MONTHLY_PIVOT])
+    w = Window.orderBy("obs_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return month_val.select("obs_date", *[
         F.last(o, ignorenulls=True).over(w).alias(o) for _, o in MONTHLY_PIVOT])
-    return spine.join(filled, "month", "left").drop("month")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.num import rnd, safe_div
 from tickwise.params import DEFAULT_PARAMS, Params
+from tickwise.session import stored
 
 
 def by_symbol(*extra):
@@ -189,7 +190,10 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
     fs = {k: _frame_sum(f"_c_{k}", by_symbol(), w) for k in ("n", "sx", "sy", "sxy")}
     n = fs["n"].cast("double")
     cov = F.when(fs["n"] > 0, (fs["sxy"] - fs["sx"] * fs["sy"] / n) / n)
-    x = m.select("symbol", "trade_date", "simple_return", "bench_return", cov.alias("cov"))
+    # x feeds the date table, the row positions and the position self-join:
+    # store it once so the raw input is not re-read for each reference.
+    x = stored(m.select("symbol", "trade_date", "simple_return", "bench_return", cov.alias("cov")),
+               "beta_rows")
     b = F.col("bench_return")
     ind = F.when(b.isNotNull(), 1).otherwise(0)
     day = x.groupBy("trade_date").agg(F.count(F.lit(1)).alias("c"), F.max(b).alias("b"))

@@ -35,7 +35,7 @@ class Models:
 
     @cached_property
     def raw_assets(self) -> DataFrame:
-        return Td.raw_assets(self.raw_bars, self.params)
+        return Td.raw_assets(self.spark, self.sf_dir, self.params)
 
     @cached_property
     def stg_bars(self) -> DataFrame:

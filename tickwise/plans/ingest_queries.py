@@ -164,6 +164,19 @@ SPARK = {
         bar_target(m), m.raw_bars, m.params.start_date).select("symbol", "trade_date"),
 }
 
+
+
+def _on_stored(fn):
+    """Queries that read the same raw input as target and as batch run on
+    inputs stored once, so the large tables are processed once."""
+    def run(m: Models) -> DataFrame:
+        return fn(m.stored())
+    return run
+
+
+for _k in ("upsert_bars", "upsert_macro", "upsert_last_wins", "incremental_filter"):
+    SPARK[_k] = _on_stored(SPARK[_k])
+
 # ---- oracle SQL -------------------------------------------------------------------------------
 B = O.q(O.BENCH)
 

@@ -138,3 +138,12 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
     for c in counts[1:]:
         out = out.unionByName(c)
     return out
+
+
+def store_quality_results(results: DataFrame, path: str, run_id: str | None = None) -> str:
+    """X11: append a checkpoint's result rows to a Parquet table keyed by run
+    id (one partition per run), so earlier runs are never rewritten."""
+    rid = run_id or uuid.uuid4().hex
+    (results.withColumn("run_id", F.lit(rid)).withColumn("run_at", F.current_timestamp())
+            .write.mode("append").partitionBy("run_id").parquet(path))
+    return rid

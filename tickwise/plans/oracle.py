@@ -121,7 +121,7 @@ cte("raw_macro", ["macro_obs"], f"""
          CASE WHEN series = 'ipca' THEN 'ibge' ELSE 'bcb' END AS source
   FROM macro_obs WHERE series IS NOT NULL GROUP BY series, obs_date, q""")
 
-cte("raw_assets", ["raw_bars"], f"""
+cte("raw_assets", [], f"""
   SELECT symbol,
     CASE WHEN symbol = {q(BENCH)} THEN 'Benchmark index'
          WHEN n % 2 <> 0 THEN 'Company ' || symbol END AS name,
@@ -130,10 +130,12 @@ cte("raw_assets", ["raw_bars"], f"""
     CASE WHEN symbol <> {q(BENCH)} THEN 'Industry ' || CAST(n % 10 AS VARCHAR) END AS subsector,
     CASE WHEN symbol = {q(BENCH)} THEN 'INDICE' ELSE 'ACAO' END AS kind,
     'Brasil' AS country, 'BRL' AS currency, true AS active
-  FROM (SELECT DISTINCT symbol,
+  FROM (SELECT symbol,
           CASE WHEN regexp_extract(symbol, '([0-9]+)$', 1) <> ''
                THEN CAST(regexp_extract(symbol, '([0-9]+)$', 1) AS INTEGER) END AS n
-        FROM raw_bars) s""")
+        FROM (SELECT DISTINCT regexp_replace(upper(p_brand), '#', '') AS symbol FROM part
+              WHERE p_brand IS NOT NULL
+              UNION SELECT {q(BENCH)}) u) s""")
 
 cte("stg_bars", ["raw_bars"], """
   SELECT symbol, CAST(trade_date AS DATE) AS trade_date,

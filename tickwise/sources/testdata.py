@@ -158,13 +158,19 @@ def _macro_value():
     return _int_div_micro(s * 2 + q * n, q * n * 2)
 
 
-def raw_assets(bars: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Asset metadata for the distinct symbols of ``bars``.
-
-    name is NULL for even brand numbers and sector NULL for multiples of 5,
-    so both staging fallbacks are exercised.
+def raw_assets(spark: SparkSession, sf_dir: str, params: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Asset metadata: one row per brand symbol of ``part`` plus the benchmark.
+
+    The asset master is the instrument list, independent of trading (a
+    brand without line items is still an asset). Reading it from ``part``
+    rather than from the bars keeps every plan that joins assets to bars a
+    single scan of ``lineitem``. name is NULL for even brand numbers and
+    sector NULL for multiples of 5, so both staging fallbacks are exercised.
     """
-    s = bars.select("symbol").distinct()
+    brands = (table(spark, sf_dir, "part")
+              .select(F.regexp_replace(F.upper("p_brand"), "#", "").alias("symbol"))
+              .where(F.col("symbol").isNotNull()).distinct())
+    s = brands.unionByName(spark.range(1).select(F.lit(params.benchmark).alias("symbol")))
     n = F.regexp_extract("symbol", r"([0-9]+)$", 1)
     num = F.when(n != "", n.cast("int"))
     is_bench = F.col("symbol") == params.benchmark
