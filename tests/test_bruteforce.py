@@ -8,7 +8,7 @@ import pytest
 
 from tests.conftest import SF_MID
 from tickwise.operators import pairs as P, series as S
-from tickwise.params import Params
+
 from tickwise.plans.context import Models
 
 

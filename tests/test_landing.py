@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tests.fixtures import d
 from tickwise.sources import landing as Ld

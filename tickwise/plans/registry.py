@@ -13,8 +13,8 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.functions.num import rnd, surrogate_key
-from tickwise.operators import assets as A, fact as Fa, macro as Mc, pairs as P
+from tickwise.functions.num import surrogate_key
+from tickwise.operators import assets as A, macro as Mc, pairs as P
 from tickwise.operators import reports as Rp, risk as R, series as S
 from tickwise.plans import oracle as O
 from tickwise.plans.context import Models
