@@ -68,3 +68,12 @@ def test_ingest_range_is_end_exclusive(spark):
                               "symbol string, Date date, Close double")
     out = Ld.ingest_bars(f, "2020-01-02", "2020-01-03").collect()
     assert [r.trade_date for r in out] == [d("2020-01-02")]
+
+
+def test_ingest_symbol_list(spark):
+    from pyspark.sql import functions as F
+    f = spark.createDataFrame([(s, d("2020-01-02"), 1.0) for s in ("AAA", "BBB", "CCC")],
+                              "symbol string, Date date, Close double")
+    lst = spark.createDataFrame([("AAA, CCC",)], "s string").select(
+        Ld.parse_symbol_list(F.col("s")).alias("l")).first().l
+    assert sorted(r.symbol for r in Ld.ingest_bars(f, symbols=lst).collect()) == ["AAA", "CCC"]

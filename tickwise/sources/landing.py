@@ -65,7 +65,8 @@ def _zero_to_null(c: Column) -> Column:
 
 
 def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = None,
-                source: str = DEFAULT_BAR_SOURCE, keep: tuple[str, ...] = ()) -> DataFrame:
+                source: str = DEFAULT_BAR_SOURCE, keep: tuple[str, ...] = (),
+                symbols: list[str] | None = None) -> DataFrame:
     """A1-A3: API-shaped frame(s) -> raw bars.
 
     ``frame`` carries a ``symbol`` column and the API columns (any case,
@@ -73,7 +74,8 @@ def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = No
     adjusted close falls back to the close only when that column is absent
     (not when a value is NULL). The range is [start, end), as the API's.
     A NaN volume is kept as NaN in ``volume_raw`` for validation to reject.
-    Columns named in ``keep`` are carried through unchanged.
+    Columns named in ``keep`` are carried through unchanged; ``symbols``
+    (e.g. from ``parse_symbol_list``) restricts the symbols loaded.
     """
     df = normalise_columns(frame)
     keep = tuple(c.lower().replace(" ", "_") for c in keep)
@@ -91,6 +93,8 @@ def ingest_bars(frame: DataFrame, start: str | None = None, end: str | None = No
         F.when(~F.isnan(vol), _zero_to_null(vol).cast("long")).alias("volume"),
         vol.alias("volume_raw"),
         F.lit(source).alias("source"), *[F.col(f"`{c}`") for c in keep])
+    if symbols is not None:
+        out = out.where(F.col("symbol").isin(*symbols))
     if start:
         out = out.where(F.col("trade_date") >= F.lit(start).cast("date"))
     if end:

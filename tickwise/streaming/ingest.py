@@ -54,11 +54,16 @@ def process_batch(spark: SparkSession, target: str, quarantine: str):
 
 
 def run_stream_ingest(spark: SparkSession, landing: str, target: str,
-                      checkpoint: str | None = None) -> None:
-    """Process every landed file available now, then stop (scheduled runs)."""
+                      checkpoint: str | None = None, every: str | None = None):
+    """Process every landed file available now and stop (scheduled runs), or
+    with ``every`` (e.g. '5 minutes') keep running and return the query."""
     ck = checkpoint or os.path.join(checkpoint_dir(spark), "stream_ingest")
     quarantine = target.rstrip("/") + "_quarantine"
-    q = (landed_stream(spark, landing).writeStream
+    w = (landed_stream(spark, landing).writeStream
          .foreachBatch(process_batch(spark, target, quarantine))
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+         .option("checkpointLocation", ck))
+    if every:
+        return w.trigger(processingTime=every).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
+    return q
