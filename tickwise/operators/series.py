@@ -98,30 +98,42 @@ def benchmark_series(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> Dat
                            F.col("adj_close").cast("double").alias("bench_level")))
 
 
-def trailing_moments(x: str, y: str, n: int, *extra) -> dict:
+def trailing_moments(x: str, y: str, n: int, matched: str | None = None) -> tuple[dict, object]:
     """Population co-moments of (x, y) over the trailing ``n`` rows of each
-    (symbol, *extra) partition in O(rows): running sums minus the same sums
-    ``n`` rows back (``lag``), instead of re-aggregating a sliding frame
-    per row (O(rows x n)). Values are centred on their partition mean
-    first so the differences do not cancel. Returns columns for cov(x, y)
-    (pairs with both present) and var(y) (rows with y present)."""
-    whole = Window.partitionBy("symbol", *extra)
-    run = running(*extra)
-    ordered = by_symbol(*extra)
+    symbol in O(rows): running sums minus the same sums ``n`` rows back
+    (``lag``), instead of re-aggregating a sliding frame per row
+    (O(rows x n)). Values are centred on their partition mean first so the
+    differences do not cancel. Returns the running-sum columns and the
+    ordered window they use.
+
+    With ``matched`` (a boolean column), only rows where it is true count:
+    the window stays partitioned by symbol alone (so it shares the symbol
+    partitioning of every other per-symbol window) and is ordered by
+    (matched, date). Unmatched rows sort first and add 0 to every sum, so
+    for a matched row the running sums and the lag by ``n`` rows see only
+    matched rows."""
+    whole = Window.partitionBy("symbol")
+    order = ([matched] if matched else []) + ["trade_date"]
+    ordered = Window.partitionBy("symbol").orderBy(*order)
+    run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    has_y = F.col(y).isNotNull()
+    if matched:
+        both = both & F.col(matched)
+        has_y = has_y & F.col(matched)
     cx = F.col(x) - F.avg(F.when(both, F.col(x))).over(whole)
     cy = F.col(y) - F.avg(F.when(both, F.col(y))).over(whole)
-    cb = F.col(y) - F.avg(y).over(whole)
+    cb = F.col(y) - F.avg(F.when(has_y, F.col(y))).over(whole)
     parts = {
         "n": F.when(both, 1).otherwise(0),
         "sx": F.when(both, cx).otherwise(0.0),
         "sy": F.when(both, cy).otherwise(0.0),
         "sxy": F.when(both, cx * cy).otherwise(0.0),
-        "nb": F.when(F.col(y).isNotNull(), 1).otherwise(0),
-        "sb": F.coalesce(cb, F.lit(0.0)),
-        "sbb": F.coalesce(cb * cb, F.lit(0.0)),
+        "nb": F.when(has_y, 1).otherwise(0),
+        "sb": F.when(has_y, cb).otherwise(0.0),
+        "sbb": F.when(has_y, cb * cb).otherwise(0.0),
     }
-    return {k: (F.sum(v).over(run), ordered, n) for k, v in parts.items()}
+    return {k: F.sum(v).over(run) for k, v in parts.items()}, ordered
 
 
 def _frame_sum(cum_name: str, ordered, n: int):
@@ -139,9 +151,8 @@ def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str =
     single benchmark value has variance exactly 0 in the window form and is
     NULL here by rule, not by a floating residue."""
     w = params.beta_window
-    mom = trailing_moments("simple_return", "bench_return", w, "has_bench")
-    x = df.select("*", *[c.alias(f"_c_{k}") for k, (c, _, _) in mom.items()])
-    ordered = by_symbol("has_bench")
+    mom, ordered = trailing_moments("simple_return", "bench_return", w, "has_bench")
+    x = df.select("*", *[c.alias(f"_c_{k}") for k, c in mom.items()])
     fs = {k: _frame_sum(f"_c_{k}", ordered, w) for k in mom}
     x = x.select("*", *[v.alias(f"_f_{k}") for k, v in fs.items()])
     n, sx, sy, sxy = (F.col(f"_f_{k}") for k in ("n", "sx", "sy", "sxy"))
@@ -185,9 +196,9 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
     m = (with_benchmark(returns, params)
          .where(F.col("has_bench") & (F.col("symbol") != params.benchmark))
          .select("symbol", "trade_date", "simple_return", "bench_return"))
-    mom = trailing_moments("simple_return", "bench_return", w)
-    m = m.select("*", *[mom[k][0].alias(f"_c_{k}") for k in ("n", "sx", "sy", "sxy")])
-    fs = {k: _frame_sum(f"_c_{k}", by_symbol(), w) for k in ("n", "sx", "sy", "sxy")}
+    mom, ordered = trailing_moments("simple_return", "bench_return", w)
+    m = m.select("*", *[mom[k].alias(f"_c_{k}") for k in ("n", "sx", "sy", "sxy")])
+    fs = {k: _frame_sum(f"_c_{k}", ordered, w) for k in ("n", "sx", "sy", "sxy")}
     n = fs["n"].cast("double")
     cov = F.when(fs["n"] > 0, (fs["sxy"] - fs["sx"] * fs["sy"] / n) / n)
     # x feeds the date table, the row positions and the position self-join:
