@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,21 +36,34 @@ def landed_stream(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def process_batch(spark: SparkSession, target: str, quarantine: str):
-    """The micro-batch function: quarantine, validate, dedupe, upsert."""
+    """The micro-batch function: quarantine, validate, dedupe, upsert.
+
+    The batch is read by several actions, so it is persisted for the
+    duration of the call (a lost block is recomputed from the batch's own
+    files). Rejects are written to the epoch's own partition with dynamic
+    overwrite, and the upsert is idempotent, so replaying an epoch after a
+    failure leaves both tables as a single run would."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        corrupt = batch.where(F.col("_corrupt_record").isNotNull())
-        ok = batch.where(F.col("_corrupt_record").isNull())
-        # Later fetch wins; the file path breaks ties deterministically.
-        seq = F.struct(F.coalesce(F.col("fetched_at"), F.lit(0)).alias("t"), F.col("file_path"))
-        frame = ok.withColumn("batch_seq", seq).drop("fetched_at", "file_path", "_corrupt_record")
-        v = V.validate_bars(Ld.ingest_bars(frame, keep=("batch_seq",)))
-        rejects = (corrupt.select(F.lit("bars").alias("entity"), F.col("file_path").alias("record_key"),
-                                  F.lit("corrupt_record").alias("reason"))
-                   .unionByName(V.quarantine(v, "bars", ["symbol", "trade_date"])))
-        rejects.withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(quarantine)
-        good = V.valid_rows(v).drop("volume_raw")
-        good = U.dedupe_batch(good, U.BAR_KEYS, U.BAR_UPDATES, "batch_seq")
-        upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            corrupt = batch.where(F.col("_corrupt_record").isNotNull())
+            ok = batch.where(F.col("_corrupt_record").isNull())
+            # Later fetch wins; the file path breaks ties deterministically.
+            seq = F.struct(F.coalesce(F.col("fetched_at"), F.lit(0)).alias("t"), F.col("file_path"))
+            frame = ok.withColumn("batch_seq", seq).drop("fetched_at", "file_path", "_corrupt_record")
+            v = V.validate_bars(Ld.ingest_bars(frame, keep=("batch_seq",)))
+            rejects = (corrupt.select(F.lit("bars").alias("entity"),
+                                      F.col("file_path").alias("record_key"),
+                                      F.lit("corrupt_record").alias("reason"))
+                       .unionByName(V.quarantine(v, "bars", ["symbol", "trade_date"])))
+            (rejects.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+                    .parquet(quarantine))
+            good = V.valid_rows(v).drop("volume_raw")
+            good = U.dedupe_batch(good, U.BAR_KEYS, U.BAR_UPDATES, "batch_seq")
+            upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+        finally:
+            batch.unpersist()
     return fn
 
 
