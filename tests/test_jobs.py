@@ -63,7 +63,8 @@ def test_micro_batch_replay_is_idempotent(spark):
     from tickwise.session import checkpoint_dir
     from tickwise.streaming import ingest as SI
     base = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
-    schema = SI.STREAM_SCHEMA.add("file_path", "string")
+    from pyspark.sql import types as T
+    schema = T.StructType(SI.STREAM_SCHEMA.fields + [T.StructField("file_path", T.StringType())])
     rows = [("AAA", dt.date(2020, 1, 2), 1.0, 2.0, 0.5, 1.5, 1.4, 100.0, 1, None, "f1"),
             ("AAA", dt.date(2020, 1, 2), 1.0, 2.0, 0.5, 1.5, 1.6, 100.0, 2, None, "f2"),
             ("AAA", dt.date(2020, 1, 3), -1.0, 2.0, 0.5, 1.5, 1.4, 100.0, 1, None, "f1"),
