@@ -14,6 +14,8 @@ at most one value per calendar day because (symbol, date) is unique.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +99,17 @@ def blocked_pairs(df: DataFrame, key: str, group: str, blocks: int,
     return left.join(right, cond).drop("_g", "_ba", "_bb", "_ba2", "_bb2")
 
 
+def pair_blocks(vectors: DataFrame, params: Params = DEFAULT_PARAMS) -> int:
+    """Blocks for the pair join: the parameter if set, else enough blocks
+    that one block holds about ``pair_block_symbols`` symbols, so a task's
+    pair count stays bounded as the number of symbols grows. Counting the
+    symbols reads the small stored vector table only."""
+    if params.pair_blocks:
+        return int(params.pair_blocks)
+    n = vectors.select("symbol").distinct().count()
+    return max(1, min(params.max_pair_blocks, math.ceil(n / params.pair_block_symbols)))
+
+
 def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
                  min_obs: int = 1) -> DataFrame:
     """(symbol_a < symbol_b, year, n_obs, corr_raw) for pairs with >= min_obs
@@ -105,7 +118,7 @@ def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
     # the shared checkpoint folder rather than computing the whole fact
     # twice; this also cuts the lineage a lost executor would replay.
     v = stored(year_vectors(fact, params), "pair_vectors")
-    j = blocked_pairs(v, "symbol", "year", params.pair_blocks, carry=["vec"])
+    j = blocked_pairs(v, "symbol", "year", pair_blocks(v, params), carry=["vec"])
     mom = j.select("symbol_a", "symbol_b", "year", _welford("vec_a", "vec_b").alias("m"))
     return (mom.where(F.col("m.n") >= min_obs)
                .select("symbol_a", "symbol_b", "year", F.col("m.n").alias("n_obs"),
@@ -148,8 +161,7 @@ def correlation_mart(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
         diversification_col().alias("diversification"))
 
 
-def correlation_matrix(mart: DataFrame, year: int | None = None,
-                       blocks: int = DEFAULT_PARAMS.pair_blocks) -> DataFrame:
+def correlation_matrix(mart: DataFrame, year: int | None = None, blocks: int = 4) -> DataFrame:
     """Long-form symmetric matrix for one year (default: the latest).
 
     Symbols are those that appear in a pair that year; the diagonal is 1,
