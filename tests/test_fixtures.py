@@ -234,3 +234,11 @@ def test_global_denominator_single_date_frame_is_null(spark):
     # spans two dates -> a value; BBB and CCC again inside one date -> NULL.
     assert out[("BBB", d("2020-01-03"))] is None and out[("CCC", d("2020-01-03"))] is None
     assert out[("BBB", d("2020-01-06"))] is None and out[("CCC", d("2020-01-06"))] is None
+
+
+def test_bar_without_date_rejected(spark):
+    b = spark.createDataFrame([("aaa ", None, 1.0, 1.0, 1.0, 1.0, 1.0, 1, "x")],
+                              "symbol string, trade_date date, open double, high double, low double, "
+                              "close double, adj_close double, volume long, source string")
+    r = V.validate_bars(b).collect()[0]
+    assert r.symbol == "AAA" and r.reasons == ["missing_date"] and not r.is_valid

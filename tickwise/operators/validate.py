@@ -22,12 +22,14 @@ def _reasons(*pairs: tuple[Column, str]) -> Column:
 
 
 def validate_bars(df: DataFrame) -> DataFrame:
-    """Symbol trimmed + upper-cased and non-empty; each non-NULL price
-    > 0; high >= low when both are present; the whole row is rejected on any
+    """Symbol trimmed + upper-cased and non-empty; a date is required;
+    each non-NULL price > 0; high >= low when both are present; the whole
+    row is rejected on any
     failure. NaN prices (which pass ``<= 0`` in Python) and a NaN volume are
     rejected too (Q11, a documented deviation)."""
     sym = F.upper(F.trim(F.col("symbol")))
-    rules = [(sym.isNull() | (sym == ""), "empty_symbol")]
+    rules = [(sym.isNull() | (sym == ""), "empty_symbol"),
+             (F.col("trade_date").isNull(), "missing_date")]
     for c in PRICE_COLS:
         x = F.col(c)
         rules.append((x.isNotNull() & F.isnan(x), f"{c}_nan"))

@@ -185,7 +185,8 @@ def _z(x):
     return f"nullif(coalesce({x}, 0), 0)"
 
 
-_VALID_BARS_RULES = [("symbol IS NULL OR symbol = ''", "empty_symbol")]
+_VALID_BARS_RULES = [("symbol IS NULL OR symbol = ''", "empty_symbol"),
+                     ("trade_date IS NULL", "missing_date")]
 for _c in V.PRICE_COLS:
     _VALID_BARS_RULES += [(f"{_c} IS NOT NULL AND isnan({_c})", f"{_c}_nan"),
                           (f"{_c} IS NOT NULL AND NOT isnan({_c}) AND {_c} <= 0", f"{_c}_not_positive")]
