@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from tickwise.functions.num import NULL_KEY_TOKEN
 from tickwise.params import DEFAULT_PARAMS
 from tickwise.operators import staging as St, macro as Mc
 from tickwise.sources import testdata as Td, landing as Ld
@@ -34,7 +35,7 @@ def inlist(vals) -> str:
 
 
 def md5key(*parts: str) -> str:
-    tok = q("_dbt_utils_surrogate_key_null_")
+    tok = q(NULL_KEY_TOKEN)
     inner = " || '-' || ".join(f"coalesce(CAST({p} AS VARCHAR), {tok})" for p in parts)
     return f"md5({inner})"
 
