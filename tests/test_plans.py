@@ -63,7 +63,7 @@ def test_every_query_reads_each_large_input_at_most_once(spark):
     are needed repeatedly are stored first)."""
     import __spark_entry__ as E
     from tickwise.plans import job_queries as Jq
-    bad = {}
+    bad, python = {}, []
     for name, q in E.queries().items():
         if name in Jq.SPARK:
             continue
@@ -72,4 +72,7 @@ def test_every_query_reads_each_large_input_at_most_once(spark):
         n = max(p.count("lineitem.parquet"), p.count("orders.parquet"))
         if n > 1:
             bad[name] = n
+        if any(op in p for op in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "PythonUDF")):
+            python.append(name)     # every operator stays JVM-side
     assert not bad, bad
+    assert not python, python
