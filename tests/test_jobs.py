@@ -81,3 +81,24 @@ def test_micro_batch_replay_is_idempotent(spark):
     bars = first[0]
     assert len(bars) == 1 and bars[0].adj_close == 1.6          # later fetch wins
     assert sorted(r.reason for r in first[1]) == ["corrupt_record", "open_not_positive"]
+
+
+def test_upsert_rewrites_only_touched_years(spark):
+    import glob
+    import os
+    import uuid
+    from tests.fixtures import bars
+    from tickwise.operators import upsert as U
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    first = bars(spark, [("AAA", "2019-05-02", 10), ("AAA", "2020-05-04", 11), ("BBB", "2020-05-04", 5)])
+    J.upsert_into(spark, path, first, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+    before = {f: os.path.getmtime(f) for f in glob.glob(path + "/year=2019/*.parquet")}
+    batch = bars(spark, [("AAA", "2020-05-04", 12), ("CCC", "2020-05-05", 7)])
+    J.upsert_into(spark, path, batch, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+    after = {f: os.path.getmtime(f) for f in glob.glob(path + "/year=2019/*.parquet")}
+    assert before and before == after          # the untouched year kept its files
+    rows = {(r.symbol, str(r.trade_date)): r.adj_close for r in spark.read.parquet(path).collect()}
+    assert rows == {("AAA", "2019-05-02"): 10.0, ("AAA", "2020-05-04"): 12.0,
+                    ("BBB", "2020-05-04"): 5.0, ("CCC", "2020-05-05"): 7.0}
