@@ -2,8 +2,8 @@
 
 ``QUERIES[name] = (fn(models) -> DataFrame, final SQL or None)``. Every
 query reads the given tables (through the adapter) over their whole
-extent; an oracle of None means the result is checked on rows only and
-covered by a brute-force test on a fixture.
+extent; an oracle of None marks the four jobs with side effects, checked on
+rows only here and by asserting tests in ``tests/test_jobs.py``.
 """
 
 from __future__ import annotations
