@@ -30,7 +30,8 @@ def _land_json(frame: DataFrame, path: str) -> None:
 def corrupt_file_quarantine(m: Models) -> DataFrame:
     """A10: landed files with malformed lines (those of days whose volume is a
     multiple of 13 are cut short) read in one PERMISSIVE pass: each file's
-    good rows are kept, bad lines are counted, no file stops another."""
+    good rows are kept, bad lines are counted, no file stops another. One
+    result row per landing folder (symbol)."""
     d = _scratch(m, "landing")
     api = Iq.api_frame(m.raw_bars)
     lines = api.select(F.col("symbol").alias("sym"), F.to_json(F.struct(*api.columns)).alias("value"),
@@ -40,9 +41,11 @@ def corrupt_file_quarantine(m: Models) -> DataFrame:
     df = Ld.read_landed_bars(m.spark, d, "json")
     # The record's own columns are read too: a scan of the corrupt-record
     # column alone is refused by Spark (it would skip full parsing).
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
+    # One row per landing folder (per symbol), whatever the number of files.
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"sym=([^/]+)", 1)
+    return (df.select(folder.alias("landing_symbol"),
                       (F.col("_corrupt_record").isNotNull() | F.col("symbol").isNull()).alias("corrupt"))
-              .groupBy("file_path")
+              .groupBy("landing_symbol")
               .agg(F.count_if(~F.col("corrupt")).alias("rows_ok"),
                    F.count_if(F.col("corrupt")).alias("rows_corrupt")))
 
