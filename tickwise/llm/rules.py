@@ -28,6 +28,7 @@ MAX_RULES = 12
 MAX_CONDITIONS = 4
 THRESHOLDS = 64         # candidate thresholds for each statistic
 MIN_PRECISION = 0.95    # on the pruning rows, else learning ends
+GOOD_WEIGHT = 10        # a good row lost counts as so many bad rows kept
 MIN_COVER = 3           # fewest bad rows that a rule must name there
 
 WINDOW = 8              # words of a repeated window
@@ -151,7 +152,7 @@ def _best_condition(values, bad, on, cuts):
         for i, e in enumerate(edges):
             for above in (True, False):
                 a, b = ((p0 - below_p[i], n0 - below_n[i]) if above else (below_p[i], below_n[i]))
-                g = _gain(int(a), int(b), p0, n0)
+                g = _gain(int(a), GOOD_WEIGHT * int(b), p0, GOOD_WEIGHT * n0)
                 if g > gain:
                     best, gain = Condition(f, above, float(e)), g
     return best
@@ -185,7 +186,7 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray) -> list[list[Condition
         def worth(r):
             on = left & third & _cover(r, values, n)
             p, q = int((bad & on).sum()), int((~bad & on).sum())
-            return (p - q) / (p + q) if p + q else -1.0, p, q
+            return (p - GOOD_WEIGHT * q) / (p + q) if p + q else -1.0, p, q
 
         rule = max((rule[:k] for k in range(len(rule), 0, -1)), key=lambda r: worth(r)[0])
         _, p, q = worth(rule)
