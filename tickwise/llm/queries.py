@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import licenses, rules
-from tickwise.llm.common import labels_of, table
+from tickwise.llm import langid, licenses, rules
+from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -25,6 +25,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_is("doc_id", 5, 0)
+    return (langid.predict(docs, langid.train(docs, ~held_out))
+            .withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "lang_pred", "score", "languages"))
+
+
 @register("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(rules.statistics(table(spark, sf_dir, "documents")), "rule_stats")
