@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import langid, licenses, rules
+from tickwise.llm import langid, licenses, nbsvm, rules
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -34,6 +34,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", "languages"))
 
 
+@register("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_is("doc_id", 5, 0)
+    labels = labels_of(table(spark, sf_dir, "labels"), "quality").where(~held_out)
+    return (nbsvm.score(docs, nbsvm.train(docs, labels))
+            .select("doc_id", held_out.alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
 @register("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(rules.statistics(table(spark, sf_dir, "documents")), "rule_stats")
