@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_rows: i
              pa.array([m.offset])], ["weight", "bias", "slope", "offset"])
 
     one = (sample.mapInArrow(sets, "h bigint, id string, y int, slots binary")
-           .coalesce(1).sortWithinPartitions("h", "id", "slots"))
+           .repartition(1).sortWithinPartitions("h", "id", "slots"))
     got = one.mapInArrow(descent, "weight binary, bias double, slope double, offset double").collect()
     if not got:
         return fit([], np.zeros(0, dtype=bool), counts)
