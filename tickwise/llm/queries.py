@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import langid, licenses, nbsvm, rules
+from tickwise.llm import bpe, langid, licenses, mixing, nbsvm, rules, simhash
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -58,3 +61,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_license_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register("op6_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    coded = bpe.round_trip(docs, bpe.compile_merges(TOKENIZER))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, sf_dir, "documents"))
+
+
+@register("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
