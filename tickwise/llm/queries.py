@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, langid, licenses, mixing, nbsvm, rules, simhash
+from tickwise.llm import bpe, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -83,3 +83,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op9_warc", """
+  WITH p AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+      sha256(coalesce(html, '')) AS payload_digest FROM pages),
+  f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+  SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END
+      AS record_type,
+    CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+  FROM p LEFT JOIN f USING (payload_digest)""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op10_topk", """
+  WITH e AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+  s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+  SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
