@@ -2,12 +2,12 @@
 
 Vectors are dealt into blocks. A block's index holds, for each dimension,
 its postings by quantised impact: a segment lists the vectors whose
-component falls into one step of ``STEP``. A query runs through the
-segments of all dimensions in the order of how much they can move a score
-(query component times step middle), adding the contribution of a whole
-segment at a time. What is not added yet is bounded for every vector; the
-run stops only when that bound proves that few vectors can still be among
-the k best. These are rescored exactly.
+component has one sign and falls into one step of ``STEP``. A query runs
+through the segments of all dimensions from the highest impact down,
+adding the contribution of a whole segment at a time. What is not added
+yet is bounded for every vector by its length; the run stops only when
+that bound proves which few vectors can still be among the k best. These
+are rescored exactly.
 
 Queries are dealt into blocks as well; each query block visits each vector
 block. Every task holds one block of each.
@@ -28,8 +28,9 @@ SCALE = 256
 BLOCK_ROWS = 16_384       # vectors a block
 QUERY_ROWS = 1_024        # queries a block
 STEP = 8                  # width of an impact step
-CHECKS = 4                # times that a query tests for proof before the last segment
-MOST_RESCORED = 256       # candidates at which a proof is good enough to stop early
+CHECKS = 3                # the lowest steps, after each of which a query tests for proof
+RESCORED = 8              # a proof that leaves one in so many vectors is good enough to stop
+SKIPPED = 0.05            # share of a query's length whose dimensions are left to the bound
 
 
 def quantise(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -45,70 +46,69 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embeddin
 
 
 class Index:
-    """Postings of one block: by dimension and impact step, vector places."""
+    """Postings of one block by impact: a segment holds the places whose
+    component of one dimension has one sign and one step of magnitude.
+    Components below a step are in no segment; like everything that
+    quantising leaves out, they are covered by the lengths in ``rest``."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
-        self.steps = np.floor_divide(rows, STEP)
-        self.dim, self.middle, self.where, self.low, self.high = [], [], [], [], []
-        for d in range(rows.shape[1]):
-            col = self.steps[:, d]
-            order = np.argsort(col, kind="stable")
-            cut = np.flatnonzero(np.diff(col[order])) + 1
-            for part in np.split(order, cut):
-                if len(part):
-                    low = int(col[part[0]]) * STEP
-                    self.dim.append(d)
-                    self.low.append(low)
-                    self.high.append(low + STEP - 1)
-                    self.middle.append(low + STEP / 2 - 0.5)
-                    self.where.append(part)
-        self.dim = np.array(self.dim, dtype=np.int64)
-        self.middle = np.array(self.middle)
-        self.low, self.high = np.array(self.low, dtype=np.float64), np.array(self.high, dtype=np.float64)
-        rest = rows - (self.steps * STEP + STEP / 2 - 0.5)
-        self.rest = np.sqrt((rest ** 2).sum(axis=1))     # length of what quantising leaves out
+        self.ids, self.rows = ids, rows.astype(np.float64)     # exact: below 2**53, and products too
+        n, dims = rows.shape
+        level = np.abs(rows) // STEP
+        value = np.where(level > 0, np.sign(rows) * (level * STEP + (STEP - 1) / 2), 0.0)
+        self.norm = np.sqrt((self.rows ** 2).sum(axis=1))
+        # rest[j]: length of the rest of each vector once steps down to j are added.
+        top = int(level.max(initial=0))
+        self.checks = list(range(min(CHECKS, top), 0, -1)) or [1]
+        self.rest = {j: np.sqrt(((self.rows - np.where(level >= j, value, 0.0)) ** 2).sum(axis=1))
+                     for j in self.checks}
+        self.segments: dict[int, list[tuple[int, float, np.ndarray]]] = {}
+        for d in range(dims):
+            order = np.argsort(value[:, d], kind="stable")
+            cuts = np.flatnonzero(np.diff(value[order, d])) + 1
+            for part in np.split(order, cuts):
+                x = float(value[part[0], d])
+                if x:
+                    self.segments.setdefault(int(abs(x)) // STEP, []).append((d, x, part))
+        self.levels = sorted(self.segments, reverse=True)
 
     def search(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the k best rows but the query's own id."""
-        n = len(self.ids)
         free = self.ids != own
-        gain = self.middle * q[self.dim]
-        order = np.argsort(-np.abs(gain), kind="stable")
-        total = np.zeros(n)
-        norm = float(np.sqrt((q.astype(np.float64) ** 2).sum()))
-        # Of what a segment not added yet may give: at most this, in either direction.
-        reach = np.maximum(np.abs(self.low * q[self.dim]), np.abs(self.high * q[self.dim]))
-        left = np.zeros(len(q))
-        checks = {len(order) * (CHECKS + i) // (2 * CHECKS) for i in range(CHECKS)}
+        if np.count_nonzero(free) <= k:
+            return self._rescored(np.flatnonzero(free), q, k)
+        q = q.astype(np.float64)
+        length = np.sqrt(q @ q)
+        # Dimensions that hold SKIPPED of the query's length are left to the bound.
+        order = np.argsort(np.abs(q), kind="stable")
+        small = order[np.sqrt(np.cumsum(q[order] ** 2)) <= SKIPPED * length]
+        used = np.ones(len(q), dtype=bool)
+        used[small] = False
+        skipped = np.sqrt((q[small] ** 2).sum()) * self.norm
+        weight = np.where(used, q, 0.0).tolist()
+        total = np.zeros(len(self.ids))
         at = None
-        for done, s in enumerate(order):
-            if done in checks:
-                # The largest reach among the segments left of each dimension bounds it.
-                left[:] = 0.0
-                np.maximum.at(left, self.dim[order[done:]], reach[order[done:]])
-                at = self._proof(total, self.rest * norm + left.sum(), free, k)
-                if at is not None and len(at) <= max(MOST_RESCORED, 4 * k):
-                    break
-            total[self.where[s]] += gain[s]
-        else:
-            at = self._proof(total, self.rest * norm, free, k)
-        if at is None:                              # fewer rows than k: all of them
-            at = np.flatnonzero(free)
-        exact = self.rows[at] @ q
+        todo = list(self.levels)
+        for j in self.checks:
+            while todo and todo[0] >= j:
+                for d, x, part in self.segments[todo.pop(0)]:
+                    w = weight[d]
+                    if w:
+                        total[part] += w * x
+            # By Cauchy and Schwarz, a score is this near; a unit more for rounding.
+            error = length * self.rest[j] + skipped + 1.0
+            sure = np.where(free, total - error, -np.inf)
+            bar = np.partition(sure, len(sure) - k)[len(sure) - k]
+            at = np.flatnonzero(free & (total + error >= bar))
+            if len(at) <= max(4 * k, len(free) // RESCORED):
+                break
+        return self._rescored(at, q, k)
+
+    def _rescored(self, at: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        exact = self.rows[at] @ q.astype(np.float64)
         best = np.lexsort((self.ids[at], -exact))[:k]
         return self.ids[at][best], exact[best]
 
-    @staticmethod
-    def _proof(total: np.ndarray, error: np.ndarray, free: np.ndarray, k: int) -> np.ndarray | None:
-        """Places that may be among the k best, given that scores are within
-        ``error`` of ``total``; one unit more for rounding."""
-        if np.count_nonzero(free) <= k:
-            return None
-        sure = np.where(free, total - error - 1.0, -np.inf)
-        bar = np.partition(sure, len(sure) - k)[len(sure) - k]
-        return np.flatnonzero(free & (total + error + 1.0 >= bar))
-
 
 def _exact(ids: np.ndarray, rows: np.ndarray, q: np.ndarray, k: int, own: int):
     """As ``Index.search`` for components too large for it: integers of any size."""
