@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 
 from tickwise.llm.common import map_texts
 
-WORD_CACHE = 200_000      # words whose codes a worker remembers; then it starts anew
-ARC_CACHE = 1_000_000     # arcs that a worker remembers
+WORD_CACHE = 100_000      # words whose codes a worker remembers; then it starts anew
+ARC_CACHE = 200_000       # arcs that a worker remembers
 CACHED_CHARS = 64         # longer words are encoded each time
 
 # White space of the splitting pattern, and its clitics.

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
+from tickwise.llm import bpe, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -47,6 +47,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
 
 
+@register("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder_is("doc_id", 7, 2)
+    return (kneser_ney.fit_and_score(table(spark, sf_dir, "documents"), ~held_out)
+            .withColumn("held_out", ~F.col("learned"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
 @register("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(rules.statistics(table(spark, sf_dir, "documents")), "rule_stats")
