@@ -37,8 +37,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tickwise.llm.common import arrow_batches
 from tickwise.session import stored
 
-SHARD_TOKENS = 1 << 21    # tokens for each shard, about
-BLOCK_TOKENS = 1 << 22    # tokens after which a task begins a new block
+SHARD_TOKENS = 1 << 22    # tokens for each shard, at most
+BLOCK_TOKENS = 1 << 21    # tokens after which a task begins a new block
 BYTES_PER_TOKEN = 6
 BEGIN, END = b" <s>", b" </s>"     # no word holds a space
 _LOW40 = np.uint64((1 << 40) - 1)
@@ -90,7 +90,7 @@ def block_of(texts: list[bytes | None], train: list[bool]) -> Block:
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed string."""
     head = np.array([len(arrays), *(x for a in arrays for x in (a.dtype.num, len(a)))], dtype=np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(
+    return zstandard.ZstdCompressor(level=3).compress(
         b"".join([head.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)]))
 
 
@@ -124,12 +124,21 @@ def _join40(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return high.astype(np.uint64) << np.uint64(8) | low.astype(np.uint64)
 
 
+def _word_bits(bits: int) -> int:
+    """Of a shard's bits, those that the second word gives: few, as a context
+    is written once in each shard that holds it."""
+    return bits // 3
+
+
 def pair_shards(b: Block, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """Shard and places (in ``b.pairs``, in order) of its pairs."""
-    lead = (b.words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(b.words), np.int64)
-    shard = lead[b.pairs >> 32] << bits | lead[b.pairs & 0xFFFFFFFF]
+    by_word = _word_bits(bits)
+
+    def lead(n: int) -> np.ndarray:
+        return (b.words >> np.uint64(64 - n)).astype(np.int64) if n else np.zeros(len(b.words), np.int64)
+    shard = (lead(bits - by_word) << by_word)[b.pairs >> 32] | lead(by_word)[b.pairs & 0xFFFFFFFF]
     order = np.argsort(shard, kind="stable")
-    edges = np.searchsorted(shard[order], np.arange((1 << 2 * bits) + 1))
+    edges = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
     for s, (i, j) in enumerate(zip(edges, edges[1:])):
         if i < j:
             yield s, order[i:j]
@@ -140,7 +149,7 @@ def word_shards(words: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     if not bits:
         yield 0, 0, len(words)
         return
-    step = np.arange(1, 1 << 2 * bits, dtype=np.uint64) << np.uint64(64 - 2 * bits)
+    step = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
     edges = [0, *np.searchsorted(words, step).tolist(), len(words)]
     for s, (i, j) in enumerate(zip(edges, edges[1:])):
         if i < j:
@@ -225,10 +234,11 @@ def merge_pairs(shard: int, rows: list[tuple], bits: int) -> Iterator[tuple]:
             yield r
     if not asked:
         return
-    contexts = np.unique(np.concatenate([a[1] for a in asked]))
+    heads = [_join40(a[1], a[2]) for a in asked]
+    contexts = np.unique(np.concatenate(heads))
     keys = [np.repeat(np.searchsorted(contexts, v).astype(np.uint64), runs) << np.uint64(40) | _join40(hi, lo)
-            for _, v, runs, hi, lo, _ in asked]
-    pairs, n = _sum_by(np.concatenate(keys), np.concatenate([a[5] for a in asked]))
+            for v, (_, _, _, runs, hi, lo, _) in zip(heads, asked)]
+    pairs, n = _sum_by(np.concatenate(keys), np.concatenate([a[6] for a in asked]))
     pairs, n = pairs[n > 0], n[n > 0]
     yield "model", shard, "", pack(contexts, pairs, _small(n))
     pairs, n = mapped(pairs, n)
@@ -237,7 +247,7 @@ def merge_pairs(shard: int, rows: list[tuple], bits: int) -> Iterator[tuple]:
     yield "stat2", shard, "", pack(np.array([np.count_nonzero(n == k) for k in (1, 2, 3, 4)], dtype=np.int64))
     of, *sums = _sum_by(pairs >> np.uint64(40), n, n == 1, n == 2, n >= 3)
     v = contexts[of.astype(np.int64)]
-    for s, i, j in word_shards(v, bits):
+    for s, i, j in word_shards(v << np.uint64(24), bits):
         yield "contexts", s, "", pack(v[i:j], *(_small(x[i:j]) for x in sums))
     w, times = np.unique(pairs & _LOW40, return_counts=True)
     for s, i, j in word_shards(w << np.uint64(24), bits):
@@ -260,7 +270,7 @@ def merge_words(shard: int, rows: list[tuple]) -> Iterator[tuple]:
     if contexts:
         v, *sums = _sum_by(np.concatenate([x[0] for x in contexts]),
                            *(np.concatenate([x[k] for x in contexts]) for k in (1, 2, 3, 4)))
-        columns[2:] = _looked_up(v, words, *sums)
+        columns[2:] = _looked_up(v, words >> np.uint64(24), *sums)
     a = columns[1]
     yield "stat1", shard, "", pack(np.array(
         [n.sum(), np.count_nonzero(n), a.sum(), *(np.count_nonzero(a == k) for k in (1, 2, 3, 4)),
@@ -323,8 +333,8 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
 
     A null or empty text is one token, its end. Repeated rows count and are
     scored each. Without training rows every token has the uniform share.
-    No rows: none. Words are told apart by 64-bit hashes, of bigrams the
-    second word by its leading 40 bits.
+    No rows: none. Words are told apart by 64-bit hashes, within
+    bigrams by their leading 40 bits.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -333,9 +343,9 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     tokens = size / BYTES_PER_TOKEN
     bits = 0
-    while (1 << 2 * bits) * shard_tokens < tokens:
+    while shard_tokens << bits < tokens:
         bits += 1
-    shards = 1 << 2 * bits
+    shards = 1 << bits
     ids_type = picked.schema["doc_id"].dataType.simpleString()
 
     # The blocks: their texts in one row each, so that both runs see the same.
@@ -385,8 +395,8 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
                     v, w = b.pairs[at] >> 32, b.words[b.pairs[at] & 0xFFFFFFFF]
                     first = _runs(v)
                     runs = np.diff(first, append=len(v))
-                    yield _batch([("pairs", s, name, pack(b.words[v[first]], _small(runs), *_split40(w),
-                                                          _small(b.pair_n[at])))])
+                    yield _batch([("pairs", s, name, pack(
+                        *_split40(b.words[v[first]]), _small(runs), *_split40(w), _small(b.pair_n[at])))])
                 for s, i, j in word_shards(b.words, bits):
                     yield _batch([("words", s, name, pack(b.words[i:j], _small(b.word_n[i:j])))])
 
