@@ -278,8 +278,9 @@ def test_bpe_arcs_are_the_adjacent_pairs(reference):
     a = bpe.compile_merges(TOKENIZER)
     coder = bpe.Coder(a)
     rng = random.Random(5)
-    letters = [i for i, x in enumerate(a.labels) if x.isascii() and x.isalpha()]
-    final = [i for i, x in enumerate(a.labels) if x.endswith("</w>") and x[:-4].isascii() and x[:-4].isalpha()]
+    letters = [i for i, x in enumerate(a.labels) if x.isascii() and x.isalpha() and x.islower()]
+    final = [i for i, x in enumerate(a.labels) if x.endswith("</w>") and x[:-4].isascii()
+             and x[:-4].isalpha() and x.islower()]
     for _ in range(3000):
         u, v = rng.choice(letters), rng.choice(final)
         word = a.labels[u] + a.labels[v][:-4]

@@ -113,7 +113,7 @@ class Index:
 def _exact(ids: np.ndarray, rows: np.ndarray, q: np.ndarray, k: int, own: int):
     """As ``Index.search`` for components too large for it: integers of any size."""
     at = np.flatnonzero(ids != own)
-    scores = [int(sum(int(a) * int(b) for a, b in zip(rows[i], q))) for i in at]
+    scores = [min(max(sum(int(a) * int(b) for a, b in zip(rows[i], q)), -1 << 63), (1 << 63) - 1) for i in at]
     best = sorted(range(len(at)), key=lambda j: (-scores[j], ids[at[j]]))[:k]
     return ids[at[best]], np.array([scores[j] for j in best], dtype=object)
 
@@ -127,7 +127,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
     Left out: see ``quantise``. A row is never a candidate of a query of its
     own id; repeated rows of another id are candidates each, of rows with a
     query's id the one with the smallest vector asks. Vectors of
-    another length than the query's are no candidates. No rows: none.
+    another length than the query's are no candidates. Scores beyond a long
+    stop at its ends. No rows: none.
     """
     spark = vectors.sparkSession
     clean = stored(quantise(vectors, id_col, vector).withColumn("width", F.size("v")), "quantised")

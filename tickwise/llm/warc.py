@@ -167,19 +167,19 @@ def records_of(stream, piece: int = 1 << 20) -> Iterator[bytes]:
         made = zstandard.ZstdCompressionDict(stream.read(struct.unpack("<I", buffer[4:])[0]))
         buffer = b""
     unpacker = zstandard.ZstdDecompressor(dict_data=made)
-    frame, parts = unpacker.decompressobj(), []
+    frame, parts, begun = unpacker.decompressobj(), [], False
     while True:
         if not buffer:
             buffer = stream.read(piece)
             if not buffer:
                 break
         parts.append(frame.decompress(buffer))
-        buffer = b""
+        buffer, begun = b"", True
         if frame.eof:
             yield b"".join(parts)
             buffer = frame.unused_data
-            frame, parts = unpacker.decompressobj(), []
-    if any(parts):
+            frame, parts, begun = unpacker.decompressobj(), [], False
+    if begun:
         raise ValueError("the archive ends inside a record")
 
 
