@@ -67,6 +67,62 @@ def test_global_denominator_matches_single_window(spark, mid):
     assert (abs(m.beta[ok] - m.want[ok].round(4)) <= 1.01e-4).all()
 
 
+def _flat_cases(spark, window):
+    """Returns of two symbols and a benchmark that is flat at the start, over
+    a stretch longer than the window, and at a constant non-zero return."""
+    import datetime as dt
+    rng = np.random.default_rng(1)
+    bench = [0.0] * 9 + [0.01, -0.02, 0.015] + [0.0] * (window + 4) + [0.03] + [0.00123] * (window + 5) + [-0.01] * 2
+    start = dt.date(2020, 1, 1)
+    rows = []
+    for i, b in enumerate(bench):
+        d = start + dt.timedelta(days=i)
+        rows.append(("^IDX", d, 100.0, float(b)))
+        rows.append(("AAA", d, 10.0, float(rng.normal())))
+        if i % 3:
+            rows.append(("BBB", d, 10.0, float(rng.normal())))
+    return spark.createDataFrame(rows, "symbol string, trade_date date, adj_close double, simple_return double")
+
+
+@pytest.mark.parametrize("window", [4, 7])
+def test_beta_is_null_over_flat_benchmark(spark, mid, window):
+    params = mid.params.with_(beta_window=window, benchmark="^IDX")
+    x = S.with_benchmark(_flat_cases(spark, window), params)
+    plain = (x.where("has_bench AND symbol <> '^IDX'")
+              .select("symbol", "trade_date", "simple_return", "bench_return")
+              .toPandas().sort_values(["symbol", "trade_date"]))
+    got = {(r.symbol, r.trade_date): r.beta for r in S.with_rolling_beta(x, params).collect()}
+    flat = 0
+    for _, g in plain.groupby("symbol"):
+        g = g.reset_index(drop=True)
+        for i in range(len(g)):
+            f = g.iloc[max(0, i - window + 1):i + 1]
+            beta = got[(g.symbol[i], g.trade_date[i])]
+            if f.bench_return.nunique() == 1:
+                flat += 1
+                assert beta is None
+            else:
+                want = np.cov(f.simple_return, f.bench_return, ddof=0)[0, 1] / np.var(f.bench_return)
+                assert abs(beta - want) <= 1.01e-4 * max(1, abs(want))
+    assert flat > 20
+
+
+@pytest.mark.parametrize("window", [4, 7])
+def test_global_beta_is_null_over_flat_benchmark(spark, mid, window):
+    params = mid.params.with_(beta_window=window, benchmark="^IDX")
+    rows = _flat_cases(spark, window)
+    x = S.with_benchmark(rows, params).where("symbol <> '^IDX'").toPandas().sort_values(
+        ["trade_date", "symbol"]).reset_index(drop=True)
+    got = {(r.symbol, r.trade_date): r.beta for r in S.rolling_beta_global_denominator(rows, params).collect()}
+    flat = 0
+    for i in range(len(x)):
+        f = x.bench_return[max(0, i - window + 1):i + 1]
+        beta = got[(x.symbol[i], x.trade_date[i])]
+        assert (beta is None) == (f.nunique() == 1)
+        flat += beta is None
+    assert flat > 10
+
+
 def test_cumulative_return_invariant(spark, mid):
     f = mid.fact.select("symbol", "trade_date", "adj_close", "cum_return").toPandas()
     first = (mid.stg_bars.groupBy("symbol").agg({"trade_date": "min"}).toPandas())

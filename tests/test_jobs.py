@@ -102,3 +102,54 @@ def test_upsert_rewrites_only_touched_years(spark):
     rows = {(r.symbol, str(r.trade_date)): r.adj_close for r in spark.read.parquet(path).collect()}
     assert rows == {("AAA", "2019-05-02"): 10.0, ("AAA", "2020-05-04"): 12.0,
                     ("BBB", "2020-05-04"): 5.0, ("CCC", "2020-05-05"): 7.0}
+
+
+def test_published_files_are_sorted(spark):
+    import glob
+    import os
+    import uuid
+    import pyarrow.parquet as pq
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    J.publish(Models(spark, SF_SMALL).raw_bars, path)
+    files = glob.glob(path + "/year=*/*.parquet")
+    assert files
+    for f in files:
+        t = pq.read_table(f, columns=["symbol", "trade_date"]).to_pylist()
+        keys = [(r["symbol"], r["trade_date"]) for r in t]
+        assert keys == sorted(keys)
+
+
+def test_load_keeps_one_row_a_key(spark):
+    import os
+    import uuid
+    from tests.fixtures import bars
+    from tickwise.operators import upsert as U
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    rows = bars(spark, [("AAA", "2020-05-04", 11), ("AAA", "2020-05-04", 12), ("BBB", "2020-05-04", 5)])
+    one = J.deduped(rows, U.BAR_KEYS, U.BAR_UPDATES)
+    assert one.columns == rows.columns and one.count() == 2
+    seq = rows.withColumn("batch_seq", -F.col("adj_close"))
+    got = {r.symbol: r.adj_close for r in J.deduped(seq, U.BAR_KEYS, U.BAR_UPDATES).collect()}
+    assert got == {"AAA": 11.0, "BBB": 5.0}         # the last by sequence wins
+
+
+def test_only_a_missing_table_is_no_table(spark, monkeypatch):
+    import os
+    import uuid
+    import pytest
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    assert J.table_exists(spark, path) is False
+    os.makedirs(path)
+    assert J.table_exists(spark, path) is False
+
+    class Denied:
+        @property
+        def read(self):
+            raise PermissionError("denied")
+    with pytest.raises(PermissionError):
+        J.table_exists(Denied(), path)

@@ -147,19 +147,27 @@ def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str =
     not counted), per symbol; NULL for the benchmark itself and for rows
     without a benchmark bar. Needs the ``with_benchmark`` columns.
 
-    Computed from running sums (see ``trailing_moments``); a frame with a
-    single benchmark value has variance exactly 0 in the window form and is
-    NULL here by rule, not by a floating residue."""
+    Computed from running sums (see ``trailing_moments``). A frame over which
+    the benchmark return doesn't change has variance exactly 0 in the window
+    form and is NULL here by rule, not by a floating residue: ``_c_turn`` is
+    the number of the last benchmark value that differs from the one before
+    it, and the frame is flat if that isn't after its first value."""
     w = params.beta_window
     mom, ordered = trailing_moments("simple_return", "bench_return", w, "has_bench")
-    x = df.select("*", *[c.alias(f"_c_{k}") for k, c in mom.items()])
+    run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.when(F.col("has_bench"), F.col("bench_return"))
+    before = F.last(value, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    x = df.select("*", *[c.alias(f"_c_{k}") for k, c in mom.items()],
+                  (value.isNotNull() & ~value.eqNullSafe(before)).alias("_c_turns"))
+    x = x.withColumn("_c_turn", F.max(F.when(F.col("_c_turns"), F.col("_c_nb"))).over(run))
     fs = {k: _frame_sum(f"_c_{k}", ordered, w) for k in mom}
     x = x.select("*", *[v.alias(f"_f_{k}") for k, v in fs.items()])
     n, sx, sy, sxy = (F.col(f"_f_{k}") for k in ("n", "sx", "sy", "sxy"))
     nb, sb, sbb = (F.col(f"_f_{k}") for k in ("nb", "sb", "sbb"))
     nd, nbd = n.cast("double"), nb.cast("double")
     cov = F.when(n > 0, (sxy - sx * sy / nd) / nd)
-    var = F.when(nb > 1, (sbb - sb * sb / nbd) / nbd).when(nb == 1, F.lit(0.0))
+    flat = F.col("_c_turn") <= F.col("_c_nb") - nb + 1
+    var = F.when(flat, F.lit(0.0)).when(nb > 1, (sbb - sb * sb / nbd) / nbd)
     beta = F.when(F.col("has_bench") & (F.col("symbol") != params.benchmark),
                   rnd(safe_div(cov, var), 4))
     return x.withColumn(out, beta).drop(*[c for c in x.columns if c.startswith(("_c_", "_f_"))])
@@ -188,9 +196,10 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
     the date; sums of 1, b and b^2 up to any k come from date-level prefix
     sums (one row per date, so the only unpartitioned window is over the
     calendar) plus the within-date offset; the frame sum is P(k) - P(k-w),
-    with P(k-w) fetched by an equi-join on the position. A frame inside a
-    single date has constant b, where the window gives exactly 0 and hence
-    NULL; the difference form would leave a residue, so it is set NULL.
+    with P(k-w) fetched by an equi-join on the position. Over a frame of one
+    constant b the window gives exactly 0 and hence NULL; the difference form
+    would leave a residue, so a frame in which b hasn't changed since its
+    first value is set NULL.
     """
     w = params.beta_window
     m = (with_benchmark(returns, params)
@@ -217,12 +226,16 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
         (F.sum(c).over(wd) - c).alias("c_prev"),
         (F.sum(c * vi).over(wd) - c * vi).alias("n_prev"),
         (F.sum(c * b0).over(wd) - c * b0).alias("s1_prev"),
-        (F.sum(c * b0 * b0).over(wd) - c * b0 * b0).alias("s2_prev"))
+        (F.sum(c * b0 * b0).over(wd) - c * b0 * b0).alias("s2_prev"),
+        (bb.isNotNull() & ~bb.eqNullSafe(F.last("b", ignorenulls=True).over(
+            Window.orderBy("trade_date").rowsBetween(Window.unboundedPreceding, -1)))).alias("turns"))
+    # the valid rows before the last date at which b changed
+    day = day.withColumn("turn", F.max(F.when(F.col("turns"), F.col("n_prev"))).over(wd)).drop("turns")
     j = F.row_number().over(Window.partitionBy("trade_date").orderBy("symbol"))
     rows = x.join(day.drop("b"), "trade_date").withColumn("j", j)
     ji = F.col("j")
     rows = rows.select(
-        "symbol", "trade_date", "cov", "c_prev",
+        "symbol", "trade_date", "cov", "turn",
         (F.col("c_prev") + ji).alias("k"),
         (F.col("n_prev") + ji * ind).alias("pn"),
         (F.col("s1_prev") + ji * F.coalesce(b, F.lit(0.0))).alias("p1"),
@@ -234,6 +247,6 @@ def rolling_beta_global_denominator(returns: DataFrame, params: Params = DEFAULT
     s1 = F.col("p1") - F.coalesce(F.col("q1"), F.lit(0.0))
     s2 = F.col("p2") - F.coalesce(F.col("q2"), F.lit(0.0))
     var = F.when(n > 0, s2 / n - (s1 / n) * (s1 / n))
-    single_date = F.greatest(F.col("k") - w, F.lit(0)) >= F.col("c_prev")
-    beta = F.when(~single_date, rnd(safe_div(F.col("cov"), var), 4))
+    flat = F.col("turn") <= F.coalesce(F.col("qn"), F.lit(0))
+    beta = F.when(~flat, rnd(safe_div(F.col("cov"), var), 4))
     return y.select("symbol", "trade_date", beta.alias("beta"))

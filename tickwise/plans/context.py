@@ -1,7 +1,9 @@
 """Lazily built model DataFrames for one input folder.
 
-Nothing here runs a job: each property composes a DataFrame plan once so
-that queries sharing a model share the same plan objects.
+Each property composes a DataFrame plan once so that queries sharing a
+model share the same plan objects. Composing runs no job, except for what
+is stored on the way: the stored models, the pair vectors of the
+correlation mart and the rows of the global-denominator beta.
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +28,12 @@ def with_year(df: DataFrame, date_col: str) -> DataFrame:
 
 def layout(df: DataFrame, date_col: str = "trade_date", key_col: str | None = "symbol") -> DataFrame:
     """H5: spread by (year, key) so one heavy year still spans many tasks,
-    then sort inside each file by key and date."""
+    then sort inside each file by key and date. The sort leads with the year,
+    as a partitioned write asks for: Spark would else sort anew by year alone."""
     d = with_year(df, date_col)
     parts = [F.col("year")] + ([F.col(key_col)] if key_col and key_col in d.columns else [])
     sort = ([key_col] if key_col and key_col in d.columns else []) + [date_col]
-    return d.repartition(*parts).sortWithinPartitions(*sort)
+    return d.repartition(*parts).sortWithinPartitions("year", *sort)
 
 
 def publish(df: DataFrame, path: str, date_col: str = "trade_date",
@@ -42,11 +44,16 @@ def publish(df: DataFrame, path: str, date_col: str = "trade_date",
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored at ``path``. Only a missing path and a folder
+    without data files mean no; any other error rises, so that a failed read
+    never turns an upsert into an overwrite."""
     try:
         spark.read.parquet(path).schema
         return True
-    except Exception:  # noqa: BLE001 - missing path or empty folder
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
@@ -91,6 +98,15 @@ def materialise(spark: SparkSession, df: DataFrame, name: str, kind: str = "tabl
     return spark.table(name)
 
 
+def deduped(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """A19 for a load: one row a key. ``batch_seq`` orders rows of equal keys
+    (the last one's updated columns win); where the source gives none, the
+    rows' own values do, so that reruns agree."""
+    if "batch_seq" not in rows.columns:
+        rows = rows.withColumn("batch_seq", F.struct(*[F.col(c) for c in rows.columns if c not in keys]))
+    return U.dedupe_batch(rows, keys, update_cols, "batch_seq")
+
+
 def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
                  assets: DataFrame, mode: str = "incremental", only: str | None = None,
                  start_date: str = "2019-01-01") -> DataFrame:
@@ -108,7 +124,7 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
         if step == "assets":
             v = V.validate_assets(assets)
             rejects.append(V.quarantine(v, "assets", ["symbol"]))
-            good = V.valid_rows(v)
+            good = deduped(V.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES)
             if table_exists(spark, paths["assets"]):
                 current = spark.read.parquet(paths["assets"])
                 good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS, U.ASSET_UPDATES)
@@ -116,7 +132,7 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
         elif step == "prices":
             v = V.validate_bars(bars)
             rejects.append(V.quarantine(v, "bars", ["symbol", "trade_date"]))
-            good = V.valid_rows(v).drop("volume_raw")
+            good = deduped(V.valid_rows(v).drop("volume_raw"), U.BAR_KEYS, U.BAR_UPDATES)
             if mode == "incremental" and table_exists(spark, paths["prices"]):
                 good = U.incremental_filter(spark.read.parquet(paths["prices"]).drop("year"),
                                             good, start_date)
@@ -124,8 +140,8 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
         elif step == "macro":
             v = V.validate_macro(macro)
             rejects.append(V.quarantine(v, "macro", ["obs_date", "series"]))
-            upsert_into(spark, paths["macro"], V.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES,
-                        "obs_date")
+            good = deduped(V.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
+            upsert_into(spark, paths["macro"], good, U.MACRO_KEYS, U.MACRO_UPDATES, "obs_date")
         else:
             raise ValueError(f"unknown step {step!r}")
     if rejects:

@@ -40,12 +40,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Jobs cut lineage, stage rewrites and keep streaming state only there.
-    When the session names none, a folder inside the catalog's warehouse
-    (shared storage by definition) is used, never a local temporary folder.
+    When a local session names none, a folder inside its warehouse is used;
+    on a cluster the setting is needed, as a warehouse may be a local folder.
     Only session configuration is read, so this works on any session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tickwise_checkpoints"
     return d.rstrip("/")
 
