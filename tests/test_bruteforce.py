@@ -52,7 +52,7 @@ def test_pair_correlation_blocks_match_bruteforce(spark, mid, blocks):
 def test_global_denominator_matches_single_window(spark, mid):
     params = mid.params
     x = S.with_benchmark(mid.returns, params)
-    pdf = (x.where("has_bench AND symbol <> '^IDX'")
+    pdf = (x.where(f"has_bench AND symbol <> '{params.benchmark}'")
             .select("symbol", "trade_date", "simple_return", "bench_return").toPandas()
             .sort_values(["trade_date", "symbol"]).reset_index(drop=True))
     var = pdf.bench_return.rolling(params.beta_window, min_periods=1).var(ddof=0)
@@ -88,7 +88,7 @@ def _flat_cases(spark, window):
 def test_beta_is_null_over_flat_benchmark(spark, mid, window):
     params = mid.params.with_(beta_window=window, benchmark="^IDX")
     x = S.with_benchmark(_flat_cases(spark, window), params)
-    plain = (x.where("has_bench AND symbol <> '^IDX'")
+    plain = (x.where(f"has_bench AND symbol <> '{params.benchmark}'")
               .select("symbol", "trade_date", "simple_return", "bench_return")
               .toPandas().sort_values(["symbol", "trade_date"]))
     got = {(r.symbol, r.trade_date): r.beta for r in S.with_rolling_beta(x, params).collect()}

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 class Params:
     vol_window: int = 21          # rows in the rolling volatility frame
     beta_window: int = 252        # rows in the rolling beta frame
-    benchmark: str = "^IDX"       # symbol used as the market benchmark
+    benchmark: str = "^BVSP"      # symbol used as the market benchmark
     annualisation: int = 252      # trading days per year
     start_date: str = "2019-01-01"  # fallback start of an incremental load
     min_pair_obs: int = 20        # least common days for a pair correlation
