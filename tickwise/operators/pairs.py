@@ -67,11 +67,11 @@ def _welford(va: str, vb: str) -> Column:
     return F.expr(f"aggregate({zipped}, {init}, (acc, p) -> {upd})")
 
 
-def _corr_from_moments(m: str) -> Column:
+def _corr_from_moments() -> Column:
     """covar_pop / NULLIF(stddev_pop(x) * stddev_pop(y), 0)  (Q3 formula)."""
-    n = F.col(f"{m}.n").cast("double")
-    cov = F.col(f"{m}.cxy") / n
-    den = F.sqrt(F.col(f"{m}.m2x") / n) * F.sqrt(F.col(f"{m}.m2y") / n)
+    n = F.col("n").cast("double")
+    cov = F.col("cxy") / n
+    den = F.sqrt(F.col("m2x") / n) * F.sqrt(F.col("m2y") / n)
     return F.when(n > 0, cov / F.when(den != 0, den))
 
 
@@ -103,11 +103,11 @@ def pair_blocks(vectors: DataFrame, params: Params = DEFAULT_PARAMS) -> int:
     """Blocks for the pair join: the parameter if set, else enough blocks
     that one block holds about ``pair_block_symbols`` symbols, so a task's
     pair count stays bounded as the number of symbols grows. Counting the
-    symbols reads the small stored vector table only."""
+    symbols reads the small stored table only."""
     if params.pair_blocks:
         return int(params.pair_blocks)
     n = vectors.select("symbol").distinct().count()
-    return max(1, min(params.max_pair_blocks, math.ceil(n / params.pair_block_symbols)))
+    return max(1, math.ceil(n / params.pair_block_symbols))
 
 
 def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
@@ -119,10 +119,13 @@ def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
     # twice; this also cuts the lineage a lost executor would replay.
     v = stored(year_vectors(fact, params), "pair_vectors")
     j = blocked_pairs(v, "symbol", "year", pair_blocks(v, params), carry=["vec"])
-    mom = j.select("symbol_a", "symbol_b", "year", _welford("vec_a", "vec_b").alias("m"))
-    return (mom.where(F.col("m.n") >= min_obs)
-               .select("symbol_a", "symbol_b", "year", F.col("m.n").alias("n_obs"),
-                       _corr_from_moments("m").alias("corr_raw")))
+    # The moments come out of a generator: a plain column would be pushed with
+    # the filter into the join condition and evaluated there on every ordered
+    # candidate, and once more for the result.
+    mom = j.select("symbol_a", "symbol_b", "year", F.inline(F.array(_welford("vec_a", "vec_b"))))
+    return (mom.where(F.col("n") >= min_obs)
+               .select("symbol_a", "symbol_b", "year", F.col("n").alias("n_obs"),
+                       _corr_from_moments().alias("corr_raw")))
 
 
 def asset_pairs(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -161,33 +164,27 @@ def correlation_mart(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
         diversification_col().alias("diversification"))
 
 
-def correlation_matrix(mart: DataFrame, year: int | None = None, blocks: int = 4) -> DataFrame:
+def correlation_matrix(mart: DataFrame, year: int | None = None,
+                       params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Long-form symmetric matrix for one year (default: the latest).
 
     Symbols are those that appear in a pair that year; the diagonal is 1,
     a pair's value is mirrored, and a pair absent from the mart is 0. The
-    mart is read once (one explode emits both orientations and the diagonal
-    entry of each side); the dense grid of the year's symbols is the output
-    itself and is formed by the blocked pair join, so no task holds a whole
+    mart is read several times, so pass a stored one. The dense grid of the
+    year's symbols is the output itself and is formed by the blocked pair
+    join, its blocks sized as those of the pairs, so no task holds a whole
     year's grid.
     """
     y = F.lit(year) if year is not None else mart.select(F.max("year")).scalar()
-    m = mart.where(F.col("year") == y)
-    e = m.select("year", F.explode(F.array(
-        F.struct(F.col("symbol_a").alias("a"), F.col("symbol_b").alias("b"),
-                 F.col("correlation").alias("c")),
-        F.struct(F.col("symbol_b").alias("a"), F.col("symbol_a").alias("b"),
-                 F.col("correlation").alias("c")),
-        F.struct(F.col("symbol_a").alias("a"), F.col("symbol_a").alias("b"),
-                 F.lit(1.0).alias("c")),
-        F.struct(F.col("symbol_b").alias("a"), F.col("symbol_b").alias("b"),
-                 F.lit(1.0).alias("c")))).alias("p"))
-    cells = (e.select("year", F.col("p.a").alias("symbol_a"), F.col("p.b").alias("symbol_b"),
-                      F.col("p.c").alias("c"))
-              .groupBy("year", "symbol_a", "symbol_b").agg(F.first("c").alias("c")))
-    syms = cells.where(F.col("symbol_a") == F.col("symbol_b")).select(
-        F.col("symbol_a").alias("symbol"), "year")
-    grid = blocked_pairs(syms, "symbol", "year", blocks, strict=False)
+    m = mart.where(F.col("year") == y).select("year", "symbol_a", "symbol_b", "correlation")
+    syms = stored(m.select("year", F.explode(F.array("symbol_a", "symbol_b")).alias("symbol"))
+                   .distinct(), "matrix_symbols")
+    cells = m.select("year", F.inline(F.array(
+        F.struct(F.col("symbol_a"), F.col("symbol_b"), F.col("correlation").alias("c")),
+        F.struct(F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"),
+                 F.col("correlation").alias("c")))))
+    grid = blocked_pairs(syms, "symbol", "year", pair_blocks(syms, params), strict=False)
     g = grid.join(cells.withColumn("present", F.lit(True)), ["year", "symbol_a", "symbol_b"], "left")
-    val = F.when(F.col("present"), F.col("c")).otherwise(F.lit(0.0))
+    val = (F.when(F.col("symbol_a") == F.col("symbol_b"), F.lit(1.0))
+            .when(F.col("present"), F.col("c")).otherwise(F.lit(0.0)))
     return g.select("year", "symbol_a", "symbol_b", val.alias("correlation"))

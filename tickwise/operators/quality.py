@@ -114,14 +114,25 @@ def _row_count_expr(t: Test) -> Column:
     return F.expr(f"count_if({cond})")
 
 
-def _result(df1: DataFrame, t: Test) -> DataFrame:
-    return df1.select(F.lit(t.test_id).alias("test_id"), F.lit(t.model).alias("model"),
-                      F.lit(t.kind).alias("kind"), F.lit(t.column).alias("column_name"),
-                      F.col("failures").cast("long").alias("failures"))
+def _tested_value(t: Test) -> Column:
+    """The value a unique or accepted-values test counts, as text; NULL if none."""
+    c = F.col(t.column)
+    return (c if t.kind == "unique" else F.when(~c.isin(*t.values), c)).cast("string")
+
+
+def _unpivot(counts: DataFrame, ts: list[Test]) -> DataFrame:
+    """One row per test from one row with the failure counts c0, c1, ..."""
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(t.test_id).alias("test_id"), F.lit(t.model).alias("model"),
+                 F.lit(t.kind).alias("kind"), F.lit(t.column).alias("column_name"),
+                 F.col(f"c{i}").cast("long").alias("failures")) for i, t in enumerate(ts)])))
 
 
 def run_tests(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
-    """Evaluate declarative tests; one row per test with its failure count."""
+    """Evaluate declarative tests; one row per test with its failure count.
+
+    A table's row tests are one aggregate; its unique and accepted-values
+    tests together are one partially aggregated shuffle by (test, value)."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Test]] = {}
     for t in tests:
@@ -130,23 +141,18 @@ def run_tests(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
         df = tables[model]
         row_tests = [t for t in ts if t.kind in ("not_null", "expression")]
         if row_tests:
-            agg = df.agg(*[_row_count_expr(t).alias(f"c{i}") for i, t in enumerate(row_tests)])
-            items = [F.struct(F.lit(t.test_id).alias("test_id"), F.lit(t.model).alias("model"),
-                              F.lit(t.kind).alias("kind"), F.lit(t.column).alias("column_name"),
-                              F.col(f"c{i}").cast("long").alias("failures"))
-                     for i, t in enumerate(row_tests)]
-            parts.append(agg.select(F.inline(F.array(*items))))
-        for t in ts:
-            c = F.col(t.column)
-            if t.kind == "unique":
-                dup = (df.where(c.isNotNull()).groupBy(c).count()
-                         .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
-                parts.append(_result(dup, t))
-            elif t.kind == "accepted_values":
-                bad = (df.select(c.alias("v")).where(F.col("v").isNotNull()
-                                                     & ~F.col("v").isin(*t.values))
-                         .distinct().agg(F.count(F.lit(1)).alias("failures")))
-                parts.append(_result(bad, t))
+            parts.append(_unpivot(df.agg(*[_row_count_expr(t).alias(f"c{i}")
+                                           for i, t in enumerate(row_tests)]), row_tests))
+        value_tests = [t for t in ts if t.kind in ("unique", "accepted_values")]
+        if value_tests:
+            items = F.array(*[F.struct(F.lit(i).alias("i"), _tested_value(t).alias("v"))
+                              for i, t in enumerate(value_tests)])
+            seen = (df.select(F.inline(items)).where(F.col("v").isNotNull())
+                      .groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
+            least = {"unique": 2, "accepted_values": 1}
+            parts.append(_unpivot(seen.agg(*[
+                F.count_if((F.col("i") == i) & (F.col("n") >= least[t.kind])).alias(f"c{i}")
+                for i, t in enumerate(value_tests)]), value_tests))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("passed", F.col("failures") == 0)
 

@@ -15,7 +15,6 @@ class Params:
     min_pair_obs: int = 20        # least common days for a pair correlation
     pair_blocks: int | None = None  # symbol blocks for the all-pairs join (None: sized by data)
     pair_block_symbols: int = 128   # symbols per block when sized by data (<= 128^2 pairs a task)
-    max_pair_blocks: int = 64
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -3,7 +3,8 @@
 Each property composes a DataFrame plan once so that queries sharing a
 model share the same plan objects. Composing runs no job, except for what
 is stored on the way: the stored models, the pair vectors of the
-correlation mart and the rows of the global-denominator beta.
+correlation mart, the symbols of its matrix and the rows of the
+global-denominator beta.
 """
 
 from __future__ import annotations
@@ -76,10 +77,9 @@ class Models:
         return P.correlation_mart(self.fact, self.params)
 
     def stored(self) -> "Models":
-        """The same models built on raw inputs and a fact that are each
+        """The same models built on raw inputs, a fact and marts that are each
         materialised once in the shared checkpoint folder, for plans that
-        read every model (as checks on published tables do): the large
-        tables are then processed once, not once per model."""
+        read a model several times (as checks on published tables do)."""
         return StoredModels(self.spark, self.sf_dir, self.params)
 
     def test_tables(self) -> dict[str, DataFrame]:
@@ -100,7 +100,7 @@ class Models:
 
 
 class StoredModels(Models):
-    """Models whose raw inputs and fact are stored once (see ``Models.stored``)."""
+    """Models whose raw inputs, fact and marts are stored once (see ``Models.stored``)."""
 
     @cached_property
     def raw_bars(self) -> DataFrame:
@@ -113,3 +113,15 @@ class StoredModels(Models):
     @cached_property
     def fact(self) -> DataFrame:
         return stored(Fa.price_fact(self.stg_bars, self.stg_macro, self.params), "price_fact")
+
+    @cached_property
+    def asset_dim(self) -> DataFrame:
+        return stored(A.asset_dim(self.stg_assets, self.fact), "asset_dim")
+
+    @cached_property
+    def risk_mart(self) -> DataFrame:
+        return stored(R.risk_mart(self.fact, self.params), "risk_mart")
+
+    @cached_property
+    def correlation_mart(self) -> DataFrame:
+        return stored(P.correlation_mart(self.fact, self.params), "correlation_mart")

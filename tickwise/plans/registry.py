@@ -370,7 +370,7 @@ def q_base100(m: Models):
   FROM s sa JOIN s sb ON sa.year = sb.year
   LEFT JOIN b ON b.symbol_a = sa.s AND b.symbol_b = sb.s""")
 def q_corr_matrix(m: Models):
-    return P.correlation_matrix(m.correlation_mart)
+    return P.correlation_matrix(m.stored().correlation_mart, params=m.params)
 
 
 @register("top_sharpe", """
