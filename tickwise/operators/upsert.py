@@ -58,6 +58,32 @@ def upsert_with_duplicates(target: DataFrame, batch: DataFrame, keys: list[str],
     return upsert(target, dedupe_batch(batch, keys, update_cols, seq_col), keys, update_cols)
 
 
+def sequenced(batch: DataFrame, seq_col: str = "batch_seq") -> DataFrame:
+    """``batch`` with ``first_seq`` and ``last_seq`` in place of its sequence."""
+    return (batch.withColumn("first_seq", F.col(seq_col)).withColumn("last_seq", F.col(seq_col))
+                 .drop(seq_col))
+
+
+def settle_sequenced(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """A19 on rows from ``sequenced``: of all rows of a key, the one of the
+    highest ``last_seq`` gives the updated columns, that of the lowest
+    ``first_seq`` the others; rows of equal sequence are told apart by their
+    values. One partially aggregated shuffle on the key."""
+    others = [c for c in rows.columns
+              if c not in keys and c not in update_cols and c not in ("first_seq", "last_seq")]
+    g = rows.groupBy(*keys).agg(F.max(F.struct("last_seq", *update_cols)).alias("_last"),
+                                F.min(F.struct("first_seq", *others)).alias("_first"))
+    return g.select(*keys, "_last.*", "_first.*").select(*rows.columns)
+
+
+def merge_sequenced(target: DataFrame, batch: DataFrame, keys: list[str],
+                    update_cols: list[str]) -> DataFrame:
+    """A19 across batches: stored and new rows settled together. This is
+    associative and idempotent, so neither the order of the batches nor
+    their cut changes the table."""
+    return settle_sequenced(target.select(*batch.columns).unionByName(batch), keys, update_cols)
+
+
 def incremental_filter(target: DataFrame, batch: DataFrame, start_date: str,
                        symbol_col: str = "symbol", date_col: str = "trade_date") -> DataFrame:
     """Keep batch rows on or after the symbol's last loaded date (the last

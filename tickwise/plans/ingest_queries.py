@@ -107,15 +107,43 @@ def asset_batch(m: Models) -> DataFrame:
                     F.lit(False).alias("active"))
 
 
+def dirty_frame(m: Models) -> DataFrame:
+    """The zero frame with a failing row for each rule, by the day's volume."""
+    v, nan = F.col("volume"), F.lit(float("nan"))
+
+    def spoil(n: int, bad, good):
+        return F.when(v % n == 0, bad).otherwise(good)
+    return m.raw_bars.select(
+        spoil(29, F.lit("  "), F.col("symbol")).alias("symbol"),
+        F.when(v % 31 != 0, F.col("trade_date")).alias("Date"),
+        spoil(5, F.lit(0.0), spoil(7, -F.col("open"), spoil(11, nan, F.col("open")))).alias("Open"),
+        spoil(13, F.col("low") / 2, F.col("high")).alias("High"), F.col("low").alias("Low"),
+        spoil(17, -F.col("close"), spoil(19, nan, F.col("close"))).alias("Close"),
+        F.col("adj_close").alias("Adj Close"),
+        spoil(23, nan, (v % 4).cast("double")).alias("Volume"))
+
+
 def _validated_bars(m: Models) -> DataFrame:
-    return V.validate_bars(Ld.ingest_bars(zero_frame(m)))
+    return V.validate_bars(Ld.ingest_bars(dirty_frame(m)))
 
 
 def _validated_macro(m: Models) -> DataFrame:
-    raw = m.raw_macro.withColumn("series", F.concat(F.lit(" "), F.upper("series"), F.lit(" ")))
+    day = F.dayofyear("obs_date")
+    raw = m.raw_macro.select(
+        F.when(day % 11 == 0, F.lit("  ")).otherwise(
+            F.concat(F.lit(" "), F.upper("series"), F.lit(" "))).alias("series"),
+        F.when(day % 13 != 0, F.col("obs_date")).alias("obs_date"),
+        F.when(day % 7 != 0, F.col("value")).alias("value"), "unit", "source")
     return V.validate_macro(raw)
 
 
+def _validated_assets(m: Models) -> DataFrame:
+    last = F.substring("symbol", -1, 1)
+    return V.validate_assets(m.raw_assets.withColumns({
+        "kind": F.when(last == "3", F.lit("OPCAO")).otherwise(F.col("kind")),
+        "symbol": F.when(last != "5", F.col("symbol"))}))
+
+
 SPARK = {
     "ingest_bars": ingest,
     "bars_zero_to_null": lambda m: Ld.ingest_bars(zero_frame(m)).select(
@@ -141,13 +169,13 @@ SPARK = {
     "validate_macro": lambda m: _validated_macro(m).select(
         "obs_date", "series", "value", "unit", "source", F.size("reasons").alias("n_reasons"),
         "is_valid"),
-    "validate_assets": lambda m: V.validate_assets(m.raw_assets).select(
+    "validate_assets": lambda m: _validated_assets(m).select(
         "symbol", "kind", "country", "currency", "active", F.size("reasons").alias("n_reasons"),
         "is_valid"),
     "quarantine_reasons": lambda m: V.quarantine_all([
         V.quarantine(_validated_bars(m), "bars", ["symbol", "trade_date"]),
         V.quarantine(_validated_macro(m), "macro", ["obs_date", "series"]),
-        V.quarantine(V.validate_assets(m.raw_assets), "assets", ["symbol"])]),
+        V.quarantine(_validated_assets(m), "assets", ["symbol"])]),
     "upsert_bars": lambda m: U.upsert(bar_target(m), bar_batch(m), U.BAR_KEYS, U.BAR_UPDATES),
     "upsert_macro": lambda m: U.upsert(
         m.raw_macro.where(F.col("obs_date") <= F.lit(CUT_TARGET).cast("date")),
@@ -207,17 +235,36 @@ _ZERO_FRAME = f"""
     CASE WHEN NOT isnan(CAST(volume % 4 AS DOUBLE)) THEN CAST({_z('CAST(volume % 4 AS DOUBLE)')} AS BIGINT) END AS volume,
     CAST(volume % 4 AS DOUBLE) AS volume_raw
   FROM raw_bars"""
-_VB = f"SELECT *, {_reasons_sql(_VALID_BARS_RULES)} AS reasons FROM ({_ZERO_FRAME}) z"
+
+
+def _spoil(n, bad, good):
+    return f"CASE WHEN volume % {n} = 0 THEN {bad} ELSE {good} END"
+
+
+_NAN = "CAST('NaN' AS DOUBLE)"
+_DIRTY_OPEN = _spoil(5, "0.0", _spoil(7, "-open", _spoil(11, _NAN, "open")))
+_DIRTY_FRAME = f"""
+  SELECT symbol, trade_date, {_z('open')} AS open, {_z('high')} AS high, {_z('low')} AS low,
+    {_z('close')} AS close, {_z('adj_close')} AS adj_close, volume AS volume_raw FROM (
+    SELECT upper(trim({_spoil(29, "'  '", 'symbol')})) AS symbol,
+      CASE WHEN volume % 31 <> 0 THEN trade_date END AS trade_date, {_DIRTY_OPEN} AS open,
+      {_spoil(13, 'low / 2', 'high')} AS high, low,
+      {_spoil(17, '-close', _spoil(19, _NAN, 'close'))} AS close, adj_close,
+      {_spoil(23, _NAN, 'CAST(volume % 4 AS DOUBLE)')} AS volume FROM raw_bars) d"""
+_VB = f"SELECT *, {_reasons_sql(_VALID_BARS_RULES)} AS reasons FROM ({_DIRTY_FRAME}) z"
 _MACRO_RULES = [("series IS NULL OR series = ''", "empty_series"), ("value IS NULL", "missing_value"),
                 ("obs_date IS NULL", "missing_date")]
 _VM = (f"SELECT obs_date, series, value, coalesce(unit, '%') AS unit, coalesce(source, 'bcb') AS source, "
-       f"{_reasons_sql(_MACRO_RULES)} AS reasons FROM (SELECT obs_date, lower(trim(' ' || upper(series) || ' ')) "
-       f"AS series, value, unit, source FROM raw_macro) r")
+       f"{_reasons_sql(_MACRO_RULES)} AS reasons FROM (SELECT CASE WHEN dayofyear(obs_date) % 13 <> 0 THEN obs_date END "
+       f"AS obs_date, CASE WHEN dayofyear(obs_date) % 11 = 0 THEN '' ELSE lower(trim(' ' || upper(series) || ' ')) END "
+       f"AS series, CASE WHEN dayofyear(obs_date) % 7 <> 0 THEN value END AS value, unit, source FROM raw_macro) r")
 _ASSET_RULES = [(f"kind IS NULL OR NOT regexp_matches(kind, {O.q(V.KIND_PATTERN)})", "bad_kind"),
                 ("symbol IS NULL", "missing_symbol")]
 _VA = (f"SELECT upper(trim(symbol)) AS symbol, kind, coalesce(country, 'Brasil') AS country, "
        f"coalesce(currency, 'BRL') AS currency, coalesce(active, true) AS active, "
-       f"{_reasons_sql(_ASSET_RULES)} AS reasons FROM raw_assets")
+       f"{_reasons_sql(_ASSET_RULES)} AS reasons FROM (SELECT CASE WHEN right(symbol, 1) <> '5' THEN symbol END AS symbol, "
+       f"CASE WHEN right(symbol, 1) = '3' THEN 'OPCAO' ELSE kind END AS kind, country, currency, active "
+       f"FROM raw_assets) a")
 
 
 def _upsert_sql(t, b, keys, update_cols, all_cols):

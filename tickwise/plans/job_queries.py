@@ -1,11 +1,11 @@
-"""Queries for the operators with side effects (rows-only checks): they
-write to a fresh folder under the shared checkpoint directory and return
-what was stored."""
+"""Queries for the operators with side effects: they write to a fresh folder
+under the shared checkpoint directory and return what was stored."""
 
 from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +42,7 @@ def corrupt_file_quarantine(m: Models) -> DataFrame:
     # The record's own columns are read too: a scan of the corrupt-record
     # column alone is refused by Spark (it would skip full parsing).
     # One row per landing folder (per symbol), whatever the number of files.
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"sym=([^/]+)", 1)
-    return (df.select(folder.alias("landing_symbol"),
+    return (df.select(F.col("sym").alias("landing_symbol"),
                       (F.col("_corrupt_record").isNotNull() | F.col("symbol").isNull()).alias("corrupt"))
               .groupBy("landing_symbol")
               .agg(F.count_if(~F.col("corrupt")).alias("rows_ok"),
@@ -72,15 +71,24 @@ def stream_ingest(m: Models) -> DataFrame:
     target = os.path.join(d, "bars")
     SI.run_stream_ingest(m.spark, os.path.join(d, "landing", "*", "*"), target,
                          os.path.join(d, "checkpoint"))
-    return m.spark.read.parquet(target)
+    return m.spark.read.parquet(target).drop("first_seq", "last_seq")
 
 
 def sink_tables(m: Models) -> DataFrame:
-    """H3-H5: the fact as a year-partitioned, sorted catalog table with
-    column statistics; returns rows per stored year."""
-    name = "tickwise_price_fact"
-    t = J.materialise(m.spark, m.fact, name, "table", "trade_date", path=_scratch(m, name))
-    return t.groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+    """H3-H5: the fact and the three marts published as catalog tables; returns
+    rows per table and year (NULL for the dimension)."""
+    st, prefix = m.stored(), f"tickwise_{uuid.uuid4().hex}"
+    marts = {"price_fact": (st.fact, "trade_date"), "asset_dim": (st.asset_dim, None),
+             "risk_mart": (st.risk_mart, None), "correlation_mart": (st.correlation_mart, None)}
+    paths = J.publish_marts(m.spark, marts, _scratch(m, "marts"), prefix)
+    parts = []
+    for name, path in paths.items():
+        t = m.spark.read.parquet(path)
+        year = F.col("year") if "year" in t.columns else F.lit(None).cast("int")
+        parts.append(t.select(F.lit(name).alias("table_name"), year.alias("year"))
+                      .groupBy("table_name", "year").agg(F.count(F.lit(1)).alias("rows")))
+        m.spark.sql(f"DROP TABLE {prefix}_{name}")      # the name of this run only
+    return reduce(DataFrame.unionByName, parts)
 
 
 SPARK = {
@@ -89,3 +97,23 @@ SPARK = {
     "stream_ingest": stream_ingest,
     "sink_tables": sink_tables,
 }
+
+# ---- oracle SQL -------------------------------------------------------------------------------
+_z = Iq._z
+SQL = {
+    "corrupt_file_quarantine": """SELECT symbol AS landing_symbol,
+        count(*) FILTER (WHERE volume IS NULL OR volume % 13 <> 0) AS rows_ok,
+        count(*) FILTER (WHERE volume % 13 = 0) AS rows_corrupt FROM raw_bars GROUP BY symbol""",
+    "ingest_modes": """SELECT 'assets' AS table_name, count(*) AS rows FROM raw_assets
+        UNION ALL SELECT 'prices', count(*) FROM raw_bars UNION ALL SELECT 'macro', count(*) FROM raw_macro""",
+    "stream_ingest": f"""SELECT symbol, trade_date, {_z('open')} AS open, {_z('high')} AS high,
+        {_z('low')} AS low, {_z('close')} AS close,
+        {_z('adj_close')} * CASE WHEN trade_date >= DATE '{Iq.CUT_SECOND}' THEN 4 ELSE 1 END AS adj_close,
+        CAST({_z('CAST(volume AS DOUBLE)')} AS BIGINT) AS volume, 'yahoo_finance' AS source,
+        CAST(year(trade_date) AS INTEGER) AS year FROM raw_bars""",
+    "sink_tables": """SELECT 'price_fact' AS table_name, CAST(year(trade_date) AS INTEGER) AS year,
+        count(*) AS rows FROM price_fact GROUP BY 2
+        UNION ALL SELECT 'asset_dim', CAST(NULL AS INTEGER), count(*) FROM asset_dim
+        UNION ALL SELECT 'risk_mart', CAST(year AS INTEGER), count(*) FROM risk_mart GROUP BY 2
+        UNION ALL SELECT 'correlation_mart', CAST(year AS INTEGER), count(*) FROM correlation_mart GROUP BY 2""",
+}

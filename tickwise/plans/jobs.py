@@ -57,19 +57,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                update_cols: list[str], date_col: str) -> DataFrame:
+                update_cols: list[str], date_col: str, merge=U.upsert) -> DataFrame:
     """A16-A18 against a stored table: only the stored years the batch touches
-    take part in the join, the merge is stored, those years are rewritten.
-    Returns the merged rows."""
+    take part in the merge, which is stored; those years are rewritten.
+    ``merge`` is ``U.merge_sequenced`` for rows that carry their sequence.
+    The batch is read twice, so it is stored first. Returns the merged rows."""
+    batch = stored(batch, "upsert_batch")
     if table_exists(spark, path):
         years = batch.select(F.year(date_col).alias("year")).distinct()
         # The distinct years of a batch are bounded by the calendar span.
         current = spark.read.parquet(path)
         target = current.join(F.broadcast(years), "year", "left_semi").drop("year")
-        merged = U.upsert(target.select(*batch.columns), batch, keys, update_cols)
+        merged = stored(merge(target.select(*batch.columns), batch, keys, update_cols), "upsert")
     else:
         merged = batch
-    merged = stored(merged, "upsert")
     publish(merged, path, date_col, keys[0] if keys[0] != date_col else None)
     return merged
 
@@ -79,25 +80,45 @@ def materialise(spark: SparkSession, df: DataFrame, name: str, kind: str = "tabl
                 path: str | None = None) -> DataFrame:
     """H3/H4: view (temp view), inline (the DataFrame itself) or table (a
     catalog table, year-partitioned and sorted, followed by column
-    statistics for the optimizer; stored at ``path`` when given, else in
-    the warehouse)."""
+    statistics for the optimizer). A table's rows are written to a new
+    folder (``path``, else one in the warehouse) before the name is moved
+    to it, so a failed write leaves the earlier table as it was; the
+    earlier folder is left for its readers and may be removed later."""
     if kind == "inline":
         return df
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
-    w = (layout(df, date_col) if date_col else df).write.mode("overwrite").format("parquet")
-    if date_col:
-        w = w.partitionBy("year")
-    if path:
-        w = w.option("path", path)
+    if not path:
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    w = (layout(df, date_col) if date_col else df).write.mode("errorifexists")
+    (w.partitionBy("year") if date_col else w).parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    w.saveAsTable(name)
+    spark.catalog.createTable(name, path, "parquet")
+    if date_col:
+        spark.catalog.recoverPartitions(name)
     if analyze:
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
     return spark.table(name)
 
 
+def publish_marts(spark: SparkSession, marts: dict[str, tuple[DataFrame, str | None]],
+                  base: str, prefix: str = "tickwise") -> dict[str, str]:
+    """H3-H5 for the fact and the marts: each (DataFrame, date column or None)
+    becomes the table ``<prefix>_<name>`` stored under ``base``, with the
+    load time in ``updated_at``. Returns the folder of each."""
+    paths = {name: os.path.join(base, f"{name}-{uuid.uuid4().hex}") for name in marts}
+    for name, (df, date_col) in marts.items():
+        materialise(spark, df.withColumn("updated_at", F.current_timestamp()),
+                    f"{prefix}_{name}", "table", date_col, path=paths[name])
+    return paths
+
+
+def loaded(rows: DataFrame) -> DataFrame:
+    """The rows with their load time; set on insert and on update."""
+    return rows.withColumn("loaded_at", F.current_timestamp())
+
+
 def deduped(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
     """A19 for a load: one row a key. ``batch_seq`` orders rows of equal keys
     (the last one's updated columns win); where the source gives none, the
@@ -109,25 +130,27 @@ def deduped(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFra
 
 def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
                  assets: DataFrame, mode: str = "incremental", only: str | None = None,
-                 start_date: str = "2019-01-01") -> DataFrame:
+                 start_date: str = "2019-01-01", parse_rejects: DataFrame | None = None) -> DataFrame:
     """Load assets, then prices, then macro (or one of them with
     ``only``). Incremental prices keep, per symbol, the rows from the last
     stored date on (that day is loaded again); macro is always a full
     reload, as in the reference. Each step validates, appends its rejects
-    to a quarantine table and upserts the valid rows. Returns the row count
-    of each stored table."""
+    to a quarantine table and upserts the valid rows; ``parse_rejects``
+    (``landing.macro_rejects``) join them. Returns the row count of each
+    stored table."""
     steps = ["assets", "prices", "macro"] if only is None else [only]
     paths = {s: os.path.join(out_dir, s) for s in ("assets", "prices", "macro", "quarantine")}
     run_id = uuid.uuid4().hex
-    rejects = []
+    rejects = [] if parse_rejects is None else [parse_rejects]
     for step in steps:
         if step == "assets":
             v = V.validate_assets(assets)
             rejects.append(V.quarantine(v, "assets", ["symbol"]))
-            good = deduped(V.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES)
+            good = loaded(deduped(V.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
             if table_exists(spark, paths["assets"]):
                 current = spark.read.parquet(paths["assets"])
-                good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS, U.ASSET_UPDATES)
+                good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS,
+                                U.ASSET_UPDATES + ["loaded_at"])
             stored(good, "assets").write.mode("overwrite").parquet(paths["assets"])
         elif step == "prices":
             v = V.validate_bars(bars)
@@ -136,12 +159,14 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
             if mode == "incremental" and table_exists(spark, paths["prices"]):
                 good = U.incremental_filter(spark.read.parquet(paths["prices"]).drop("year"),
                                             good, start_date)
-            upsert_into(spark, paths["prices"], good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+            upsert_into(spark, paths["prices"], loaded(good), U.BAR_KEYS,
+                        U.BAR_UPDATES + ["loaded_at"], "trade_date")
         elif step == "macro":
             v = V.validate_macro(macro)
             rejects.append(V.quarantine(v, "macro", ["obs_date", "series"]))
             good = deduped(V.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
-            upsert_into(spark, paths["macro"], good, U.MACRO_KEYS, U.MACRO_UPDATES, "obs_date")
+            upsert_into(spark, paths["macro"], loaded(good), U.MACRO_KEYS,
+                        U.MACRO_UPDATES + ["loaded_at"], "obs_date")
         else:
             raise ValueError(f"unknown step {step!r}")
     if rejects:

@@ -448,8 +448,8 @@ for _key, _fn in Iq.SPARK.items():
     register(_key, Iq.SQL[_key])(_fn)
 
 
-# ---- jobs with side effects (rows-only) -------------------------------------------------------------
+# ---- jobs with side effects -------------------------------------------------------------
 from tickwise.plans import job_queries as Jq  # noqa: E402
 
 for _key, _fn in Jq.SPARK.items():
-    register(_key, None)(_fn)
+    register(_key, Jq.SQL[_key])(_fn)

@@ -131,30 +131,36 @@ def parse_daily_series(docs: DataFrame, series_col: str = "series",
     """
     arr = F.from_json(F.col(doc_col), DAILY_SERIES_SCHEMA)
     x = docs.select(F.col(series_col).alias("series"), arr.alias("items"))
-    e = x.select("series", F.explode_outer("items").alias("it"))
+    unread = F.col("items").isNull()
+    e = (x.where(unread | (F.size("items") > 0))
+          .select("series", unread.alias("unread"), F.explode_outer("items").alias("it")))
     d = F.try_to_date(F.col("it.data"), "d/M/y")
     v = F.expr("try_cast(replace(it.valor, ',', '.') AS DOUBLE)")
     return e.select(
         F.trim(F.col("series")).alias("series"), d.alias("obs_date"), v.alias("value"),
-        F.when(F.col("it").isNull(), "bad_document")
-         .when(d.isNull(), "bad_date").when(v.isNull(), "bad_value").alias("reason"))
+        F.when(F.col("unread"), "bad_document")
+         .when(d.isNull(), "bad_date").when(v.isNull(), "bad_value").alias("reason"),
+        F.col("it.data").alias("raw_date"))
 
 
 def parse_nested_series(docs: DataFrame, series_name: str = "ipca",
                         doc_col: str = "doc") -> DataFrame:
     """Variable -> resultados -> first ``series`` entry only -> map of
     'YYYYMM' -> value, dated the first of the month (Q17: later entries are
-    ignored, as in the reference)."""
+    ignored, as in the reference). A document, variable or result without
+    that structure yields one row with reason 'bad_document'."""
     arr = F.from_json(F.col(doc_col), NESTED_SERIES_SCHEMA)
-    v = docs.select(F.explode(arr).alias("var"))
-    r = v.select(F.explode("var.resultados").alias("res"))
+    v = docs.select(F.explode_outer(arr).alias("var"))
+    r = v.select(F.explode_outer("var.resultados").alias("res"))
     first = F.try_element_at(F.col("res.series"), F.lit(1))
-    m = r.select(F.explode(first.getField("serie")).alias("period", "raw"))
+    m = r.select(F.explode_outer(first.getField("serie")).alias("period", "raw"))
     d = F.try_to_date(F.concat(F.col("period"), F.lit("01")), "yyyyMMdd")
     val = F.expr("try_cast(raw AS DOUBLE)")
     return m.select(
         F.lit(series_name).alias("series"), d.alias("obs_date"), val.alias("value"),
-        F.when(d.isNull(), "bad_date").when(val.isNull(), "bad_value").alias("reason"))
+        F.when(F.col("period").isNull(), "bad_document")
+         .when(d.isNull(), "bad_date").when(val.isNull(), "bad_value").alias("reason"),
+        F.col("period").alias("raw_date"))
 
 
 def macro_records(parsed: DataFrame, source: str = "bcb", unit: str | None = None) -> DataFrame:
@@ -167,6 +173,14 @@ def macro_records(parsed: DataFrame, source: str = "bcb", unit: str | None = Non
     return out.select("obs_date", "series", "value", "unit", "source")
 
 
+def macro_rejects(parsed: DataFrame) -> DataFrame:
+    """Parsed observations that failed, as quarantine rows (entity,
+    record_key: raw date and series, reason)."""
+    key = F.concat_ws("|", F.coalesce("raw_date", F.lit("")), F.coalesce("series", F.lit("")))
+    return (parsed.where(F.col("reason").isNotNull())
+                  .select(F.lit("macro").alias("entity"), key.alias("record_key"), "reason"))
+
+
 def to_source_date(c) -> Column:
     """ISO date -> 'DD/MM/YYYY' as the daily API expects."""
     return F.date_format(c, "dd/MM/yyyy")

@@ -3,10 +3,13 @@
 A file stream (JSON lines, PERMISSIVE with ``_corrupt_record``) feeds
 ``foreachBatch``: corrupt lines go to a quarantine table, the rest are
 normalised (A1-A3), validated (A12), de-duplicated by an explicit sequence
-(A19: last value wins, first source stays) and upserted into the stored
-table (A16) by rewriting only the years they touch. Upsert is idempotent,
-so a micro-batch replayed after a failure leaves the same table. Late
-corrections are ordinary updates: no watermark drops them.
+(A19: last value wins, first source stays) and merged into the stored
+table (A16) by rewriting only the years they touch. The table keeps the
+first and last sequence of each row, so an older fetch that lands later
+does not undo a newer one, however the files are cut into micro-batches.
+The merge is idempotent, so a micro-batch replayed after a failure leaves
+the same table. Late corrections are ordinary updates: no watermark drops
+them.
 """
 
 from __future__ import annotations
@@ -28,10 +31,10 @@ STREAM_SCHEMA = T.StructType(Ld.LANDED_BAR_SCHEMA.fields + [
     T.StructField("_corrupt_record", T.StringType())])
 
 
-def landed_stream(spark: SparkSession, landing: str) -> DataFrame:
+def landed_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1000) -> DataFrame:
     return (spark.readStream.schema(STREAM_SCHEMA).option("mode", "PERMISSIVE")
                  .option("columnNameOfCorruptRecord", "_corrupt_record")
-                 .option("maxFilesPerTrigger", 1000).json(landing)
+                 .option("maxFilesPerTrigger", files_per_trigger).json(landing)
                  .select("*", F.col("_metadata.file_path").alias("file_path")))
 
 
@@ -60,20 +63,23 @@ def process_batch(spark: SparkSession, target: str, quarantine: str):
                     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
                     .parquet(quarantine))
             good = V.valid_rows(v).drop("volume_raw")
-            good = U.dedupe_batch(good, U.BAR_KEYS, U.BAR_UPDATES, "batch_seq")
-            upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date")
+            good = U.settle_sequenced(U.sequenced(good), U.BAR_KEYS, U.BAR_UPDATES)
+            upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date",
+                        merge=U.merge_sequenced)
         finally:
             batch.unpersist()
     return fn
 
 
 def run_stream_ingest(spark: SparkSession, landing: str, target: str,
-                      checkpoint: str | None = None, every: str | None = None):
+                      checkpoint: str | None = None, every: str | None = None,
+                      files_per_trigger: int = 1000):
     """Process every landed file available now and stop (scheduled runs), or
-    with ``every`` (e.g. '5 minutes') keep running and return the query."""
+    with ``every`` (e.g. '5 minutes') keep running and return the query.
+    ``files_per_trigger`` sizes a micro-batch; it does not change the table."""
     ck = checkpoint or os.path.join(checkpoint_dir(spark), "stream_ingest")
     quarantine = target.rstrip("/") + "_quarantine"
-    w = (landed_stream(spark, landing).writeStream
+    w = (landed_stream(spark, landing, files_per_trigger).writeStream
          .foreachBatch(process_batch(spark, target, quarantine))
          .option("checkpointLocation", ck))
     if every:
