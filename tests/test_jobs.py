@@ -37,7 +37,9 @@ def test_corrupt_lines_quarantined_not_fatal(spark):
 def test_sink_table_partitioned_by_year(spark):
     m = Models(spark, SF_SMALL)
     out = Jq.sink_tables(m)
-    assert out.agg(F.sum("rows")).collect()[0][0] == m.fact.count()
+    rows = {r.table_name: r.n for r in out.groupBy("table_name").agg(F.sum("rows").alias("n")).collect()}
+    assert rows == {"price_fact": m.fact.count(), "asset_dim": m.asset_dim.count(),
+                    "risk_mart": m.risk_mart.count(), "correlation_mart": m.correlation_mart.count()}
 
 
 def test_quality_results_appended_per_run(spark):
@@ -153,3 +155,77 @@ def test_only_a_missing_table_is_no_table(spark, monkeypatch):
             raise PermissionError("denied")
     with pytest.raises(PermissionError):
         J.table_exists(Denied(), path)
+
+
+def _epochs(spark, order):
+    import datetime as dt
+    import os
+    import uuid
+    from pyspark.sql import types as T
+    from tickwise.session import checkpoint_dir
+    from tickwise.streaming import ingest as SI
+    base = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    schema = T.StructType(SI.STREAM_SCHEMA.fields + [T.StructField("file_path", T.StringType())])
+    rows = {at: ("AAA", dt.date(2020, 1, 2), 1.0, 2.0, 0.5, 1.5, price, 100.0, at, None, f"f{at}")
+            for at, price in ((1, 1.0), (2, 2.0), (3, 3.0))}
+    fn = SI.process_batch(spark, base + "/bars", base + "/q")
+    for epoch, fetches in enumerate(order):
+        fn(spark.createDataFrame([rows[f] for f in fetches], schema), epoch)
+    return spark.read.parquet(base + "/bars").collect()
+
+
+def test_older_fetch_never_wins_however_batches_are_cut(spark):
+    one = _epochs(spark, [[1, 2, 3]])
+    assert len(one) == 1 and one[0].adj_close == 3.0
+    assert _epochs(spark, [[3], [1], [2]]) == one
+    assert _epochs(spark, [[2, 3], [1]]) == one
+
+
+def test_parse_rejects_reach_the_quarantine_table(spark):
+    import os
+    import uuid
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    from tickwise.sources import landing as Ld
+    docs = spark.createDataFrame(
+        [("cdi", '[{"data": "02/01/2020", "valor": "1"}, {"data": "x", "valor": "1"}]'),
+         ("igpm", "not json"), ("usd_brl", "[]")], "series string, doc string")
+    nested = spark.createDataFrame([("{",), ('[{"resultados": []}]',)], "doc string")
+    daily, monthly = Ld.parse_daily_series(docs), Ld.parse_nested_series(nested)
+    rejects = Ld.macro_rejects(daily).unionByName(Ld.macro_rejects(monthly))
+    out = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    got = J.run_load(spark, out, None, Ld.macro_records(daily), None, only="macro",
+                     parse_rejects=rejects).collect()
+    assert [(r.table_name, r.rows) for r in got] == [("macro", 1)]
+    assert spark.read.parquet(out + "/macro").where("loaded_at IS NULL").count() == 0
+    q = spark.read.parquet(out + "/quarantine").collect()
+    assert sorted((r.record_key, r.reason) for r in q) == [
+        ("x|cdi", "bad_date"), ("|igpm", "bad_document"),
+        ("|ipca", "bad_document"), ("|ipca", "bad_document")]
+
+
+def test_failed_publish_leaves_the_earlier_table(spark):
+    import os
+    import uuid
+    import pytest
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(spark), "tickwise_test", uuid.uuid4().hex)
+    name = "tickwise_t_" + uuid.uuid4().hex
+    J.materialise(spark, spark.range(3), name, date_col=None, path=base + "/a")
+    with pytest.raises(Exception):
+        J.materialise(spark, spark.range(5).select(F.raise_error(F.lit("stop")).cast("int").alias("id")),
+                      name, date_col=None, path=base + "/b")
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_every_rejection_rule_is_met(spark):
+    from tickwise.plans import registry as Rg
+    fn, _ = Rg.QUERIES["quarantine_reasons"]
+    got = {(r.entity, r.reason) for r in fn(Models(spark, "/root/testdata/sf0.01"))
+           .select("entity", "reason").distinct().collect()}
+    assert {e for e, _ in got} == {"bars", "macro", "assets"}
+    assert {r for _, r in got} >= {"empty_symbol", "missing_date", "open_nan", "open_not_positive",
+                                   "close_nan", "close_not_positive", "high_below_low", "volume_nan",
+                                   "empty_series", "missing_value", "bad_kind", "missing_symbol"}

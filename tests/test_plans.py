@@ -29,11 +29,41 @@ def test_scan_prunes_columns(spark):
     assert "l_returnflag" not in p and "l_tax" not in p
 
 
-def test_risk_mart_one_exchange_after_fact(spark):
+def _exchanges(df):
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return final.count(" Exchange ")
+
+
+def test_risk_mart_adds_no_exchange_to_the_fact(spark):
+    from tickwise.operators import risk as R
     m = Models(spark, SF_SMALL)
-    p = m.risk_mart._jdf.queryExecution().sparkPlan().toString()
-    # the (symbol, year) aggregate reuses the symbol partitioning of the windows
-    assert p.count("HashAggregate") + p.count("SortAggregate") + p.count("ObjectHashAggregate") >= 2
+    # the (symbol, year) aggregate uses the symbol partitioning of the windows
+    assert _exchanges(R.risk_mart(m.fact, m.params)) <= _exchanges(Models(spark, SF_SMALL).fact)
+
+
+def test_moments_are_not_in_the_join_condition(spark):
+    from tickwise.operators import pairs as P
+    m = Models(spark, SF_SMALL)
+    p = P.pair_moments(m.fact, m.params, 20)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [ln for ln in p.splitlines() if "Join Inner" in ln]
+    assert joins and all("aggregate(" not in ln and "zip_with(" not in ln for ln in joins)
+    assert p.count("zip_with(") == 1, p
+
+
+def test_pair_blocks_grow_with_the_symbols(spark):
+    from tickwise.operators import pairs as P
+    from tickwise.params import DEFAULT_PARAMS as D
+    df = spark.range(20_000).selectExpr("cast(id as string) AS symbol")
+    assert P.pair_blocks(df, D) == -(-20_000 // D.pair_block_symbols)
+
+
+def test_data_tests_read_each_model_from_its_stored_table(spark):
+    import __spark_entry__ as E
+    p = E.queries()["data_tests"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem.parquet" not in p
+    # marts come from files: no window (fact, drawdown) and no join (pairs) is left over them
+    assert "zip_with(" not in p and "percentile(" not in p
 
 
 def test_pair_join_is_blocked_not_by_date(spark):
