@@ -38,8 +38,9 @@ def test_sink_table_partitioned_by_year(spark):
     m = Models(spark, SF_SMALL)
     out = Jq.sink_tables(m)
     rows = {r.table_name: r.n for r in out.groupBy("table_name").agg(F.sum("rows").alias("n")).collect()}
-    assert rows == {"price_fact": m.fact.count(), "asset_dim": m.asset_dim.count(),
-                    "risk_mart": m.risk_mart.count(), "correlation_mart": m.correlation_mart.count()}
+    want = {"price_fact": m.fact.count(), "asset_dim": m.asset_dim.count(),
+            "risk_mart": m.risk_mart.count(), "correlation_mart": m.correlation_mart.count()}
+    assert rows == {name: n for name, n in want.items() if n}    # an empty table has no year
 
 
 def test_quality_results_appended_per_run(spark):
