@@ -230,3 +230,39 @@ def test_every_rejection_rule_is_met(spark):
     assert {r for _, r in got} >= {"empty_symbol", "missing_date", "open_nan", "open_not_positive",
                                    "close_nan", "close_not_positive", "high_below_low", "volume_nan",
                                    "empty_series", "missing_value", "bad_kind", "missing_symbol"}
+
+
+def test_load_reads_watermarks_and_leaves_no_copies(spark):
+    """The second load takes its start from the watermark table, which holds
+    the last stored date of each symbol; intermediate copies are gone."""
+    import glob
+    import os
+    import uuid
+
+    from pyspark.sql.types import StructType
+
+    from tickwise.plans import jobs as J
+    from tickwise.session import checkpoint_dir
+    from tickwise.sources import landing as Ld
+
+    m = Models(spark, SF_SMALL)
+    base = checkpoint_dir(spark)
+    out = os.path.join(base, "tickwise_test", uuid.uuid4().hex)
+    copies = base.removeprefix("file://") + "/tickwise_stored/*"
+    bars = Ld.ingest_bars(Iq.api_frame(m.raw_bars))
+    none = spark.createDataFrame([], StructType(m.raw_macro.schema.fields))
+    before = set(glob.glob(copies))
+    early = bars.where("trade_date < '1996-01-01'")
+    J.run_load(spark, out, early, none, m.raw_assets, only="prices")
+    J.run_load(spark, out, bars, none, m.raw_assets, only="prices", start_date="1990-01-01")
+    assert set(glob.glob(copies)) == before
+    table = spark.read.parquet(os.path.join(out, "prices"))
+    assert table.count() == m.raw_bars.count()
+    want = {r.symbol: r.last for r in table.groupBy("symbol").agg(F.max("trade_date").alias("last")).collect()}
+    marks = J.bar_watermarks(spark, out)
+    assert {r.symbol: r.last_date for r in marks.collect()} == want
+    # Rows before a symbol's watermark are not loaded again.
+    old = bars.where("trade_date < '1995-01-01'").withColumn("close", F.lit(-1.0)).withColumn("low", F.lit(-1.0))
+    J.run_load(spark, out, old, none, m.raw_assets, only="prices", start_date="1990-01-01")
+    again = spark.read.parquet(os.path.join(out, "prices"))
+    assert again.count() == table.count() and again.where("close < 0").count() == 0

@@ -77,3 +77,17 @@ def test_ingest_symbol_list(spark):
     lst = spark.createDataFrame([("AAA, CCC",)], "s string").select(
         Ld.parse_symbol_list(F.col("s")).alias("l")).first().l
     assert sorted(r.symbol for r in Ld.ingest_bars(f, symbols=lst).collect()) == ["AAA", "CCC"]
+
+
+def test_damaged_parquet_file_stops_no_other(spark):
+    base = _scratch()
+    good = spark.createDataFrame([("AAA", d("2020-01-02"), 1.5)], "symbol string, Date date, Close double")
+    good.coalesce(1).write.parquet(os.path.join(base, "AAA"))
+    os.makedirs(os.path.join(base, "BBB"))
+    bad = os.path.join(base, "BBB", "part-0.parquet")
+    with open(bad, "wb") as f:
+        f.write(b"PAR1 cut short")
+    path = os.path.join(base, "*")
+    assert [r.symbol for r in Ld.read_landed_bars(spark, path).collect()] == ["AAA"]
+    lost = Ld.rowless_files(spark, path).collect()
+    assert [(r.entity, r.record_key, r.reason) for r in lost] == [("bars", f"file://{bad}", "no_rows")]

@@ -84,17 +84,28 @@ def merge_sequenced(target: DataFrame, batch: DataFrame, keys: list[str],
     return settle_sequenced(target.select(*batch.columns).unionByName(batch), keys, update_cols)
 
 
-def incremental_filter(target: DataFrame, batch: DataFrame, start_date: str,
-                       symbol_col: str = "symbol", date_col: str = "trade_date") -> DataFrame:
+def watermarks(rows: DataFrame, symbol_col: str = "symbol", date_col: str = "trade_date") -> DataFrame:
+    """The last loaded date of each symbol: one row per symbol."""
+    return rows.groupBy(symbol_col).agg(F.max(date_col).alias("last_date"))
+
+
+def since_watermark(marks: DataFrame, batch: DataFrame, start_date: str,
+                    symbol_col: str = "symbol", date_col: str = "trade_date") -> DataFrame:
     """Keep batch rows on or after the symbol's last loaded date (the last
     day is fetched again), or on or after ``start_date`` for a new symbol.
-    The watermark table has one row per symbol."""
-    wm = target.groupBy(symbol_col).agg(F.max(date_col).alias("_last"))
-    j = batch.join(wm, symbol_col, "left")
+    ``marks`` comes from ``watermarks``."""
+    j = batch.join(marks.select(symbol_col, F.col("last_date").alias("_last")), symbol_col, "left")
     start = F.coalesce(F.col("_last"), F.lit(start_date).cast("date"))
     return j.where(F.col(date_col) >= start).drop("_last")
 
 
+def incremental_filter(target: DataFrame, batch: DataFrame, start_date: str,
+                       symbol_col: str = "symbol", date_col: str = "trade_date") -> DataFrame:
+    """A20 against the loaded rows themselves. Loads that keep their
+    watermarks in a table (``jobs.run_load``) don't read those again."""
+    return since_watermark(watermarks(target, symbol_col, date_col), batch, start_date, symbol_col, date_col)
+
+
 # Columns the reference updates on conflict, per table.
 BAR_KEYS, BAR_UPDATES = ["symbol", "trade_date"], ["open", "high", "low", "close", "adj_close", "volume"]
 MACRO_KEYS, MACRO_UPDATES = ["obs_date", "series"], ["value"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators import upsert as U, validate as V
-from tickwise.session import stored
+from tickwise.session import scratch, stored
 
 
 def with_year(df: DataFrame, date_col: str) -> DataFrame:
@@ -128,15 +128,36 @@ def deduped(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFra
     return U.dedupe_batch(rows, keys, update_cols, "batch_seq")
 
 
+def bar_watermarks(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The last stored date of each symbol: from the watermark table, else
+    from the stored bars; None if nothing is stored. The table is written
+    after the bars, so after a failed load it may only lag behind them, and
+    the rows in between are loaded again."""
+    if not table_exists(spark, os.path.join(out_dir, "prices")):
+        return None
+    marks = os.path.join(out_dir, "watermarks")
+    if table_exists(spark, marks):
+        return spark.read.parquet(marks)
+    return U.watermarks(spark.read.parquet(os.path.join(out_dir, "prices")))
+
+
 def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
-                 assets: DataFrame, mode: str = "incremental", only: str | None = None,
-                 start_date: str = "2019-01-01", parse_rejects: DataFrame | None = None) -> DataFrame:
+             assets: DataFrame, mode: str = "incremental", only: str | None = None,
+             start_date: str = "2019-01-01", parse_rejects: DataFrame | None = None) -> DataFrame:
+    """One load (``_load``); its intermediate copies are removed at its end."""
+    with scratch(spark):
+        return _load(spark, out_dir, bars, macro, assets, mode, only, start_date, parse_rejects)
+
+
+def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame, assets: DataFrame,
+          mode: str, only: str | None, start_date: str, parse_rejects: DataFrame | None) -> DataFrame:
     """Load assets, then prices, then macro (or one of them with
     ``only``). Incremental prices keep, per symbol, the rows from the last
     stored date on (that day is loaded again); macro is always a full
     reload, as in the reference. Each step validates, appends its rejects
     to a quarantine table and upserts the valid rows; ``parse_rejects``
-    (``landing.macro_rejects``) join them. Returns the row count of each
+    (``landing.macro_rejects``) join them. A step's validated input feeds
+    the rejects and the load, so it is stored once. Returns the row count of each
     stored table."""
     steps = ["assets", "prices", "macro"] if only is None else [only]
     paths = {s: os.path.join(out_dir, s) for s in ("assets", "prices", "macro", "quarantine")}
@@ -144,7 +165,7 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
     rejects = [] if parse_rejects is None else [parse_rejects]
     for step in steps:
         if step == "assets":
-            v = V.validate_assets(assets)
+            v = stored(V.validate_assets(assets), "validated_assets")
             rejects.append(V.quarantine(v, "assets", ["symbol"]))
             good = loaded(deduped(V.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
             if table_exists(spark, paths["assets"]):
@@ -153,16 +174,20 @@ def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFram
                                 U.ASSET_UPDATES + ["loaded_at"])
             stored(good, "assets").write.mode("overwrite").parquet(paths["assets"])
         elif step == "prices":
-            v = V.validate_bars(bars)
+            v = stored(V.validate_bars(bars), "validated_bars")
             rejects.append(V.quarantine(v, "bars", ["symbol", "trade_date"]))
             good = deduped(V.valid_rows(v).drop("volume_raw"), U.BAR_KEYS, U.BAR_UPDATES)
-            if mode == "incremental" and table_exists(spark, paths["prices"]):
-                good = U.incremental_filter(spark.read.parquet(paths["prices"]).drop("year"),
-                                            good, start_date)
-            upsert_into(spark, paths["prices"], loaded(good), U.BAR_KEYS,
-                        U.BAR_UPDATES + ["loaded_at"], "trade_date")
+            marks = bar_watermarks(spark, out_dir)
+            if mode == "incremental" and marks is not None:
+                good = U.since_watermark(marks, good, start_date)
+            merged = U.watermarks(upsert_into(spark, paths["prices"], loaded(good), U.BAR_KEYS,
+                                              U.BAR_UPDATES + ["loaded_at"], "trade_date"))
+            if marks is not None:
+                merged = U.watermarks(marks.unionByName(merged), date_col="last_date")
+            (stored(merged, "watermarks").write.mode("overwrite")
+             .parquet(os.path.join(out_dir, "watermarks")))
         elif step == "macro":
-            v = V.validate_macro(macro)
+            v = stored(V.validate_macro(macro), "validated_macro")
             rejects.append(V.quarantine(v, "macro", ["obs_date", "series"]))
             good = deduped(V.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
             upsert_into(spark, paths["macro"], loaded(good), U.MACRO_KEYS,

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import SparkSession
 
 # Settings that every job relies on; a cluster may add more, never fewer.
@@ -52,6 +57,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
+
+
+def _folder(spark: SparkSession, path: str):
+    """A folder's file system and its path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside is removed at the end, also after an
+    error: for jobs that write their results elsewhere."""
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        for path in _scratch.get():
+            fs, at = _folder(spark, path)
+            fs.delete(at, True)
+        _scratch.reset(token)
+
+
 def stored(df, name: str = "table"):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back.
@@ -60,11 +88,16 @@ def stored(df, name: str = "table"):
     to count and again to save, this computes it once; the result carries
     file statistics (AQE and broadcast decisions), column pruning and
     filter pushdown. A lost executor re-reads the files instead of
-    replaying the lineage.
+    replaying the lineage. The copy is removed when the enclosing ``scratch``
+    ends, else when the application does (results built on it are lazy).
     """
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/tickwise_stored/{name}-{uuid.uuid4().hex}"
+    paths = _scratch.get()
+    if paths is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
+    if paths is None:
+        fs, at = _folder(spark, path)
+        fs.deleteOnExit(at)
     return spark.read.parquet(path)

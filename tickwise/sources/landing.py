@@ -107,10 +107,12 @@ def read_landed_bars(spark: SparkSession, path: str, fmt: str = "parquet",
     """A1/A10: one read over every landed price file, explicit schema.
 
     For text formats a malformed line lands in ``_corrupt_record`` (mode
-    PERMISSIVE) instead of failing the read, so one bad file or symbol does
-    not stop the others.
+    PERMISSIVE) instead of failing the read; of a damaged Parquet file no
+    row from the damage on is read (of one cut short none, as its footer is
+    gone), and ``rowless_files`` tells which files gave none. So one bad file
+    or symbol does not stop the others.
     """
-    r = spark.read.schema(schema)
+    r = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
     if fmt in ("json", "csv"):
         schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
         r = (spark.read.schema(schema).option("mode", "PERMISSIVE")
@@ -120,6 +122,24 @@ def read_landed_bars(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.format(fmt).load(path)
 
 
+def rowless_files(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR_SCHEMA) -> DataFrame:
+    """A10 for landed Parquet: entity, record_key (the file) and reason of each
+    file below ``path`` that gives no row, in the columns of the quarantine:
+    damaged from its start, or a fetch that brought nothing. For the list
+    of the files only their names are read."""
+    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").load(path).select(_same_name("path").alias("record_key")))
+    read = (read_landed_bars(spark, path, "parquet", schema)
+            .select(_same_name("_metadata.file_path").alias("record_key")).distinct())
+    return (landed.join(read, "record_key", "left_anti")
+            .select(F.lit("bars").alias("entity"), "record_key", F.lit("no_rows").alias("reason")))
+
+
+def _same_name(path: str) -> Column:
+    """A file's name as a URI: the two sources write ``file:/`` and ``file:///``."""
+    return F.regexp_replace(F.col(path), "^([a-z0-9]+):/+(?=[^/])", "$1:///")
+
+
 def parse_daily_series(docs: DataFrame, series_col: str = "series",
                        doc_col: str = "doc") -> DataFrame:
     """A4: JSON arrays of {data: 'DD/MM/YYYY', valor} -> one row per item.

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tickwise.operators import upsert as U, validate as V
 from tickwise.plans.jobs import upsert_into
-from tickwise.session import checkpoint_dir
+from tickwise.session import checkpoint_dir, scratch
 from tickwise.sources import landing as Ld
 
 STREAM_SCHEMA = T.StructType(Ld.LANDED_BAR_SCHEMA.fields + [
@@ -64,8 +64,9 @@ def process_batch(spark: SparkSession, target: str, quarantine: str):
                     .parquet(quarantine))
             good = V.valid_rows(v).drop("volume_raw")
             good = U.settle_sequenced(U.sequenced(good), U.BAR_KEYS, U.BAR_UPDATES)
-            upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date",
-                        merge=U.merge_sequenced)
+            with scratch(spark):
+                upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date",
+                            merge=U.merge_sequenced)
         finally:
             batch.unpersist()
     return fn
