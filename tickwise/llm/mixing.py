@@ -10,7 +10,7 @@ passes, those first in order for the rest of a pass.
 
 Only sums by pattern reach the driver, ``MAX_PATTERNS`` at most. The order
 is a 63-bit hash, and the place where a pass ends is found by narrowing
-sums over ten bits at a time, so no pattern's documents are ever sorted or
+sums over nine bits at a time, so no pattern's documents are ever sorted or
 gathered, however many rows it has.
 """
 
