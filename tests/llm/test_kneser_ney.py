@@ -102,3 +102,57 @@ def test_repeated_ids(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c")], "doc_id bigint, text string")
     got = K.fit_and_score(df, F.lit(True)).collect()
     assert sorted(r["n_tokens"] for r in got) == [2, 3, 3] and {r["train_tokens"] for r in got} == {8}
+
+
+def plain_order(rows, order):
+    """rows: (id, learned, text) -> {id: score} of the model of any order."""
+    raw = [Counter() for _ in range(order + 1)]
+    for _, y, t in rows:
+        if y:
+            w = [B, *words(t)]
+            for k in range(1, order + 1):
+                raw[k].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    raw[1].pop((B,), None)
+    counts = [None] * order + [raw[order]]
+    for k in range(order - 1, 0, -1):
+        left = Counter(g[1:] for g in raw[k + 1])
+        counts[k] = Counter({g: n if g[0] == B else left[g] for g, n in raw[k].items()})
+    off = [None] + [K.discounts(*(sum(1 for x in c.values() if x == i) for i in (1, 2, 3, 4))) for c in counts[1:]]
+    after = defaultdict(Counter)
+    for c in counts[1:]:
+        for g, n in c.items():
+            after[g[:-1]][g[-1]] = n
+
+    def p(context, w):
+        k = len(context) + 1
+        lower = p(context[1:], w) if context else 1 / (len(raw[1]) + 1)
+        total = sum(after[context].values())
+        if not total:
+            return lower
+        left = sum(off[k][min(n, 3)] for n in after[context].values())
+        n = after[context][w]
+        return max(n - off[k][min(n, 3)], 0) / total + left / total * lower
+    out = {}
+    for i, _, t in rows:
+        w = [B, *words(t)]
+        out[i] = sum(math.log10(p(tuple(w[max(j - order + 1, 0):j]), w[j])) for j in range(1, len(w)))
+    for context in list(after)[:40]:
+        assert sum(p(context, (x)) for x in [*(g[0] for g in raw[1]), b"\0unseen"]) == pytest.approx(1)
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_against_brute_force(spark, order):
+    rows = [(i, i % 3 > 0, " ".join(f"W{(i * k * k) % 13 + k % 3}x" for k in range(i % 30))) for i in range(200)]
+    rows += [(1000, True, None), (1001, False, ""), (1002, False, "never seen é"), (1003, True, "long " * 3_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, learned boolean, text string").repartition(3)
+    want = plain_order(rows, order)
+    for size in (1 << 20, 300):           # one shard, several shards
+        got = K.fit_and_score(df, F.col("learned"), shard_tokens=size, block_tokens=700, order=order).collect()
+        assert {r["doc_id"]: r["score"] for r in got} == pytest.approx(want, rel=1e-9)
+
+
+def test_only_empty_texts_at_order_three(spark):
+    df = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
+    got = K.fit_and_score(df, F.lit(True), order=3).collect()
+    assert [r["n_tokens"] for r in got] == [1, 1] and len({r["score"] for r in got}) == 1

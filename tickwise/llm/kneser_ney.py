@@ -1,19 +1,27 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark.
-
-A *block* is what one task reads of the documents. Its distinct bigrams and
-words (64-bit hashes, sorted) go to the shards of a grid: a bigram to the
-shard of the leading bits of its context's and its word's hash, a word to
-the shard of its own leading bits. So neither a frequent context nor a
-frequent word meets in one task, and all counts of a block travel added up.
-
-Each bigram shard merges its blocks to sorted hash arrays (keys and
+"""Interpolated modified Kneser-Ney model of any order from 2 on, counted in Spark.
+
+A *block* is what one task reads of the documents. Its distinct n-grams and
+words (64-bit hashes, sorted) go to the shards of a grid: an n-gram, as a
+pair of its context (all words but the last) and its last word, to the shard
+of the leading bits of both hashes, a word to the shard of its own leading
+bits. So neither a frequent context nor a frequent word meets in one task,
+and all counts of a block travel added up. Every order from 2 up has the
+same layout of pairs; the highest is counted first, as each order's
+continuation counts come from the next higher one.
+
+Each pair shard merges its blocks to sorted hash arrays (keys and
 counts), stores them as the model, maps them into memory from a spooled
-file and looks up every block's bigrams there. Each word shard does the
-same with word counts, continuation counts and context sums. The answers
+file and looks up every block's pairs there. Each word shard does the
+same with word counts, continuation counts and context sums, and from order
+3 on a shard of contexts with the context sums alone. The answers
 go back to the blocks, and a second run over the blocks' texts turns them
 into probabilities with the discounts that the shards' counts of counts
 give.
 
+A text begins with one begin mark: its first words have the contexts that
+there are. An n-gram that begins with the mark has nothing on its left, so
+its plain count stands for its continuation count.
+
 Blocks, shards and answers are compressed arrays in few rows; a shard's
 size is set by ``SHARD_TOKENS``, whatever the corpus. Only some sums by
 shard reach the driver.
@@ -24,6 +32,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,17 +64,35 @@ class _Places(dict):
         return n
 
 
+@dataclass
+class Level:
+    """A block's n-grams of one order, as pairs of context and word."""
+    contexts: np.ndarray   # sorted distinct hashes (order 2: the block's words)
+    rests: np.ndarray      # hashes of the contexts without their first word (order 2: none)
+    begins: np.ndarray     # whether a context begins with BEGIN
+    pairs: np.ndarray      # sorted distinct (context place << 32 | word place)
+    pair_n: np.ndarray     # their counts in training texts
+    of: np.ndarray         # the place in ``pairs`` of each token, -1 before there is such a context
+
+
 @dataclass
 class Block:
     words: np.ndarray      # sorted distinct hashes, BEGIN and END among them
     word_n: np.ndarray     # their counts in training texts (BEGIN: none)
-    pairs: np.ndarray      # sorted distinct (context place << 32 | word place)
-    pair_n: np.ndarray     # their counts in training texts
+    word: np.ndarray       # the word of each token
     ends: np.ndarray       # where each text's tokens end
-    at: np.ndarray         # the pair of each token, as (context place << 32 | word place)
+    levels: list[Level]    # orders 2, 3, ...
+
 
+def _gram_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a context and one more word."""
+    h = context * np.uint64(0x9E3779B97F4A7C15) + word
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> np.uint64(shift)) * np.uint64(by)
+    return h ^ h >> np.uint64(31)
 
-def block_of(texts: list[bytes | None], train: list[bool]) -> Block:
+
+def block_of(texts: list[bytes | None], train: list[bool], order: int = 2) -> Block:
     places = _Places()
     begin, end = places[BEGIN], places[END]
     parts, ends, n = [], [], 0
@@ -76,15 +103,35 @@ def block_of(texts: list[bytes | None], train: list[bool]) -> Block:
         ends.append(n)
     hashes = np.fromiter(map(_hash, places), dtype=np.uint64, count=len(places))
     words, place = np.unique(hashes, return_inverse=True)
-    at = np.concatenate([place[p[:-1]].astype(np.int64) << 32 | place[p[1:]] for p in parts])
+    word = np.concatenate([place[p[1:]] for p in parts])
+    context = np.concatenate([place[p[:-1]] for p in parts])
     ends = np.array(ends, dtype=np.int64)
-    known = np.repeat(np.array(train, dtype=bool), np.diff(ends, prepend=0))
-    learned = np.sort(at[known])
-    pairs = np.sort(at)
-    pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
-    pair_n = np.searchsorted(learned, pairs, "right") - np.searchsorted(learned, pairs, "left")
-    word_n = np.bincount(pairs & 0xFFFFFFFF, weights=pair_n, minlength=len(words)).astype(np.int64)
-    return Block(words, word_n, pairs, pair_n, ends, at)
+    starts = np.concatenate(([0], ends[:-1]))
+    since = np.arange(n) - np.repeat(starts, ends - starts)     # tokens before it in its text
+    known = np.repeat(np.array(train, dtype=bool), ends - starts)
+    contexts, rests, begins = words, np.empty(0, np.uint64), np.zeros(len(words), bool)
+    begins[place[begin]] = True
+    levels: list[Level] = []
+    for k in range(2, order + 1):
+        there = np.flatnonzero(since >= k - 2)
+        if k > 2:                   # a context is the n-gram, one order lower, of the token before
+            low = levels[-1]
+            grams = _gram_hash(low.contexts[low.pairs >> 32], words[low.pairs & 0xFFFFFFFF])
+            before, now = low.of[there - 1], low.of[there]
+            contexts, first, found = np.unique(grams[before], return_index=True, return_inverse=True)
+            context = np.zeros(n, np.int64)
+            context[there] = found
+            rests = low.contexts[low.pairs[now[first]] >> 32]
+            begins = since[there[first]] == k - 2
+        at = context[there].astype(np.int64) << 32 | word[there]
+        pairs = np.unique(at)
+        learned = np.sort(at[known[there]])
+        pair_n = np.searchsorted(learned, pairs, "right") - np.searchsorted(learned, pairs, "left")
+        of = np.full(n, -1, np.int64)
+        of[there] = np.searchsorted(pairs, at)
+        levels.append(Level(contexts, rests, begins, pairs, pair_n, of))
+    word_n = np.bincount(word[known], minlength=len(words)).astype(np.int64)
+    return Block(words, word_n, word, ends, levels)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -130,13 +177,15 @@ def _word_bits(bits: int) -> int:
     return bits // 3
 
 
-def pair_shards(b: Block, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Shard and places (in ``b.pairs``, in order) of its pairs."""
-    by_word = _word_bits(bits)
+def _lead(hashes: np.ndarray, n: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - n)).astype(np.int64) if n else np.zeros(len(hashes), np.int64)
+
 
-    def lead(n: int) -> np.ndarray:
-        return (b.words >> np.uint64(64 - n)).astype(np.int64) if n else np.zeros(len(b.words), np.int64)
-    shard = (lead(bits - by_word) << by_word)[b.pairs >> 32] | lead(by_word)[b.pairs & 0xFFFFFFFF]
+def pair_shards(contexts: np.ndarray, words: np.ndarray, pairs: np.ndarray,
+                bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shard and places (in ``pairs``, in order) of its pairs."""
+    by_word = _word_bits(bits)
+    shard = (_lead(contexts, bits - by_word) << by_word)[pairs >> 32] | _lead(words, by_word)[pairs & 0xFFFFFFFF]
     order = np.argsort(shard, kind="stable")
     edges = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
     for s, (i, j) in enumerate(zip(edges, edges[1:])):
@@ -225,9 +274,9 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[obje
         yield now, rows
 
 
-def merge_pairs(shard: int, rows: list[tuple], bits: int) -> Iterator[tuple]:
-    """One bigram shard: the model's arrays, answers to the blocks, and what
-    it knows of contexts, continuations and counts of counts."""
+def merge_pairs(shard: int, rows: list[tuple], bits: int, order: int) -> Iterator[tuple]:
+    """One shard of pairs of one order: the model's arrays, answers to the
+    blocks, and what it knows of contexts, continuations and counts of counts."""
     asked = [(r[2], *unpack(r[3])) for r in rows if r[0] == "pairs"]
     for r in rows:
         if r[0] == "words":         # on their way to the word shards
@@ -235,23 +284,52 @@ def merge_pairs(shard: int, rows: list[tuple], bits: int) -> Iterator[tuple]:
     if not asked:
         return
     heads = [_join40(a[1], a[2]) for a in asked]
-    contexts = np.unique(np.concatenate(heads))
+    contexts, first = np.unique(np.concatenate(heads), return_index=True)
     keys = [np.repeat(np.searchsorted(contexts, v).astype(np.uint64), runs) << np.uint64(40) | _join40(hi, lo)
-            for v, (_, _, _, runs, hi, lo, _) in zip(heads, asked)]
-    pairs, n = _sum_by(np.concatenate(keys), np.concatenate([a[6] for a in asked]))
+            for v, (_, _, _, runs, hi, lo, *_) in zip(heads, asked)]
+    # continuation counts, from the next higher order
+    more = [(_join40(*x[0:2]), _join40(*x[2:4]), x[4]) for x in (unpack(r[3]) for r in rows if r[0] == "follows")]
+    pairs, n = _sum_by(
+        np.concatenate([*keys, *(np.searchsorted(contexts, v).astype(np.uint64) << np.uint64(40) | w
+                                 for v, w, _ in more)]),
+        np.concatenate([*(a[6] for a in asked), *(x[2] for x in more)]))
     pairs, n = pairs[n > 0], n[n > 0]
     yield "model", shard, "", pack(contexts, pairs, _small(n))
     pairs, n = mapped(pairs, n)
     for (block, *_), wanted in zip(asked, keys):
-        yield "pair_n", shard, block, pack(_small(*_looked_up(pairs, wanted, n)))
-    yield "stat2", shard, "", pack(np.array([np.count_nonzero(n == k) for k in (1, 2, 3, 4)], dtype=np.int64))
+        yield f"pair_n{order}", shard, block, pack(_small(*_looked_up(pairs, wanted, n)))
+    yield f"stat{order}", shard, "", pack(np.array([np.count_nonzero(n == k) for k in (1, 2, 3, 4)], dtype=np.int64))
     of, *sums = _sum_by(pairs >> np.uint64(40), n, n == 1, n == 2, n >= 3)
     v = contexts[of.astype(np.int64)]
     for s, i, j in word_shards(v << np.uint64(24), bits):
         yield "contexts", s, "", pack(v[i:j], *(_small(x[i:j]) for x in sums))
-    w, times = np.unique(pairs & _LOW40, return_counts=True)
-    for s, i, j in word_shards(w << np.uint64(24), bits):
-        yield "follows", s, "", pack(w[i:j], _small(times[i:j]))
+    if order == 2:
+        w, times = np.unique(pairs & _LOW40, return_counts=True)
+        for s, i, j in word_shards(w << np.uint64(24), bits):
+            yield "follows", s, "", pack(w[i:j], _small(times[i:j]))
+        return
+    rests, place = np.unique(np.concatenate([_join40(a[7], a[8]) for a in asked])[first], return_inverse=True)
+    grams, times = np.unique(place.astype(np.uint64)[(pairs >> np.uint64(40)).astype(np.int64)] << np.uint64(40)
+                             | pairs & _LOW40, return_counts=True)
+    v, w = rests[(grams >> np.uint64(40)).astype(np.int64)], grams & _LOW40
+    by_word = _word_bits(bits)
+    to = _lead(v << np.uint64(24), bits - by_word) << by_word | _lead(w << np.uint64(24), by_word)
+    at = np.argsort(to, kind="stable")
+    for x in np.split(at, np.flatnonzero(np.diff(to[at])) + 1):
+        if len(x):
+            yield "follows", int(to[x[0]]), "", pack(*_split40(v[x] << np.uint64(24)),
+                                                     *_split40(w[x] << np.uint64(24)), _small(times[x]))
+
+
+def merge_contexts(shard: int, rows: list[tuple], order: int) -> Iterator[tuple]:
+    """One shard of contexts of two words or more: answers of their sums to the blocks."""
+    asked = [(r[2], _join40(*unpack(r[3]))) for r in rows if r[0] == "words"]
+    sums = [unpack(r[3]) for r in rows if r[0] == "contexts"]
+    v, *columns = _sum_by(*(np.concatenate([x[k] for x in sums]) for k in range(5))) if sums else \
+        [np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(4))]
+    v, *columns = mapped(v, *columns)
+    for block, wanted in asked:
+        yield f"word_n{order}", shard, block, pack(*map(_small, _looked_up(v, wanted, *columns)))
 
 
 def merge_words(shard: int, rows: list[tuple]) -> Iterator[tuple]:
@@ -279,7 +357,7 @@ def merge_words(shard: int, rows: list[tuple]) -> Iterator[tuple]:
     words, *columns = mapped(words, *columns)
     for block, w, _ in asked:
         at, _ = _found(words, w)
-        yield "word_n", shard, block, pack(*(_small(np.asarray(c[at])) for c in columns))
+        yield "word_n2", shard, block, pack(*(_small(np.asarray(c[at])) for c in columns))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -296,36 +374,43 @@ class Totals:
     tokens: int            # in training texts
     words: int             # distinct ones
     follows: int           # distinct bigrams, by their second word
-    high: np.ndarray       # discounts of bigram counts
-    low: np.ndarray        # discounts of continuation counts
-    spread: float          # what the lower order leaves to the uniform share
+    high: list[np.ndarray]  # discounts of the counts of orders 2, 3, ...
+    low: np.ndarray        # discounts of continuation counts of words
+    spread: float          # what the lowest order leaves to the uniform share
 
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 1) / (self.tokens + self.words + 1))
 
-    def score(self, pair_n, n_follow, context, once, twice, more) -> np.ndarray:
-        """log10 probability of tokens, from what the shards answer: the
-        bigram's count, the word's continuation count, the context's sum and
-        how many words follow it once, twice, more often."""
-        lower = self.spread / (self.words + 1)
+    def lowest(self, n_follow: np.ndarray) -> np.ndarray:
+        """Probability of words by their continuation counts."""
+        lower = np.full(len(n_follow), self.spread / (self.words + 1))
         if self.follows:
             lower = lower + np.maximum(n_follow - self.low[np.minimum(n_follow, 3)], 0) / self.follows
-        left = self.high[1] * once + self.high[2] * twice + self.high[3] * more
-        own = np.maximum(pair_n - self.high[np.minimum(pair_n, 3)], 0)
+        return lower
+
+    def higher(self, order: int, pair_n, context, once, twice, more, lower) -> np.ndarray:
+        """Probability of n-grams, from what the shards answer: the n-gram's
+        count, the context's sum and how many words follow it once, twice,
+        more often; and the probability one order lower."""
+        high = self.high[order - 2]
+        left = high[1] * once + high[2] * twice + high[3] * more
+        own = np.maximum(pair_n - high[np.minimum(pair_n, 3)], 0)
         sure = np.maximum(context, 1)
-        return np.log10(np.where(context > 0, own / sure + left / sure * lower, lower))
+        return np.where(context > 0, own / sure + left / sure * lower, lower)
 
 
-def totals(one: np.ndarray, two: np.ndarray) -> Totals:
+def totals(one: np.ndarray, high: list[np.ndarray]) -> Totals:
     tokens, words, follows, n1, n2, n3, n4, more = (int(x) for x in one)
-    high, low = discounts(*(int(x) for x in two)), discounts(n1, n2, n3, n4)
+    low = discounts(n1, n2, n3, n4)
     spread = (low[1] * n1 + low[2] * n2 + low[3] * more) / follows if follows else 1.0
-    return Totals(tokens, words, follows, high, low, spread)
+    return Totals(tokens, words, follows, [discounts(*(int(x) for x in h)) for h in high], low, spread)
 
 
 def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: str = "doc_id",
-                  shard_tokens: int = SHARD_TOKENS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Learn from the rows that ``train`` admits and score every row.
+                  shard_tokens: int = SHARD_TOKENS, block_tokens: int = BLOCK_TOKENS,
+                  order: int = 2) -> DataFrame:
+    """Learn n-grams of up to ``order`` words from the rows that ``train``
+    admits and score every row.
 
     Returns doc_id, learned (whether ``train`` admitted it), n_tokens (words
     and one end), n_known (tokens seen in training), train_tokens,
@@ -334,8 +419,10 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
     A null or empty text is one token, its end. Repeated rows count and are
     scored each. Without training rows every token has the uniform share.
     No rows: none. Words are told apart by 64-bit hashes, within
-    bigrams by their leading 40 bits.
+    n-grams by their leading 40 bits, and so are contexts.
     """
+    if order < 2:
+        raise ValueError("the order is at least 2")
     spark = docs.sparkSession
     arrow_batches(spark)
     picked = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("learned"),
@@ -343,7 +430,7 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     tokens = size / BYTES_PER_TOKEN
     bits = 0
-    while shard_tokens << bits < tokens:
+    while shard_tokens << bits < tokens * (order - 1):     # higher orders have more distinct n-grams
         bits += 1
     shards = 1 << bits
     ids_type = picked.schema["doc_id"].dataType.simpleString()
@@ -387,46 +474,56 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
             at += max(n, 0)
         return out
 
-    def count(batches):
-        for batch in batches:
-            for name, learned, data in zip(*(c.to_pylist() for c in batch.columns)):
-                b = block_of(texts_of(data), learned)
-                for s, at in pair_shards(b, bits):
-                    v, w = b.pairs[at] >> 32, b.words[b.pairs[at] & 0xFFFFFFFF]
-                    first = _runs(v)
-                    runs = np.diff(first, append=len(v))
-                    yield _batch([("pairs", s, name, pack(
-                        *_split40(b.words[v[first]]), _small(runs), *_split40(w), _small(b.pair_n[at])))])
-                for s, i, j in word_shards(b.words, bits):
-                    yield _batch([("words", s, name, pack(b.words[i:j], _small(b.word_n[i:j])))])
+    def count(k):
+        def run(batches):
+            for batch in batches:
+                for name, learned, data in zip(*(c.to_pylist() for c in batch.columns)):
+                    b = block_of(texts_of(data), learned, k)
+                    x = b.levels[-1]
+                    pair_n = x.pair_n if k == order else np.where(x.begins[x.pairs >> 32], x.pair_n, 0)
+                    for s, at in pair_shards(x.contexts, b.words, x.pairs, bits):
+                        v, w = x.pairs[at] >> 32, b.words[x.pairs[at] & 0xFFFFFFFF]
+                        first = _runs(v)
+                        runs = np.diff(first, append=len(v))
+                        v = v[first]
+                        rest = _split40(x.rests[v]) if k > 2 else ()
+                        yield _batch([("pairs", s, name, pack(
+                            *_split40(x.contexts[v]), _small(runs), *_split40(w), _small(pair_n[at]), *rest))])
+                    for s, i, j in word_shards(x.contexts, bits):
+                        yield _batch([("words", s, name, pack(b.words[i:j], _small(b.word_n[i:j])) if k == 2
+                                       else pack(*_split40(x.contexts[i:j])))])
+        return run
 
     def by_shard(rows: DataFrame) -> DataFrame:
         return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind", "block")
 
-    def pairs_of(batches):
-        for s, rows in _grouped(batches, 1):
-            for r in merge_pairs(s, rows, bits):
-                yield _batch([r])
-
-    def words_of(batches):
-        for s, rows in _grouped(batches, 1):
-            for r in merge_words(s, rows):
-                yield _batch([r])
-
-    counted = blocks.select("block", "learned", "data").mapInArrow(count, _ROWS)
-    level2 = stored(by_shard(counted).mapInArrow(pairs_of, _ROWS), "lm_pairs")
-    up = level2.where(F.col("kind").isin("words", "contexts", "follows"))
-    level1 = stored(by_shard(up).mapInArrow(words_of, _ROWS), "lm_words")
+    def merged(merge, *args):
+        def run(batches):
+            for s, rows in _grouped(batches, 1):
+                for r in merge(s, rows, *args):
+                    yield _batch([r])
+        return run
 
     def sums(rows: DataFrame, kind: str, n: int) -> np.ndarray:
         got = [unpack(r["data"])[0] for r in rows.where(F.col("kind") == kind).select("data").collect()]
         return np.sum(got, axis=0) if got else np.zeros(n, dtype=np.int64)
 
-    t = totals(sums(level1, "stat1", 8), sums(level2, "stat2", 4))
+    follows, answers, high = None, [], []
+    for k in range(order, 1, -1):
+        counted = blocks.select("block", "learned", "data").mapInArrow(count(k), _ROWS)
+        counted = counted if follows is None else counted.unionByName(follows)
+        level = stored(by_shard(counted).mapInArrow(merged(merge_pairs, bits, k), _ROWS), f"lm_pairs{k}")
+        follows = level.where("kind = 'follows'")
+        up = level.where(F.col("kind").isin("words", "contexts", *(["follows"] if k == 2 else [])))
+        tops = merged(merge_words) if k == 2 else merged(merge_contexts, k)
+        level1 = stored(by_shard(up).mapInArrow(tops, _ROWS), f"lm_words{k}")
+        answers += [level.where(F.col("kind") == f"pair_n{k}"), level1.where(F.col("kind") == f"word_n{k}")]
+        high.insert(0, sums(level, f"stat{k}", 4))
+
+    t = totals(sums(level1, "stat1", 8), high)
 
     # A block's answers are few, small rows; its texts meet them in one task.
-    answers = (level2.where("kind = 'pair_n'").unionByName(level1.where("kind = 'word_n'"))
-               .select("block", "kind", "shard", "data"))
+    answers = reduce(DataFrame.unionByName, answers).select("block", "kind", "shard", "data")
     nothing = [F.lit(None).cast(f"array<{ids_type}>").alias("ids"), F.lit(None).cast("array<boolean>").alias("learned")]
     asked = blocks.select("block", F.lit("texts").alias("kind"), F.lit(0).alias("shard"), "data", "ids", "learned")
     met = asked.unionByName(answers.select("*", *nothing)).repartition("block").sortWithinPartitions("block", "kind", "shard")
@@ -437,19 +534,28 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
         for _, rows in _grouped(batches, 0):
             texts = [r for r in rows if r[1] == "texts"]
             (_, _, _, data, ids, learned), = texts
-            b = block_of(texts_of(data), learned)
-            pair_n = np.zeros(len(b.pairs), dtype=np.int64)
+            b = block_of(texts_of(data), learned, order)
             got = {(r[1], r[2]): r[3] for r in rows if r[1] != "texts"}
-            for s, at in pair_shards(b, bits):
-                pair_n[at] = unpack(got["pair_n", s])[0]
-            columns = np.zeros((6, len(b.words)), dtype=np.int64)
-            for s, i, j in word_shards(b.words, bits):
-                columns[:, i:j] = unpack(got["word_n", s])
-            v, w = b.pairs >> 32, b.pairs & 0xFFFFFFFF
-            score = t.score(pair_n, columns[1][w], *(c[v] for c in columns[2:]))
-            base, known = t.base(columns[0]), columns[0] > 0
-            at = np.searchsorted(b.pairs, b.at)
-            word = b.at & 0xFFFFFFFF
+            best = np.empty(len(b.word))
+            for k, x in enumerate(b.levels, 2):
+                pair_n = np.zeros(len(x.pairs), dtype=np.int64)
+                for s, at in pair_shards(x.contexts, b.words, x.pairs, bits):
+                    pair_n[at] = unpack(got[f"pair_n{k}", s])[0]
+                columns = np.zeros((6 if k == 2 else 4, len(x.contexts)), dtype=np.int64)
+                for s, i, j in word_shards(x.contexts, bits):
+                    columns[:, i:j] = unpack(got[f"word_n{k}", s])
+                there = np.flatnonzero(x.of >= 0)
+                if k == 2:
+                    n_word = columns[0]
+                    lower = t.lowest(columns[1])[x.pairs & 0xFFFFFFFF]
+                else:               # of each n-gram, one order lower
+                    lower = np.empty(len(x.pairs))
+                    lower[x.of[there]] = best[there]
+                p = t.higher(k, pair_n, *(c[x.pairs >> 32] for c in columns[-4:]), lower)
+                best[there] = p[x.of[there]]
+            score = np.log10(best)
+            base, known = t.base(n_word), n_word > 0
+            word = b.word
             start = np.concatenate(([0], b.ends[:-1]))
             n = b.ends - start
 
@@ -458,7 +564,7 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, id_arrow[0]), pa.array(learned), pa.array(n),
                  pa.array(total(known[word].astype(np.int64))), pa.array(np.full(len(n), t.tokens)),
-                 pa.array(total(base[word])), pa.array(total(score[at]))],
+                 pa.array(total(base[word])), pa.array(total(score))],
                 ["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return met.select("block", "kind", "shard", "data", "ids", "learned").mapInArrow(
