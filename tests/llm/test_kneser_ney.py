@@ -156,3 +156,15 @@ def test_only_empty_texts_at_order_three(spark):
     df = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
     got = K.fit_and_score(df, F.lit(True), order=3).collect()
     assert [r["n_tokens"] for r in got] == [1, 1] and len({r["score"] for r in got}) == 1
+
+
+def test_no_arrays_stored_that_nothing_reads():
+    b = K.block_of([b"a b a b c"], [True])
+    x, = b.levels
+    runs = K._runs(x.pairs >> 32)
+    v, w = x.contexts[(x.pairs >> 32)[runs]], b.words[x.pairs & 0xFFFFFFFF]
+    data = K.pack(*K._split40(v), K._small(K.np.diff(runs, append=len(x.pairs))), *K._split40(w), K._small(x.pair_n))
+    pairs = list(K.merge_pairs(0, [("pairs", 0, "0-0", data)], 0, 2))
+    words = [("words", 0, "0-0", K.pack(b.words, b.word_n)), *(r for r in pairs if r[0] in ("contexts", "follows"))]
+    assert {r[0] for r in pairs} == {"pair_n2", "stat2", "contexts", "follows"}
+    assert {r[0] for r in K.merge_words(0, words)} == {"word_n2", "stat1"}

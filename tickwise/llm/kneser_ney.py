@@ -10,8 +10,8 @@ same layout of pairs; the highest is counted first, as each order's
 continuation counts come from the next higher one.
 
 Each pair shard merges its blocks to sorted hash arrays (keys and
-counts), stores them as the model, maps them into memory from a spooled
-file and looks up every block's pairs there. Each word shard does the
+counts), maps these arrays of its own into memory from a spooled
+file and looks up every block's pairs there; the arrays aren't stored. Each word shard does the
 same with word counts, continuation counts and context sums, and from order
 3 on a shard of contexts with the context sums alone. The answers
 go back to the blocks, and a second run over the blocks' texts turns them
@@ -275,8 +275,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[obje
 
 
 def merge_pairs(shard: int, rows: list[tuple], bits: int, order: int) -> Iterator[tuple]:
-    """One shard of pairs of one order: the model's arrays, answers to the
-    blocks, and what it knows of contexts, continuations and counts of counts."""
+    """One shard of pairs of one order: answers to the blocks, and what it
+    knows of contexts, continuations and counts of counts."""
     asked = [(r[2], *unpack(r[3])) for r in rows if r[0] == "pairs"]
     for r in rows:
         if r[0] == "words":         # on their way to the word shards
@@ -294,7 +294,6 @@ def merge_pairs(shard: int, rows: list[tuple], bits: int, order: int) -> Iterato
                                  for v, w, _ in more)]),
         np.concatenate([*(a[6] for a in asked), *(x[2] for x in more)]))
     pairs, n = pairs[n > 0], n[n > 0]
-    yield "model", shard, "", pack(contexts, pairs, _small(n))
     pairs, n = mapped(pairs, n)
     for (block, *_), wanted in zip(asked, keys):
         yield f"pair_n{order}", shard, block, pack(_small(*_looked_up(pairs, wanted, n)))
@@ -353,7 +352,6 @@ def merge_words(shard: int, rows: list[tuple]) -> Iterator[tuple]:
     yield "stat1", shard, "", pack(np.array(
         [n.sum(), np.count_nonzero(n), a.sum(), *(np.count_nonzero(a == k) for k in (1, 2, 3, 4)),
          np.count_nonzero(a >= 3)], dtype=np.int64))
-    yield "vocabulary", shard, "", pack(words, *map(_small, columns))
     words, *columns = mapped(words, *columns)
     for block, w, _ in asked:
         at, _ = _found(words, w)
