@@ -215,6 +215,74 @@ def test_license_templates(text, labels):
     assert {names[t] for t, _, _ in licenses.matches(auto, licenses.words_of(text.encode()))} == labels
 
 
+MIT_HEAD = """Copyright (c) 2021 Ana Sá and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so"""
+MIT_TERMS = """, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+"""
+MIT_TAIL = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+ISC_HEAD = """Copyright 2020 by Someone. Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted"""
+ISC_TERMS = ", provided that the above copyright notice and this permission notice appear in all copies"
+ISC_TAIL = """. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """3. Neither the name of Some Firm, Inc. nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+"""
+BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY SOME FIRM "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL SOME FIRM BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE."""
+
+
+def test_full_licenses_and_near_variants(spark):
+    cases = [
+        (MIT_HEAD + MIT_TERMS + MIT_TAIL, "mit", 1.0),
+        (MIT_HEAD + ". " + MIT_TAIL, "mit-0", 1.0),
+        (ISC_HEAD + ISC_TERMS + ISC_TAIL, "isc", 1.0),
+        (ISC_HEAD + ISC_TAIL, "0bsd", 1.0),
+        (BSD_HEAD + BSD_TAIL, "bsd-2-clause", 1.0),
+        (BSD_HEAD + BSD_NAMES + BSD_TAIL, "bsd-3-clause", 1.0),
+        # near variants: a further condition, a changed one, one left out, only the opening
+        (MIT_HEAD + MIT_TERMS + "The Software shall be used for Good, not Evil. " + MIT_TAIL, "", 0.5),
+        (MIT_HEAD + MIT_TERMS.replace("shall", "may") + MIT_TAIL, "", 0.5),
+        (MIT_HEAD + MIT_TERMS, "", 0.5),
+        (MIT_HEAD + MIT_TERMS + MIT_TAIL.replace("TORT ", ""), "", 0.5),
+        (MIT_HEAD.split(", including")[0], "", 0.5),
+        (ISC_HEAD + ", for non-commercial use only" + ISC_TAIL, "", 0.5),
+        (BSD_HEAD + "3. All advertising materials must display an acknowledgement. " + BSD_TAIL, "", 0.5),
+        (BSD_HEAD + BSD_NAMES.replace("may be", "can be") + BSD_TAIL, "", 0.5),
+        (BSD_HEAD, "", 0.5),
+        ("This is free and unencumbered software released into the public domain, but not for sale.", "", 0.5)]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    assert [(got[i]["labels"], got[i]["score"]) for i in range(len(cases))] == [(x, y) for _, x, y in cases]
+    assert all(s["label"] == x for i, (_, x, _) in enumerate(cases) for s in got[i]["spans"])
+
+
 def test_template_automaton_against_regex():
     markup = ["a <<opt>>b <<opt>>c<<end>><<end>> <<var 1 3>> d", "b <<var 0 2>> a"]
     patterns = [r"a( b( c)?)?( \w){1,3} d", r"b( \w){0,2} a"]

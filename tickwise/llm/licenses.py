@@ -31,6 +31,68 @@ BASE_PHRASES = [
     ("mit", "mit license"),
 ]
 
+_HOLDER = "<<opt>>copyright <<var 1 16>><<end>>"
+_MIT = ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction")
+_MIT_RIGHTS = (_MIT + " including without limitation the rights to use copy modify merge publish distribute "
+               "sublicense and or sell copies of the software and to permit persons to whom the software is "
+               "furnished to do so")
+_MIT_DISCLAIMER = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to "
+    "the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+    "<<var 1 12>> be liable for any claim damages or other liability whether in an action of contract tort or "
+    "otherwise arising from out of or in connection with the software or the use or other dealings in the software")
+_ISC = ("permission to use copy modify and <<opt>>or<<end>> distribute this software for any purpose with or without "
+        "fee is hereby granted")
+_ISC_DISCLAIMER = (
+    "the software is provided as is and <<var 1 12>> disclaims all warranties with regard to this software including "
+    "all implied warranties of merchantability and fitness in no event shall <<var 1 12>> be liable for any special "
+    "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+    "whether in an action of contract negligence or other tortious action arising out of or in connection with the "
+    "use or performance of this software")
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met")
+_BSD_CONDITIONS = (
+    _BSD + " <<opt>>1<<end>> redistributions of source code must retain the above copyright notice this list of "
+    "conditions and the following disclaimer <<opt>>2<<end>> redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution")
+_BSD_NAMES = ("<<opt>>3<<end>> neither the name of <<var 1 12>> nor the names of its contributors may be used to "
+              "endorse or promote products derived from this software without specific prior written permission")
+_BSD_DISCLAIMER = (
+    "this software is provided by <<var 1 12>> as is and any express or implied warranties including but not limited "
+    "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+    "shall <<var 1 12>> be liable for any direct indirect incidental special exemplary or consequential damages "
+    "including but not limited to procurement of substitute goods or services loss of use data or profits or business "
+    "interruption however caused and on any theory of liability whether in contract strict liability or tort "
+    "including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+    "possibility of such damage")
+_UNLICENSE = "this is free and unencumbered software released into the public domain"
+
+# Full licences, all their mandatory wording.
+_FULL = [
+    ("mit", f"{_HOLDER} {_MIT_RIGHTS} subject to the following conditions the above copyright notice and this "
+            "permission notice <<opt>>including the next paragraph<<end>> shall be included in all copies or "
+            f"substantial portions of the software {_MIT_DISCLAIMER}"),
+    ("mit-0", f"{_HOLDER} {_MIT_RIGHTS} {_MIT_DISCLAIMER}"),
+    ("isc", f"{_HOLDER} {_ISC} provided that the above copyright notice and this permission notice appear in all "
+            f"copies {_ISC_DISCLAIMER}"),
+    ("0bsd", f"{_HOLDER} {_ISC} {_ISC_DISCLAIMER}"),
+    ("bsd-2-clause", f"{_HOLDER} {_BSD_CONDITIONS} {_BSD_DISCLAIMER}"),
+    ("bsd-3-clause", f"{_HOLDER} {_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("unlicense", f"{_UNLICENSE} anyone is free to copy modify publish use compile sell or distribute this software "
+                  "either in source code form or as a compiled binary for any purpose commercial or non commercial "
+                  "and by any means in jurisdictions that recognize copyright laws the author or authors of this "
+                  "software dedicate any and all copyright interest in the software to the public domain we make "
+                  "this dedication for the benefit of the public at large and to the detriment of our heirs and "
+                  "successors we intend this dedication to be an overt act of relinquishment in perpetuity of all "
+                  f"present and future rights to this software under copyright law {_MIT_DISCLAIMER}"),
+]
+
+# The openings that those share with other licences: a hint, like a base
+# phrase; ``scan`` never accepts a licence by its opening.
+_OPENINGS = [("mit", _MIT), ("isc", _ISC), ("bsd", _BSD), ("unlicense", _UNLICENSE)]
+
 # Wording of public licence notices.
 TEMPLATES = [
     ("cc-by-4.0", "<<opt>>licensed under<<end>> <<opt>>a<<end>> <<opt>>the<<end>> cc by 4 0 <<opt>>international<<end>> <<opt>>license<<end>>"),
@@ -48,9 +110,8 @@ TEMPLATES = [
     ("mit", "spdx license identifier mit"),
     ("mit", "<<opt>>this <<var 1 4>> is<<end>> released under the mit license"),
     ("mit", "licensed under the <<opt>>terms of the<<end>> mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction <<opt>>including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software<<end>>"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    *_OPENINGS,
+    *_FULL,
     ("gpl-2.0", "<<opt>>this <<var 1 4>> is<<end>> licensed under the <<opt>>terms of the<<end>> gnu general public license version 2"),
     ("gpl-3.0", "<<opt>>this <<var 1 4>> is<<end>> licensed under the <<opt>>terms of the<<end>> gnu general public license version 3"),
     ("gpl-2.0-or-later", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
@@ -58,7 +119,6 @@ TEMPLATES = [
     ("lgpl", "gnu lesser general public license"),
     ("agpl", "gnu affero general public license"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
 # Lower-cases A-Z and turns every byte that no word holds into a space.
@@ -206,15 +266,17 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     base_labels, labels, score and spans (label, first_word, end_word) of
     every accepted place, in order.
 
-    A null or empty text has no words, no places, empty label strings, null
+    Full licences are accepted by all their mandatory wording; their openings
+    alone give neither label nor span. A null or empty text has no words, no places, empty label strings, null
     first_word and last_word and score 0. score is 1 if a notice template is
-    accepted, 0.5 if only base phrases occur, else 0. Repeated rows are
+    accepted, 0.5 if only base phrases or openings occur, else 0. Repeated rows are
     scanned each; further columns are ignored unless named in ``keep``.
     """
     keep = ["doc_id"] if keep is None else keep
     notices = TEMPLATES if templates is None else templates
     names = [n for n, _ in BASE_PHRASES] + [n for n, _ in notices]
     n_base = len(BASE_PHRASES)
+    hints = {i for i, x in enumerate(notices, n_base) if x in _OPENINGS}
     auto = compile_templates([m for _, m in BASE_PHRASES] + [m for _, m in notices])
 
     def make():
@@ -222,14 +284,15 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
             out = [[] for _ in range(8)]
             for t in texts:
                 words = words_of(t)
-                found = matches(auto, words)
+                places = matches(auto, words)
+                found = [m for m in places if m[0] not in hints]
                 base = [(x, i) for x, i, _ in found if x < n_base]
                 at = [i for _, i in base]
                 own = any(x >= n_base for x, _, _ in found)
                 row = (len(words), len(base), min(at, default=None), max(at, default=None),
                        ",".join(sorted({names[x] for x, _ in base})),
                        ",".join(sorted({names[x] for x, _, _ in found})),
-                       1.0 if own else 0.5 if base else 0.0,
+                       1.0 if own else 0.5 if places else 0.0,
                        [{"label": names[x], "first_word": i, "end_word": e}
                         for x, i, e in sorted(found, key=lambda m: (m[1], m[2], m[0]))])
                 for c, v in zip(out, row):
