@@ -91,3 +91,34 @@ def test_damaged_parquet_file_stops_no_other(spark):
     assert [r.symbol for r in Ld.read_landed_bars(spark, path).collect()] == ["AAA"]
     lost = Ld.rowless_files(spark, path).collect()
     assert [(r.entity, r.record_key, r.reason) for r in lost] == [("bars", f"file://{bad}", "no_rows")]
+
+
+def test_parquet_file_that_loses_rows_is_quarantined(spark):
+    base = _scratch()
+    rows = [("AAA", d("2020-01-02"), float(i)) for i in range(60_000)]
+    schema = "symbol string, Date date, Close double"
+    for name in ("A^1", "B"):
+        (spark.createDataFrame(rows, schema).coalesce(1).write.option("compression", "snappy")
+         .option("parquet.enable.dictionary", "false").option("parquet.page.row.count.limit", "5000")
+         .parquet(os.path.join(base, name)))
+    empty = os.path.join(base, "C")
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(empty)
+    folder = os.path.join(base, "B")
+    for f in os.listdir(folder):
+        if f.endswith(".crc"):
+            os.remove(os.path.join(folder, f))
+    (bad,) = [os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")]
+    with open(bad, "r+b") as f:         # late in the data, the footer stays whole
+        f.seek(os.path.getsize(bad) * 3 // 4)
+        f.write(b"\xff" * 2_000)
+    path = os.path.join(base, "*")
+    files = {os.path.basename(os.path.dirname(r.file)): (r.rows_footer, r.rows_read)
+             for r in Ld.landed_files(spark, path).collect()}
+    assert files["A%5E1"] == (60_000, 60_000) and files["C"] == (0, 0)
+    assert files["B"][0] == 60_000 > files["B"][1]
+    lost = {(r.record_key.split("/")[-2], r.reason) for r in Ld.damaged_files(spark, path).collect()}
+    assert lost == {("B", "rows_lost"), ("C", "no_rows")}
+    assert Ld.read_landed_bars(spark, path).count() == 60_000
+    whole = os.path.join(base, "A^1")
+    assert Ld.damaged_files(spark, whole).count() == 0
+    assert Ld.read_landed_bars(spark, whole).count() == 60_000

@@ -30,8 +30,11 @@ def _land_json(frame: DataFrame, path: str) -> None:
 def corrupt_file_quarantine(m: Models) -> DataFrame:
     """A10: landed files with malformed lines (those of days whose volume is a
     multiple of 13 are cut short) read in one PERMISSIVE pass: each file's
-    good rows are kept, bad lines are counted, no file stops another. One
-    result row per landing folder (symbol)."""
+    good rows are kept, bad lines are counted, no file stops another. The good
+    rows are landed once more as Parquet with a damaged file beside them in
+    each folder; those that the Parquet read gives are counted, and the
+    damaged files must all be in the stored quarantine. One result row per
+    landing folder (symbol)."""
     d = _scratch(m, "landing")
     api = Iq.api_frame(m.raw_bars)
     lines = api.select(F.col("symbol").alias("sym"), F.to_json(F.struct(*api.columns)).alias("value"),
@@ -42,11 +45,22 @@ def corrupt_file_quarantine(m: Models) -> DataFrame:
     # The record's own columns are read too: a scan of the corrupt-record
     # column alone is refused by Spark (it would skip full parsing).
     # One row per landing folder (per symbol), whatever the number of files.
-    return (df.select(F.col("sym").alias("landing_symbol"),
-                      (F.col("_corrupt_record").isNotNull() | F.col("symbol").isNull()).alias("corrupt"))
-              .groupBy("landing_symbol")
-              .agg(F.count_if(~F.col("corrupt")).alias("rows_ok"),
-                   F.count_if(F.col("corrupt")).alias("rows_corrupt")))
+    corrupt = F.col("_corrupt_record").isNotNull() | F.col("symbol").isNull()
+    bad = (df.select("sym", corrupt.alias("corrupt")).groupBy("sym")
+             .agg(F.count_if(F.col("corrupt")).alias("rows_corrupt")))
+    p = _scratch(m, "landing_parquet")
+    df.where(~corrupt).drop("_corrupt_record").write.partitionBy("sym").parquet(p)
+    folders = bad.select("sym", F.lit("PAR1 cut short").alias("value"))
+    folders.coalesce(1).write.mode("append").partitionBy("sym").text(p)
+    q = _scratch(m, "quarantine")
+    Ld.damaged_files(m.spark, p).write.parquet(q)
+    lost, planted = m.spark.read.parquet(q).count(), folders.count()
+    if lost != planted:
+        raise ValueError(f"{lost} files in the quarantine, but {planted} damaged ones landed")
+    ok = Ld.read_landed_bars(m.spark, p).groupBy("sym").agg(F.count(F.lit(1)).alias("rows_ok"))
+    return (bad.join(ok, "sym", "left")
+               .select(F.col("sym").alias("landing_symbol"),
+                       F.coalesce("rows_ok", F.lit(0)).cast("bigint").alias("rows_ok"), "rows_corrupt"))
 
 
 def ingest_modes(m: Models) -> DataFrame:

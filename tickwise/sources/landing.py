@@ -107,12 +107,17 @@ def read_landed_bars(spark: SparkSession, path: str, fmt: str = "parquet",
     """A1/A10: one read over every landed price file, explicit schema.
 
     For text formats a malformed line lands in ``_corrupt_record`` (mode
-    PERMISSIVE) instead of failing the read; of a damaged Parquet file no
-    row from the damage on is read (of one cut short none, as its footer is
-    gone), and ``rowless_files`` tells which files gave none. So one bad file
-    or symbol does not stop the others.
+    PERMISSIVE) instead of failing the read. Of Parquet, the files that
+    ``damaged_files`` lists are left out whole, so one bad file or symbol does
+    not stop the others; all other files are read strictly: an error there
+    fails the task (Spark tries it again) and drops no row. The list is made
+    when this is called, by a pass over the files.
     """
-    r = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+    if fmt == "parquet":
+        damaged = [r[0] for r in _damaged(spark, path, schema).select("file").collect()]
+        return (spark.read.schema(schema).option("ignoreCorruptFiles", "false").parquet(path)
+                .where(~F.col("_metadata.file_path").isin(damaged)))
+    r = spark.read.schema(schema)
     if fmt in ("json", "csv"):
         schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
         r = (spark.read.schema(schema).option("mode", "PERMISSIVE")
@@ -122,21 +127,43 @@ def read_landed_bars(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.format(fmt).load(path)
 
 
-def rowless_files(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR_SCHEMA) -> DataFrame:
+def landed_files(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR_SCHEMA) -> DataFrame:
+    """file, rows_footer and rows_read of each Parquet file below ``path``:
+    the rows its footer counts (0 without a footer) and those of which every
+    column of ``schema`` could be read. Without columns Spark counts from the
+    footers; the hash makes the second count read them all."""
+    file = F.col("_metadata.file_path").alias("file")
+    landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(file)
+    lax = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+    footer = lax.groupBy(file).agg(F.count(F.lit(1)).alias("rows_footer"))
+    read = (lax.select(file, F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]).alias("h"))
+            .groupBy("file").agg((F.count_if(F.col("h") >= 0) + F.count_if(F.col("h") < 0)).alias("rows_read")))
+    return (landed.join(footer, "file", "left").join(read, "file", "left")
+            .na.fill(0, ["rows_footer", "rows_read"]))
+
+
+def _damaged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return (landed_files(spark, path, schema)
+            .where((F.col("rows_footer") == 0) | (F.col("rows_read") < F.col("rows_footer"))))
+
+
+def damaged_files(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR_SCHEMA) -> DataFrame:
     """A10 for landed Parquet: entity, record_key (the file) and reason of each
-    file below ``path`` that gives no row, in the columns of the quarantine:
-    damaged from its start, or a fetch that brought nothing. For the list
-    of the files only their names are read."""
-    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.parquet").load(path).select(_same_name("path").alias("record_key")))
-    read = (read_landed_bars(spark, path, "parquet", schema)
-            .select(_same_name("_metadata.file_path").alias("record_key")).distinct())
-    return (landed.join(read, "record_key", "left_anti")
-            .select(F.lit("bars").alias("entity"), "record_key", F.lit("no_rows").alias("reason")))
+    file below ``path`` that ``read_landed_bars`` leaves out, in the columns of
+    the quarantine: ``no_rows`` (no footer, or a fetch that brought nothing) or
+    ``rows_lost`` (fewer rows can be read than its footer counts)."""
+    return _damaged(spark, path, schema).select(
+        F.lit("bars").alias("entity"), _same_name("file").alias("record_key"),
+        F.when(F.col("rows_footer") == 0, "no_rows").otherwise("rows_lost").alias("reason"))
+
+
+def rowless_files(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR_SCHEMA) -> DataFrame:
+    """Of ``damaged_files``, those that give no row at all."""
+    return damaged_files(spark, path, schema).where("reason = 'no_rows'")
 
 
 def _same_name(path: str) -> Column:
-    """A file's name as a URI: the two sources write ``file:/`` and ``file:///``."""
+    """A file's name as a URI, with an empty host: ``file:///`` for ``file:/``."""
     return F.regexp_replace(F.col(path), "^([a-z0-9]+):/+(?=[^/])", "$1:///")
 
 
