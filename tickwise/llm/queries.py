@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
+from tickwise.llm import bpe, interactions, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -120,3 +120,42 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op12_filter_interactions", r"""
+  WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  f AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+  l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+    FROM labels GROUP BY doc_id),
+  m AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+      CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN d.doc_id IS DISTINCT FROM f.first THEN 'E' ELSE '' END AS mask
+    FROM d JOIN f USING (t) LEFT JOIN l ON d.doc_id = l.doc_id),
+  c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+  k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+  o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM k a, k b, k c, k d, k e
+    WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+  s AS (SELECT filter_order, i AS step, substr(filter_order, i, 1) AS x, substr(filter_order, 1, i - 1) AS earlier
+    FROM o, range(1, 6) r(i)),
+  r AS (
+    SELECT part, filter_order, step, x,
+      sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (NOT gone AND fails) AS removed,
+      sum(n) FILTER (gone AND fails) AS redundant, sum(n) FILTER (mask = x) AS unique_fails,
+      sum(good) FILTER (NOT gone AND fails) AS good_lost, sum(toxic) FILTER (NOT gone AND fails) AS toxic_lost
+    FROM (SELECT *, contains(mask, x) AS fails, length(translate(mask, earlier, '')) < length(mask) AS gone FROM c, s)
+    GROUP BY ALL)
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+    CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+    CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+  FROM r""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(interactions.failure_masks(table(spark, sf_dir, "documents"),
+                                                         table(spark, sf_dir, "labels")))
