@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, interactions, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc
+from tickwise.llm import bpe, interactions, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc, whitening
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -159,3 +159,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(interactions.failure_masks(table(spark, sf_dir, "documents"),
                                                          table(spark, sf_dir, "labels")))
+
+
+@register("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
