@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import bpe, interactions, kneser_ney, langid, licenses, mixing, nbsvm, rules, simhash, topk, warc, whitening
+from tickwise.llm import bpe, interactions, kneser_ney, langid, licenses, mixing, nbsvm, pii, rules, simhash, topk, warc, whitening
 from tickwise.llm.common import labels_of, remainder_is, table
 from tickwise.session import stored
 
@@ -122,6 +122,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@register("op11_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("bigint")
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+                        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                        pii.listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 @register("op12_filter_interactions", r"""
   WITH d AS (
     SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
