@@ -37,7 +37,7 @@ from tickwise.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEFT, RIGHT = 24, 12     # code points of context
-SCAN = 256               # running values gathered before they are set aside
+BLOCK = 64               # elements taken together for running values
 PLACE = 1 << 40          # places of one kind, in a number that orders by kind and place
 LABELERS = ("format", "rule", "gazetteer", "left_context", "boundary", "right_context")
 FEATURES = ("rule", "format", "gazetteer", "left_clean", "right_clean", "left_yes", "left_no", "right_no",
@@ -73,22 +73,28 @@ class Kind:
     gazetteer: Callable[[Column], Column] = field(repr=False)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _digits(span: Column) -> Column:
     return F.regexp_replace(span, "[^0-9]", "")
 
 
 def luhn(digits: Column) -> Column:
     """The check digit holds, of at most 19 digits."""
-    padded = F.lpad(digits, 19, "0")
-    total = F.lit(0)
-    for i in range(1, 20):
-        digit = F.substring(padded, i, 1)
-        total = total + (digit if i % 2 else F.translate(digit, "0123456789", "0246813579")).cast("int")
-    return total % 10 == 0
+    def valid(padded: Column) -> Column:
+        total = F.lit(0)
+        for i in range(1, 20):
+            digit = F.substring(padded, i, 1)
+            total = total + (digit if i % 2 else F.translate(digit, "0123456789", "0246813579")).cast("int")
+        return total % 10 == 0
+    return let(F.lpad(digits, 19, "0"), valid)
 
 
 def _card(low: int) -> Callable[[Column], Column]:
-    return lambda s: F.when(F.length(_digits(s)).between(low, 19), luhn(_digits(s))).otherwise(False)
+    return lambda s: let(_digits(s), lambda d: F.when(F.length(d).between(low, 19), luhn(d)).otherwise(False))
 
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -139,25 +145,23 @@ KIND = {
 
 # ---- matches with their places -----------------------------------------------
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often it is named."""
-    return F.transform(F.array(value), body)[0]
-
-
-def running(xs: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """start, then the value after each element (one more than ``xs`` has).
-    Values are set aside in pieces, so a long array isn't copied for each."""
-    zero = F.struct(start.alias("v"), F.array(start).alias("open"), F.array(F.array(start)).alias("done"))
+def prefixes(xs: Column, zero: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """``zero``, then what the associative ``op`` makes of the elements up to
+    each (one value more than ``xs`` has). Blocks of BLOCK elements are taken
+    together first: an array in an aggregate's buffer would be copied at each
+    of its steps."""
+    def over(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda v, x: op(v, x))
 
-    def add(acc: Column, x: Column) -> Column:
-        return let(step(acc["v"], x), lambda v: F.when(
-            F.size(acc["open"]) < SCAN,
-            F.struct(v.alias("v"), F.concat(acc["open"], F.array(v)).alias("open"), acc["done"].alias("done"))
-        ).otherwise(F.struct(v.alias("v"), F.array(v).alias("open"),
-                             F.concat(acc["done"], F.array(acc["open"])).alias("done"))))
+    def of(xs: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), (F.size(xs) / BLOCK).cast("int")),
+                             lambda b: over(F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))
+        before = let(blocks, lambda bs: F.transform(bs, lambda _, i: over(F.slice(bs, F.lit(1), i))))
+        return let(before, lambda ps: F.transform(
+            F.sequence(F.lit(0), F.size(xs)),
+            lambda i: op(ps[(i / BLOCK).cast("int")], over(F.slice(xs, i - i % BLOCK + 1, i % BLOCK)))))
 
-    return F.aggregate(xs, zero, add,
-                       lambda acc: F.flatten(F.concat(F.slice(acc["done"], 2, F.size(acc["done"])), F.array(acc["open"]))))
+    return let(xs, of)
 
 
 MATCH = "array<struct<start:bigint,end:bigint,span:string,left:string,right:string>>"
@@ -168,8 +172,8 @@ def matches(text: Column, pattern: str, needs: str, rule: Callable[[Column], Col
     places in code points (end exclusive) and the text before and after, as
     far as the next match goes."""
     def placed(m: Column) -> Column:
-        lengths = F.transform(m["found"], lambda x, i: F.length(m["gaps"][i]) + F.length(x))
-        ends = running(lengths, F.lit(0).cast("bigint"), lambda v, x: v + x)
+        lengths = F.transform(m["found"], lambda x, i: (F.length(m["gaps"][i]) + F.length(x)).cast("bigint"))
+        ends = prefixes(lengths, F.lit(0).cast("bigint"), lambda v, x: v + x)
         spans = let(ends, lambda e: F.transform(m["found"], lambda x, i: F.struct(
             (e[i + 1] - F.length(x)).alias("start"), e[i + 1].alias("end"), x.alias("span"),
             F.right(m["gaps"][i], F.lit(LEFT)).alias("left"), F.left(m["gaps"][i + 1], F.lit(RIGHT)).alias("right"))))
@@ -193,7 +197,7 @@ def _signals(k: Kind, s: Column) -> dict[str, Column]:
     }
 
 
-def votes(x: dict[str, Column]) -> Column:
+def votes(x: Column) -> Column:
     """A letter a labeler: y, n or - (nothing to say)."""
     say = lambda yes, no: F.when(no, "n").when(yes, "y").otherwise("-")
     never = F.lit(False)
@@ -213,10 +217,10 @@ def candidates(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
 
     def judged(i: int, k: Kind, spans: Column) -> Column:
         def one(s: Column) -> Column:
-            x = _signals(k, s)
-            bits = F.concat(*[x[f].cast("int").cast("string") for f in FEATURES])
-            return F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                            votes(x).alias("votes"), bits.alias("features"))
+            signals = F.struct(*[c.alias(n) for n, c in _signals(k, s).items()])
+            return let(signals, lambda x: F.struct(
+                F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), votes(x).alias("votes"),
+                F.concat(*[x[f].cast("int").cast("string") for f in FEATURES]).alias("features")))
         return F.transform(spans, one)
 
     def apart(base: Column, proposed: Column) -> Column:
@@ -224,10 +228,10 @@ def candidates(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
         order of places, the last base end before and the first base start after."""
         def kept(both: Column) -> Column:
             rank = lambda s, c: s["span"]["kind"].cast("bigint") * PLACE + s["span"][c]
-            before = running(both, F.lit(-1).cast("bigint"),
-                             lambda v, s: F.when(s["is_base"], F.greatest(v, rank(s, "end"))).otherwise(v))
-            after = F.reverse(running(F.reverse(both), F.lit(2 ** 62).cast("bigint"),
-                                      lambda v, s: F.when(s["is_base"], F.least(v, rank(s, "start"))).otherwise(v)))
+            held = lambda c, none: F.transform(
+                both, lambda s: F.when(s["is_base"], rank(s, c)).otherwise(none))
+            before = prefixes(held("end", -1), F.lit(-1).cast("bigint"), F.greatest)
+            after = F.reverse(prefixes(F.reverse(held("start", 2 ** 62)), F.lit(2 ** 62), F.least))
             ends = F.struct(before.alias("before"), after.alias("after"))
             free = let(ends, lambda e: F.transform(both, lambda s, i: F.struct(
                 s["span"].alias("span"), (~s["is_base"] & (e["before"][i] <= rank(s, "start"))
