@@ -1,9 +1,11 @@
 """Price fact (D1-D12): returns, rolling risk, macro of the day, benchmark.
 
-One Exchange on ``symbol`` feeds every window (lag, volatility, cumulative,
-YTD, beta); the benchmark and the macro table are keyed by date, so AQE
-broadcasts them once it has measured them, and the big side is never
-re-shuffled for the joins.
+The bars are exchanged by symbol for the lag, by date to put the benchmark
+beside each row (a window, so the input is read once) and by symbol again for
+the other windows (volatility, cumulative, YTD, beta). The macro table is
+joined on date: AQE broadcasts it if it has measured it to be small, and
+shuffles both sides otherwise. With ``params.segmented`` the windows run over
+segments of a symbol's history (``segments``), which then needs no bound.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.functions.num import rnd, surrogate_key
-from tickwise.operators import macro as M
+from tickwise.operators import macro as M, segments as Sg
 from tickwise.operators import series as S
 from tickwise.params import DEFAULT_PARAMS, Params
 
@@ -41,12 +43,15 @@ def price_fact(stg_bars: DataFrame, stg_macro: DataFrame,
                params: Params = DEFAULT_PARAMS) -> DataFrame:
     """The fact table, one row per (symbol, date) after each symbol's
     first bar."""
-    ret = S.with_benchmark(S.daily_returns(stg_bars), params)
-    x = S.with_rolling_beta(ret.select(
-        "*",
-        S.rolling_volatility_col(params).alias("ann_vol"),
-        S.cumulative_return_col().alias("cum_return"),
-        S.ytd_return_col().alias("ytd_return")), params)
+    if params.segmented:
+        x = Sg.segmented_windows(stg_bars, params)
+    else:
+        ret = S.with_benchmark(S.daily_returns(stg_bars), params)
+        x = S.with_rolling_beta(ret.select(
+            "*",
+            S.rolling_volatility_col(params).alias("ann_vol"),
+            S.cumulative_return_col().alias("cum_return"),
+            S.ytd_return_col().alias("ytd_return")), params)
     wide = M.macro_wide(stg_macro).withColumnRenamed("obs_date", "trade_date")
     j = x.join(wide, "trade_date", "left")
     return j.select(

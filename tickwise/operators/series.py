@@ -5,6 +5,8 @@ Exchange on the symbol feeds every window in a plan; the (symbol, year)
 and (symbol, has_bench) windows reuse that partitioning with only a local
 re-sort. A symbol's series is one row per trading day, so a window task
 holds at most the calendar length of one symbol, however large the table.
+Where a symbol's series has no such bound (minute bars), ``segments`` cuts it:
+``part`` names the further columns that the windows are then partitioned by.
 """
 
 from __future__ import annotations
@@ -29,38 +31,38 @@ def trailing(n: int, *extra):
     return by_symbol(*extra).rowsBetween(-(n - 1), Window.currentRow)
 
 
-def with_lag(stg: DataFrame) -> DataFrame:
+def with_lag(stg: DataFrame, *part: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Previous adjusted close and calendar days since the previous bar."""
-    w = by_symbol()
+    w = by_symbol(*part)
     return stg.select(
-        "symbol", "trade_date", "adj_close", "volume",
+        "symbol", "trade_date", "adj_close", "volume", *keep,
         F.lag("adj_close").over(w).alias("prev_adj_close"),
         F.datediff("trade_date", F.lag("trade_date").over(w)).alias("days_since_prev"))
 
 
-def daily_returns(stg: DataFrame) -> DataFrame:
+def daily_returns(stg: DataFrame, *part: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Simple and log return (8 places, NULL unless prev > 0); each
     symbol's first bar is dropped."""
-    lagged = with_lag(stg)
+    lagged = with_lag(stg, *part, keep=keep)
     prev = F.col("prev_adj_close")
     ok = prev > 0
     a, p = F.col("adj_close").cast("double"), prev.cast("double")
     return (lagged.where(prev.isNotNull())
                   .select("symbol", "trade_date", "adj_close", "prev_adj_close", "volume",
-                          "days_since_prev",
+                          "days_since_prev", *keep,
                           F.when(ok, rnd((a - p) / p, 8)).alias("simple_return"),
                           F.when(ok, rnd(F.ln(a / p), 8)).alias("log_return")))
 
 
-def rolling_volatility_col(params: Params = DEFAULT_PARAMS):
+def rolling_volatility_col(params: Params = DEFAULT_PARAMS, *part: str):
     """Sample stddev of the simple return over the trailing window, annualised."""
-    return rnd(F.stddev_samp("simple_return").over(trailing(params.vol_window))
+    return rnd(F.stddev_samp("simple_return").over(trailing(params.vol_window, *part))
                * F.sqrt(F.lit(float(params.annualisation))), 6)
 
 
-def rolling_mean_col(params: Params = DEFAULT_PARAMS):
+def rolling_mean_col(params: Params = DEFAULT_PARAMS, *part: str):
     """D3: mean simple return over the trailing volatility window."""
-    return rnd(F.avg("simple_return").over(trailing(params.vol_window)), 8)
+    return rnd(F.avg("simple_return").over(trailing(params.vol_window, *part)), 8)
 
 
 def cumulative_return_col():
@@ -98,7 +100,8 @@ def benchmark_series(returns: DataFrame, params: Params = DEFAULT_PARAMS) -> Dat
                            F.col("adj_close").cast("double").alias("bench_level")))
 
 
-def trailing_moments(x: str, y: str, n: int, matched: str | None = None) -> tuple[dict, object]:
+def trailing_moments(x: str, y: str, n: int, matched: str | None = None,
+                     part: tuple[str, ...] = ()) -> tuple[dict, object]:
     """Population co-moments of (x, y) over the trailing ``n`` rows of each
     symbol in O(rows): running sums minus the same sums ``n`` rows back
     (``lag``), instead of re-aggregating a sliding frame per row
@@ -112,9 +115,9 @@ def trailing_moments(x: str, y: str, n: int, matched: str | None = None) -> tupl
     (matched, date). Unmatched rows sort first and add 0 to every sum, so
     for a matched row the running sums and the lag by ``n`` rows see only
     matched rows."""
-    whole = Window.partitionBy("symbol")
+    whole = Window.partitionBy("symbol", *part)
     order = ([matched] if matched else []) + ["trade_date"]
-    ordered = Window.partitionBy("symbol").orderBy(*order)
+    ordered = whole.orderBy(*order)
     run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     has_y = F.col(y).isNotNull()
@@ -141,7 +144,8 @@ def _frame_sum(cum_name: str, ordered, n: int):
     return c - F.coalesce(F.lag(c, n).over(ordered), F.lit(0) if cum_name.endswith("n") else F.lit(0.0))
 
 
-def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str = "beta") -> DataFrame:
+def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str = "beta",
+                      part: tuple[str, ...] = ()) -> DataFrame:
     """covar_pop(r, bench) / var_pop(bench) over the trailing
     ``beta_window`` rows that have a benchmark bar (Q2: unmatched days are
     not counted), per symbol; NULL for the benchmark itself and for rows
@@ -153,7 +157,7 @@ def with_rolling_beta(df: DataFrame, params: Params = DEFAULT_PARAMS, out: str =
     the number of the last benchmark value that differs from the one before
     it, and the frame is flat if that isn't after its first value."""
     w = params.beta_window
-    mom, ordered = trailing_moments("simple_return", "bench_return", w, "has_bench")
+    mom, ordered = trailing_moments("simple_return", "bench_return", w, "has_bench", part)
     run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     value = F.when(F.col("has_bench"), F.col("bench_return"))
     before = F.last(value, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))

@@ -13,6 +13,9 @@ class Params:
     annualisation: int = 252      # trading days per year
     start_date: str = "2019-01-01"  # fallback start of an incremental load
     min_pair_obs: int = 20        # least common days for a pair correlation
+    segmented: bool = False       # windows over segments: for histories that no task can hold
+    segment_rows: int = 500_000   # rows of one symbol that a segmented window task holds
+    segment_days: int = 32        # calendar days of the buckets that segments are made of
     pair_blocks: int | None = None  # symbol blocks for the all-pairs join (None: sized by data)
     pair_block_symbols: int = 128   # symbols per block when sized by data (<= 128^2 pairs a task)
 

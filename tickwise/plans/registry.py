@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.num import surrogate_key
 from tickwise.operators import assets as A, macro as Mc, pairs as P
-from tickwise.operators import reports as Rp, risk as R, series as S
+from tickwise.operators import reports as Rp, risk as R, segments as Sg, series as S
 from tickwise.plans import oracle as O
 from tickwise.plans.context import Models
+from tickwise.session import stored
 
 QUERIES: dict[str, tuple[Callable[[Models], DataFrame], str | None]] = {}
 
@@ -238,6 +239,18 @@ def q_drawdown(m: Models):
     return f.select("symbol", "trade_date", "drawdown")
 
 
+@register("segmented_series", f"""
+  SELECT symbol, trade_date, ann_vol, mean_return_window, cum_return, ytd_return, beta, running_peak,
+    {O.R('(CAST(adj_close AS DOUBLE) - running_peak) / nullif(running_peak, 0)', 6)} AS drawdown
+  FROM (SELECT *, CAST(max(adj_close) OVER (PARTITION BY symbol ORDER BY trade_date
+    ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_peak FROM fact_win) t""")
+def q_segmented_series(m: Models):
+    """D2-D4, D8-D9, F1, F2 over segments of a few months, as for histories
+    that no task can hold."""
+    bars = stored(m.stg_bars.select("symbol", "trade_date", "adj_close", "volume"), "segment_bars")
+    return Sg.segmented_series(bars, m.params.with_(segment_rows=200))
+
+
 @register("downside_return", f"SELECT symbol, trade_date, {O._NEG} AS downside_return FROM fact_nb")
 def q_downside(m: Models):
     f = m.fact.where(F.col("symbol") != m.params.benchmark)
