@@ -52,10 +52,37 @@ def latest_snapshot(fact: DataFrame) -> DataFrame:
     return fact.groupBy("symbol").agg(_snapshot_agg()).select("symbol", "snap.*")
 
 
+def year_parts(fact: DataFrame) -> DataFrame:
+    """E1 and E3 by (symbol, year), in a form that merges: what a refresh
+    keeps of the years it doesn't read."""
+    p = F.col("adj_close").cast("double")
+    return fact.groupBy("symbol", F.year("trade_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("sessions"), F.min("trade_date").alias("first_date"),
+        F.max("trade_date").alias("last_date"), F.sum(p).alias("price_sum"), F.count(p).alias("prices"),
+        F.min(p).alias("min_price"), F.max(p).alias("max_price"),
+        F.sum(F.col("volume").cast("double")).alias("volume_sum"), F.count("volume").alias("volumes"), _snapshot_agg())
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One row of E1 and E3 a symbol, from ``year_parts``."""
+    return parts.groupBy("symbol").agg(
+        F.sum("sessions").alias("sessions"), F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+        rnd(safe_div(F.sum("price_sum"), F.sum("prices")), 2).alias("avg_price"),
+        rnd(F.min("min_price"), 2).alias("min_price"), rnd(F.max("max_price"), 2).alias("max_price"),
+        rnd(safe_div(F.sum("volume_sum"), F.sum("volumes")), 0).alias("avg_daily_volume"),
+        F.max_by("snap", "year").alias("snap"))
+
+
 def asset_dim(stg_assets: DataFrame, fact: DataFrame) -> DataFrame:
     """E5: assets with stats and latest snapshot; E1 and E3 share one
     aggregate over the fact."""
-    agg = fact.groupBy("symbol").agg(*_stats_aggs(), _snapshot_agg())
+    return dim_rows(stg_assets, fact.groupBy("symbol").agg(*_stats_aggs(), _snapshot_agg()))
+
+
+def dim_rows(stg_assets: DataFrame, agg: DataFrame) -> DataFrame:
+    """The dimension's columns, from the assets and one row of stats and
+    snapshot a symbol."""
     j = stg_assets.join(agg, "symbol", "left")
     return j.select(
         surrogate_key("symbol").alias("id"),

@@ -52,6 +52,11 @@ def price_fact(stg_bars: DataFrame, stg_macro: DataFrame,
             S.rolling_volatility_col(params).alias("ann_vol"),
             S.cumulative_return_col().alias("cum_return"),
             S.ytd_return_col().alias("ytd_return")), params)
+    return fact_rows(x, stg_macro)
+
+
+def fact_rows(x: DataFrame, stg_macro: DataFrame) -> DataFrame:
+    """The fact's columns, from windowed returns and the macro of the day."""
     wide = M.macro_wide(stg_macro).withColumnRenamed("obs_date", "trade_date")
     j = x.join(wide, "trade_date", "left")
     return j.select(

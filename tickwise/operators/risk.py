@@ -80,7 +80,11 @@ def annual_metrics(fact: DataFrame, params: Params = DEFAULT_PARAMS,
 
 def risk_mart(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """the annual risk table with percent conversions and classes."""
-    m = annual_metrics(fact, params)
+    return mart_rows(annual_metrics(fact, params))
+
+
+def mart_rows(m: DataFrame) -> DataFrame:
+    """The mart's columns, from the annual metrics."""
     return m.select(
         surrogate_key("symbol", "year").alias("id"),
         "symbol", "year", "sessions",

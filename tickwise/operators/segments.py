@@ -104,6 +104,30 @@ def _plus(carry: str, own: str) -> Column:
     return F.coalesce(F.col(carry) + F.col(own), F.col(carry), F.col(own))
 
 
+def local_windows(x: DataFrame, params: Params, *part: str) -> DataFrame:
+    """The windows of rows that come with ``_halo`` rows before them: trailing
+    ones are final, ``_cum``, ``_ytd`` and ``_peak`` run from the first row
+    that is no halo."""
+    own = F.when(~F.col("_halo"), F.col("log_return"))
+    return S.with_rolling_beta(x.select(
+        "*", F.year("trade_date").alias("_year"),
+        S.rolling_volatility_col(params, *part).alias("ann_vol"),
+        S.rolling_mean_col(params, *part).alias("mean_return_window"),
+        F.sum(own).over(S.running(*part)).alias("_cum"),
+        F.sum(own).over(S.running(*part, F.year("trade_date"))).alias("_ytd"),
+        F.max(F.when(~F.col("_halo"), F.col("adj_close"))).over(S.running(*part)).alias("_peak")), params, part=part)
+
+
+def carried_on(y: DataFrame, columns: list[str]) -> DataFrame:
+    """``local_windows`` rows with what came before them (``from_cum``,
+    ``from_ytd``, ``from_peak``) added: ``columns``, then the windows."""
+    return y.select(
+        *columns, "ann_vol", "mean_return_window", "beta",
+        rnd(F.exp(_plus("from_cum", "_cum")) - 1, 6).alias("cum_return"),
+        rnd(F.exp(_plus("from_ytd", "_ytd")) - 1, 6).alias("ytd_return"),
+        F.greatest("from_peak", "_peak").alias("running_peak"))
+
+
 def segmented_windows(stg: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """The returns of every bar after each symbol's first with benchmark
     columns, ``ann_vol``, ``mean_return_window``, ``cum_return``,
@@ -117,15 +141,7 @@ def segmented_windows(stg: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
     bench = S.benchmark_series(returns, params).withColumn("has", F.lit(True))
     matched = returns.join(bench, "trade_date", "left").withColumn("has_bench", F.coalesce("has", F.lit(False))).drop("has")
     reach = {"bar": (F.lit(True), params.vol_window - 1), "bench": (F.col("has_bench"), params.beta_window)}
-    x = in_segments(matched, reach, params)
-    own = F.when(~F.col("_halo"), F.col("log_return"))
-    x = S.with_rolling_beta(x.select(
-        "*", F.year("trade_date").alias("_year"),
-        S.rolling_volatility_col(params, "_seg").alias("ann_vol"),
-        S.rolling_mean_col(params, "_seg").alias("mean_return_window"),
-        F.sum(own).over(S.running("_seg")).alias("_cum"),
-        F.sum(own).over(S.running("_seg", F.year("trade_date"))).alias("_ytd"),
-        F.max(F.when(~F.col("_halo"), F.col("adj_close"))).over(S.running("_seg")).alias("_peak")), params, part=("_seg",))
+    x = local_windows(in_segments(matched, reach, params), params, "_seg")
     x = stored(x.where(~F.col("_halo")).drop("_halo"), "segment_rows")
     keys = x.select(F.col("symbol").alias("sym"), F.col("_seg").alias("seg"), F.col("_year").alias("year"),
                     "log_return", "adj_close")
@@ -138,12 +154,7 @@ def segmented_windows(stg: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
          .join(_carried(totals, "from_ytd", "total", F.sum, ("year",)).alias("y"), same("t", "y", "sym", "seg", "year"))
          .select("t.sym", "t.seg", "t.year", "from_cum", "from_peak", "from_ytd"))
     on = [F.col("symbol").eqNullSafe(F.col("sym")), F.col("_seg") == F.col("seg"), F.col("_year") == F.col("year")]
-    y = x.join(_small(t, "segment_starts"), on)
-    return y.select(
-        *matched.columns, "ann_vol", "mean_return_window", "beta",
-        rnd(F.exp(_plus("from_cum", "_cum")) - 1, 6).alias("cum_return"),
-        rnd(F.exp(_plus("from_ytd", "_ytd")) - 1, 6).alias("ytd_return"),
-        F.greatest("from_peak", "_peak").alias("running_peak"))
+    return carried_on(x.join(_small(t, "segment_starts"), on), matched.columns)
 
 
 def segmented_series(stg: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:

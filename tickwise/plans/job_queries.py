@@ -3,6 +3,7 @@ under the shared checkpoint directory and return what was stored."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from functools import reduce
@@ -13,13 +14,18 @@ from pyspark.sql import functions as F
 from tickwise.plans import ingest_queries as Iq
 from tickwise.plans import jobs as J
 from tickwise.plans.context import Models
-from tickwise.session import checkpoint_dir
+from tickwise.plans.refresh import Store
+from tickwise.session import checkpoint_dir, folder, stored
 from tickwise.sources import landing as Ld
 from tickwise.streaming import ingest as SI
 
 
 def _scratch(m: Models, name: str) -> str:
-    return os.path.join(checkpoint_dir(m.spark), "tickwise_runs", f"{name}-{uuid.uuid4().hex}")
+    """A new folder, removed when the application ends."""
+    path = os.path.join(checkpoint_dir(m.spark), "tickwise_runs", f"{name}-{uuid.uuid4().hex}")
+    fs, at = folder(m.spark, path)
+    fs.deleteOnExit(at)
+    return path
 
 
 def _land_json(frame: DataFrame, path: str) -> None:
@@ -105,7 +111,41 @@ def sink_tables(m: Models) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _refreshed(m: Models) -> Store:
+    """A store built from the bars and macro values up to one date, then
+    refreshed twice: a year later, 30 days short of which is settled, and with
+    all the rest."""
+    bars, macro = stored(m.stg_bars, "bars"), stored(m.stg_macro, "macro")
+    first, last = bars.agg(F.min("trade_date"), F.max("trade_date")).first()
+    store = Store(m.spark, _scratch(m, "store"), m.params)
+    middle = first + (last - first) / 2 if first else None
+    for until, settle in ((middle, 0), (middle + dt.timedelta(days=365), 30), (last, 0)) if first else ():
+        store.refresh(bars.where(F.col("trade_date") <= F.lit(until)), macro.where(F.col("obs_date") <= F.lit(until)), settle)
+    return store
+
+
+def refresh_fact(m: Models) -> DataFrame:
+    """A20 carried to D12: the fact, refreshed from new days."""
+    return _refreshed(m).fact()
+
+
+def refresh_marts(m: Models) -> DataFrame:
+    """A20 carried to F15 and E5: the risk mart and the asset dimension after
+    refreshes, as rows of one table."""
+    store = _refreshed(m)
+    dim = store.asset_dim(m.stg_assets).select(
+        "symbol", F.lit(None).cast("int").alias("year"), F.col("sessions").alias("sessions"),
+        F.col("cum_return_total").alias("a"), F.col("current_vol").alias("b"), F.col("avg_price").alias("c"),
+        F.col("risk_profile").alias("class"))
+    risk = store.risk_mart().select(
+        "symbol", "year", "sessions", F.col("annual_return_pct").alias("a"), F.col("max_drawdown_pct").alias("b"),
+        F.col("sharpe").alias("c"), F.col("sharpe_class").alias("class"))
+    return dim.unionByName(risk)
+
+
 SPARK = {
+    "refresh_fact": refresh_fact,
+    "refresh_marts": refresh_marts,
     "corrupt_file_quarantine": corrupt_file_quarantine,
     "ingest_modes": ingest_modes,
     "stream_ingest": stream_ingest,
@@ -115,6 +155,11 @@ SPARK = {
 # ---- oracle SQL -------------------------------------------------------------------------------
 _z = Iq._z
 SQL = {
+    "refresh_fact": "SELECT * FROM price_fact",
+    "refresh_marts": """SELECT symbol, CAST(NULL AS INTEGER) AS year, sessions, cum_return_total AS a,
+        current_vol AS b, avg_price AS c, risk_profile AS class FROM asset_dim
+        UNION ALL SELECT symbol, CAST(year AS INTEGER), sessions, annual_return_pct, max_drawdown_pct, sharpe,
+        sharpe_class FROM risk_mart""",
     "corrupt_file_quarantine": """SELECT symbol AS landing_symbol,
         count(*) FILTER (WHERE volume IS NULL OR volume % 13 <> 0) AS rows_ok,
         count(*) FILTER (WHERE volume % 13 = 0) AS rows_corrupt FROM raw_bars GROUP BY symbol""",

@@ -60,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     """A folder's file system and its path there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
@@ -75,7 +75,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scratch.get():
-            fs, at = _folder(spark, path)
+            fs, at = folder(spark, path)
             fs.delete(at, True)
         _scratch.reset(token)
 
@@ -98,6 +98,6 @@ def stored(df, name: str = "table"):
         paths.append(path)
     df.write.mode("overwrite").parquet(path)
     if paths is None:
-        fs, at = _folder(spark, path)
+        fs, at = folder(spark, path)
         fs.deleteOnExit(at)
     return spark.read.parquet(path)
