@@ -2,20 +2,23 @@
 
 Instead of joining returns to themselves on the date, which emits every
 symbol pair for every day and puts a whole day (or year) of pairs in one
-task, each (symbol, year) becomes one dense vector of 366 day slots. Pairs
-are then formed by a blocked equi-join: a symbol hashes to one of B
-blocks, each vector is replicated once per block on the other side, and
-the join key (year, block_a, block_b) gives B*B balanced tasks per year,
-each holding only (T/B)^2 pairs. Per pair, an exact one-pass Welford
-update over the aligned slots runs JVM-side in a higher-order function.
-Work per pair is bounded by 366 slots; the vector of a (symbol, year) holds
-at most one value per calendar day because (symbol, date) is unique.
+task, each (symbol, year) becomes one dense vector of 366 day slots. A
+symbol hashes to one of B blocks, each vector is replicated once per block
+on the other side, and the key (year, block_a, block_b) spreads a year's
+pairs over balanced groups of (T/B)^2 pairs. A group's co-moments are six
+masked matrix products (``gram_moments``), in Arrow batches. With
+``params.pair_gram`` off they come from a one-pass Welford update over the
+aligned slots of each pair, JVM-side in a higher-order function: slower, no
+Python worker. The vector of a (symbol, year) holds at most one value per
+calendar day because (symbol, date) is unique.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,9 +131,95 @@ def pair_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS,
                        _corr_from_moments().alias("corr_raw")))
 
 
+#: A second moment below this share of its raw sum may be rounding alone.
+DOUBTFUL = 1e-9
+PAIRS = "symbol_a string, symbol_b string, year int, n_obs bigint, corr_raw double"
+
+
+def _pair_exact(x: np.ndarray, y: np.ndarray) -> float | None:
+    """The correlation of two aligned series, from their deviations: exactly
+    no second moment, and none, if one doesn't change."""
+    dx, dy = x - x[0], y - y[0]
+    dx, dy = dx - dx.mean(), dy - dy.mean()
+    if (x == x[0]).all() or (y == y[0]).all():
+        return None
+    return float(dx @ dy / math.sqrt(dx @ dx) / math.sqrt(dy @ dy))
+
+
+def gram_block(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Common days and correlation (NaN where there is none) of every row of
+    ``a`` with every row of ``b``; NaN entries are days without a value.
+
+    Values are taken from each row's first, so a row that never changes is
+    exactly 0. A pair whose second moment is small beside its raw sum of
+    squares, as where a row changes outside the common days only, is computed
+    again from the two series."""
+    def centred(m):
+        valid = ~np.isnan(m)
+        first = m[np.arange(len(m)), valid.argmax(axis=1)]
+        return valid.astype(float), np.where(valid, m - first[:, None], 0.0)
+
+    (ma, xa), (mb, xb) = centred(a), centred(b)
+    n = ma @ mb.T
+    sx, sy, sxy, sxx, syy = xa @ mb.T, ma @ xb.T, xa @ xb.T, (xa * xa) @ mb.T, ma @ (xb * xb).T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        corr = (sxy - sx * sy / n) / np.sqrt(vx) / np.sqrt(vy)
+    corr[(sxx == 0) | (syy == 0)] = np.nan
+    doubt = (n > 0) & (sxx > 0) & (syy > 0) & ((vx <= DOUBTFUL * sxx) | (vy <= DOUBTFUL * syy))
+    for i, j in zip(*np.nonzero(doubt)):
+        both = ~np.isnan(a[i]) & ~np.isnan(b[j])
+        exact = _pair_exact(a[i][both], b[j][both])
+        corr[i, j] = np.nan if exact is None else exact
+    return n.astype(np.int64), corr
+
+
+def gram_moments(fact: DataFrame, params: Params = DEFAULT_PARAMS, min_obs: int = 1) -> DataFrame:
+    """(symbol_a < symbol_b, year, n_obs, corr_raw) for pairs with >= min_obs
+    common days, by block products. A block's vectors are one row, sent to
+    each group (year, block, block) that it takes part in."""
+    v = stored(year_vectors(fact, params), "pair_vectors")
+    b = pair_blocks(v, params)
+    block = F.pmod(F.xxhash64("symbol"), F.lit(b)).cast("int")
+    blocks = (v.groupBy("year", block.alias("blk"))
+               .agg(F.collect_list(F.struct("symbol", "vec")).alias("rows")))
+    sides = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("other")).select(
+        "year", F.least("blk", "other").alias("ba"), F.greatest("blk", "other").alias("bb"), "blk", "rows")
+
+    def products(t: pa.Table) -> pa.Table:
+        year = t["year"][0].as_py()
+        blocks = {}
+        for blk, rows in zip(t["blk"].to_pylist(), t["rows"].combine_chunks()):
+            rows = rows.values
+            symbols = np.array(rows.field("symbol").to_pylist(), dtype=object)
+            blocks[blk] = symbols, rows.field("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, SLOTS)
+        ba, bb = t["ba"][0].as_py(), t["bb"][0].as_py()
+        if ba not in blocks or bb not in blocks:   # a block without symbols this year
+            return pa.table([[]] * 5, schema=schema)
+        (sa, va), (sb, vb) = blocks[ba], blocks[bb]
+        n, corr = gram_block(va, vb)
+        i, j = np.nonzero(n >= max(min_obs, 1))
+        if ba == bb:
+            once = sa[i] < sb[j]
+            i, j = i[once], j[once]
+        a, b = sa[i], sb[j]
+        swap = a > b
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        return pa.table([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array([year] * len(a), pa.int32()),
+                         pa.array(n[i, j]), pa.array(corr[i, j], from_pandas=True)], schema=schema)
+
+    schema = pa.schema([("symbol_a", pa.string()), ("symbol_b", pa.string()), ("year", pa.int32()),
+                        ("n_obs", pa.int64()), ("corr_raw", pa.float64())])
+    return sides.groupBy("year", "ba", "bb").applyInArrow(products, PAIRS)
+
+
+def _moments(fact: DataFrame, params: Params, min_obs: int) -> DataFrame:
+    return (gram_moments if params.pair_gram else pair_moments)(fact, params, min_obs)
+
+
 def asset_pairs(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Pairs that share at least one day with returns, per year."""
-    return pair_moments(fact, params, 1).select("symbol_a", "symbol_b", "year")
+    return _moments(fact, params, 1).select("symbol_a", "symbol_b", "year")
 
 
 def correlation_class_col(c="correlation") -> Column:
@@ -149,7 +238,7 @@ def diversification_col(c="correlation") -> Column:
 
 def pairwise_correlation(fact: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """(symbol_a, symbol_b, year, n_obs, correlation) with n >= min_pair_obs."""
-    return (pair_moments(fact, params, params.min_pair_obs)
+    return (_moments(fact, params, params.min_pair_obs)
             .select("symbol_a", "symbol_b", "year", "n_obs",
                     rnd(F.col("corr_raw"), 4).alias("correlation")))
 

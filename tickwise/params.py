@@ -17,6 +17,7 @@ class Params:
     segment_rows: int = 500_000   # rows of one symbol that a segmented window task holds
     segment_days: int = 32        # calendar days of the buckets that segments are made of
     pair_blocks: int | None = None  # symbol blocks for the all-pairs join (None: sized by data)
+    pair_gram: bool = True          # pair moments by matrix products in Arrow batches
     pair_block_symbols: int = 128   # symbols per block when sized by data (<= 128^2 pairs a task)
 
     def with_(self, **kw) -> "Params":
