@@ -47,7 +47,7 @@ from tickwise.llm.common import arrow_batches
 from tickwise.session import stored
 
 SHARD_TOKENS = 1 << 22    # tokens for each shard, at most
-BLOCK_TOKENS = 1 << 21    # tokens after which a task begins a new block
+BLOCK_TOKENS = 1 << 20    # tokens after which a task begins a new block
 BYTES_PER_TOKEN = 6
 BEGIN, END = b" <s>", b" </s>"     # no word holds a space
 _LOW40 = np.uint64((1 << 40) - 1)
@@ -92,45 +92,55 @@ def _gram_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(31)
 
 
-def block_of(texts: list[bytes | None], train: list[bool], order: int = 2) -> Block:
+def block_of(texts: list[bytes | None], train: list[bool], order: int = 2, learn: bool = True) -> Block:
+    """The block of these texts; without ``learn`` its training counts are left
+    out (None). Places are 4 bytes: a block has fewer tokens than that."""
     places = _Places()
     begin, end = places[BEGIN], places[END]
     parts, ends, n = [], [], 0
     for t in texts:
         words = t.lower().split() if t else []         # ASCII case and white space
-        parts.append(np.array([begin, *map(places.__getitem__, words), end], dtype=np.int64))
+        parts.append(np.array([begin, *map(places.__getitem__, words), end], dtype=np.int32))
         n += len(words) + 1
         ends.append(n)
     hashes = np.fromiter(map(_hash, places), dtype=np.uint64, count=len(places))
+    del places
     words, place = np.unique(hashes, return_inverse=True)
+    place = place.astype(np.int32)
     word = np.concatenate([place[p[1:]] for p in parts])
     context = np.concatenate([place[p[:-1]] for p in parts])
+    del parts, hashes
     ends = np.array(ends, dtype=np.int64)
     starts = np.concatenate(([0], ends[:-1]))
-    since = np.arange(n) - np.repeat(starts, ends - starts)     # tokens before it in its text
-    known = np.repeat(np.array(train, dtype=bool), ends - starts)
+    since = np.arange(n, dtype=np.int32)                        # tokens before it in its text
+    since -= np.repeat(starts.astype(np.int32), ends - starts)
+    known = np.repeat(np.array(train, dtype=bool), ends - starts) if learn else None
     contexts, rests, begins = words, np.empty(0, np.uint64), np.zeros(len(words), bool)
     begins[place[begin]] = True
     levels: list[Level] = []
     for k in range(2, order + 1):
-        there = np.flatnonzero(since >= k - 2)
+        there = np.flatnonzero(since >= k - 2) if k > 2 else slice(None)
         if k > 2:                   # a context is the n-gram, one order lower, of the token before
             low = levels[-1]
             grams = _gram_hash(low.contexts[low.pairs >> 32], words[low.pairs & 0xFFFFFFFF])
             before, now = low.of[there - 1], low.of[there]
             contexts, first, found = np.unique(grams[before], return_index=True, return_inverse=True)
-            context = np.zeros(n, np.int64)
+            context = np.zeros(n, np.int32)
             context[there] = found
             rests = low.contexts[low.pairs[now[first]] >> 32]
             begins = since[there[first]] == k - 2
         at = context[there].astype(np.int64) << 32 | word[there]
         pairs = np.unique(at)
-        learned = np.sort(at[known[there]])
-        pair_n = np.searchsorted(learned, pairs, "right") - np.searchsorted(learned, pairs, "left")
-        of = np.full(n, -1, np.int64)
+        pair_n = None
+        if learn:
+            learned = np.sort(at[known[there]])
+            pair_n = np.searchsorted(learned, pairs, "right") - np.searchsorted(learned, pairs, "left")
+            del learned
+        of = np.full(n, -1, np.int32)
         of[there] = np.searchsorted(pairs, at)
+        del at
         levels.append(Level(contexts, rests, begins, pairs, pair_n, of))
-    word_n = np.bincount(word[known], minlength=len(words)).astype(np.int64)
+    word_n = np.bincount(word[known], minlength=len(words)).astype(np.int64) if learn else None
     return Block(words, word_n, word, ends, levels)
 
 
@@ -532,17 +542,18 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
         for _, rows in _grouped(batches, 0):
             texts = [r for r in rows if r[1] == "texts"]
             (_, _, _, data, ids, learned), = texts
-            b = block_of(texts_of(data), learned, order)
+            b = block_of(texts_of(data), learned, order, learn=False)
             got = {(r[1], r[2]): r[3] for r in rows if r[1] != "texts"}
+            del rows, texts, data
             best = np.empty(len(b.word))
             for k, x in enumerate(b.levels, 2):
                 pair_n = np.zeros(len(x.pairs), dtype=np.int64)
                 for s, at in pair_shards(x.contexts, b.words, x.pairs, bits):
-                    pair_n[at] = unpack(got[f"pair_n{k}", s])[0]
+                    pair_n[at] = unpack(got.pop((f"pair_n{k}", s)))[0]
                 columns = np.zeros((6 if k == 2 else 4, len(x.contexts)), dtype=np.int64)
                 for s, i, j in word_shards(x.contexts, bits):
-                    columns[:, i:j] = unpack(got[f"word_n{k}", s])
-                there = np.flatnonzero(x.of >= 0)
+                    columns[:, i:j] = unpack(got.pop((f"word_n{k}", s)))
+                there = np.flatnonzero(x.of >= 0) if k > 2 else slice(None)
                 if k == 2:
                     n_word = columns[0]
                     lower = t.lowest(columns[1])[x.pairs & 0xFFFFFFFF]
@@ -551,7 +562,8 @@ def fit_and_score(docs: DataFrame, train: Column, text: str = "text", id_col: st
                     lower[x.of[there]] = best[there]
                 p = t.higher(k, pair_n, *(c[x.pairs >> 32] for c in columns[-4:]), lower)
                 best[there] = p[x.of[there]]
-            score = np.log10(best)
+                del p, pair_n, lower
+            score = np.log10(best, out=best)
             base, known = t.base(n_word), n_word > 0
             word = b.word
             start = np.concatenate(([0], b.ends[:-1]))
