@@ -362,3 +362,19 @@ def test_bpe_edges(edges, empty, reference):
         want = reference.encode(t or "", add_special_tokens=False).ids
         assert np.frombuffer(r["ids"], "<u4").tolist() == want
     assert bpe.encode(empty, auto).collect() == []
+
+
+def test_bpe_other_settings_are_refused(tmp_path):
+    """A file that asks for another normalisation or splitting isn't coded wrongly."""
+    import json
+    with open(TOKENIZER, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["vocab"], spec["model"]["merges"] = {"a": 0, "a</w>": 1}, []
+    for key, value in (("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("decoder", {"type": "ByteLevel"})):
+        path = tmp_path / f"{key}.json"
+        path.write_text(json.dumps(spec | {key: value}))
+        with pytest.raises(ValueError, match=key):
+            bpe.compile_merges(str(path))
+    path = tmp_path / "same.json"
+    path.write_text(json.dumps(spec))
+    assert bpe.compile_merges(str(path)).labels[:2] == ["a", "a</w>"]

@@ -11,37 +11,50 @@ a is b, runs merge from the left: a itself gets no arc to c.
 As a row or column is copied whole and loses one arc a merge, the table is
 kept as the log of its gadgets (for each token its two parts and its
 merge, for each removed arc the merge that removed it); an arc is read off
-that log in a few steps and remembered by the worker. A word has one path;
-it is walked from the left, longest arc first, back where an arc is
-missing. Decoding emits the labels of the arcs.
+that log in a few steps and remembered by the worker. Texts come by letter: a
+second table, the goto and output tables over the labels of the arcs (Aho and
+Corasick's), reads a word letter by letter and gives at each the labels that end
+there. Every beginning of a word has one path, so exactly one of these has an
+arc from the path's token at its start; it is noted, and at the last letter the
+path is read off the notes. One pass, no step back. Decoding emits the labels
+of the arcs.
 
 The vocabulary file is read by the driver; the compiled log (some MB, its
 size set by the vocabulary) is broadcast. Texts are split, encoded and
-decoded where they are.
+decoded where they are. Normalisation and splitting are those of one kind of
+file (canonical composition, lower case, words, digits and marks apart,
+letters for bytes); a file that asks for others is refused.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from tickwise.llm.common import map_texts
 
-WORD_CACHE = 100_000      # words whose codes a worker remembers; then it starts anew
-ARC_CACHE = 200_000       # arcs that a worker remembers
+WORD_CACHE = 300_000      # words whose codes a worker remembers (some 60 MB); then it starts anew
+ARC_CACHE = 400_000       # arcs that a worker remembers
 CACHED_CHARS = 64         # longer words are encoded each time
 
 # White space of the splitting pattern, and its clitics.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CLITICS = "'s|'t|'re|'ve|'m|'ll|'d"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"     # as the files state it
 WORD = regex.compile(rf"{CLITICS}|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
 
 
+_LAST = "\ue000"          # stands behind a word's last letter; no byte's letter
+_ASCII_WORD = re.compile(rf"{CLITICS}|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")     # the same of lower-case ASCII
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 for itself,
     the others for the code points from 256 on, in order."""
@@ -79,10 +92,33 @@ def arc(first, second, merge, removed, u: int, v: int, before: int) -> bool:
             v, before = first[v], mv + 1     # v's column was copied with its merge
 
 
+def _settings(spec: dict) -> dict:
+    """What a vocabulary file asks for beside its tokens and merges."""
+    model = {k: v for k, v in spec["model"].items() if k not in ("vocab", "merges", "end_of_word_suffix") and v}
+    added = [k for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized") if t.get(k)]
+    return {"normalizer": spec.get("normalizer"), "pre_tokenizer": spec.get("pre_tokenizer"),
+            "post_processor": spec.get("post_processor"), "decoder": spec.get("decoder"), "model": model, "added": added}
+
+
+#: The settings that ``Coder`` follows (fixed values of the file format).
+SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None, "decoder": None, "model": {"type": "BPE"}, "added": []}
+
+
 def compile_merges(path: str) -> Automaton:
-    """Read a BPE vocabulary file (JSON) and compile its merges."""
+    """Read a BPE vocabulary file (JSON) and compile its merges. A file whose
+    other settings are not those that texts are coded by is an error."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    asked = _settings(spec)
+    other = [k for k in SETTINGS if asked[k] != SETTINGS[k]]
+    if other:
+        raise ValueError(f"this file asks for another {', '.join(other)}: {[asked[k] for k in other]}")
     model = spec["model"]
     vocab: dict[str, int] = model["vocab"]
     special = sorted(((t["content"], t["id"]) for t in spec.get("added_tokens", [])),
@@ -126,7 +162,12 @@ class Coder:
                     self.inner[label] = i
         if not a.end:
             self.final = self.inner
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        self.goto = ahocorasick.Automaton()
+        for label, i in self.inner.items():
+            self.goto.add_word(label, (i, len(label)))
+        for label, i in self.final.items():
+            self.goto.add_word(label + _LAST, (i, len(label) + 1))
+        self.goto.make_automaton()
         self.arcs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
@@ -140,36 +181,28 @@ class Coder:
         return known
 
     def walk(self, word: str) -> list[int]:
-        """The path of one word (in byte letters). A place that was reached
-        and left again is not tried twice: what precedes it has one path."""
-        n = len(word)
-        path: list[int] = []
-        ends: list[int] = [0]
-        tried = {0}
-        size = min(self.longest, n)
-        while ends[-1] < n:
-            at = ends[-1]
-            size = min(size, n - at)
-            found = None
-            while size:
-                stop = at + size
-                if stop not in tried:
-                    t = (self.final if stop == n else self.inner).get(word[at:stop])
-                    if t is not None and (not path or self.follows(path[-1], t)):
-                        found = t
-                        break
-                size -= 1
-            if found is None:       # back: a shorter arc from the place before
-                if not path:
-                    raise ValueError(f"no path for {word!r}")
-                path.pop()
-                size = ends.pop() - ends[-1] - 1
-                continue
-            path.append(found)
-            ends.append(stop)
-            tried.add(stop)
-            size = self.longest
-        return path
+        """The tokens of one word (in byte letters). ``at[i]`` notes the last
+        token, and its start, of the path through the first i letters."""
+        at: list = [None] * (len(word) + 2)
+        arcs = self.arcs.get
+        for end, (t, size) in self.goto.iter(word + _LAST):
+            if at[end + 1] is None:
+                start = end + 1 - size
+                if start:
+                    before = at[start]
+                    if before is None:
+                        continue
+                    known = arcs(before[0] << 32 | t)
+                    if not (self.follows(before[0], t) if known is None else known):
+                        continue
+                at[end + 1] = t, start
+        path, here = [], len(word) + 1
+        while here:
+            if at[here] is None:
+                raise ValueError(f"no path for {word!r}")
+            t, here = at[here]
+            path.append(t)
+        return path[::-1]
 
     def word_codes(self, word: str) -> bytes:
         got = self.words.get(word)
@@ -184,11 +217,11 @@ class Coder:
         return got
 
     def _plain(self, text: str) -> bytes:
-        if text.isascii():
-            low = text.lower()
-        else:   # one character at a time: no final form of sigma
-            low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         get, new = self.words.get, self.word_codes
+        if text.isascii():
+            return b"".join([get(w) or new(w) for w in _ASCII_WORD.findall(text.lower())])
+        # one character at a time: no final form of sigma
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return b"".join([get(w) or new(w) for w in WORD.findall(low)])
 
     def encode(self, text: str | None) -> bytes:
@@ -211,11 +244,20 @@ class Coder:
         return " ".join([labels[i] for i in np.frombuffer(codes or b"", dtype="<u4").tolist()])
 
 
+_coders: list[tuple[Automaton, Coder]] = []     # a worker's last one: tasks of a job share its tables
+
+
+def _coder(automaton: Automaton) -> Coder:
+    if not _coders or _coders[0][0] is not automaton:
+        _coders[:] = [(automaton, Coder(automaton))]
+    return _coders[0][1]
+
+
 def _mapped(df: DataFrame, automaton: Automaton, col: str, keep, fields, row, binary=False) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(automaton)
 
     def make():
-        coder = Coder(shared.value)
+        coder = _coder(shared.value)
         return lambda values: [list(c) for c in zip(*[row(coder, v) for v in values])] or [[] for _ in fields]
 
     return map_texts(df, col, keep, fields, make, binary)
