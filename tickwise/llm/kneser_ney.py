@@ -47,7 +47,7 @@ from tickwise.llm.common import arrow_batches
 from tickwise.session import stored
 
 SHARD_TOKENS = 1 << 22    # tokens for each shard, at most
-BLOCK_TOKENS = 1 << 20    # tokens after which a task begins a new block
+BLOCK_TOKENS = 3 << 19    # tokens after which a task begins a new block
 BYTES_PER_TOKEN = 6
 BEGIN, END = b" <s>", b" </s>"     # no word holds a space
 _LOW40 = np.uint64((1 << 40) - 1)
@@ -130,15 +130,15 @@ def block_of(texts: list[bytes | None], train: list[bool], order: int = 2, learn
             rests = low.contexts[low.pairs[now[first]] >> 32]
             begins = since[there[first]] == k - 2
         at = context[there].astype(np.int64) << 32 | word[there]
-        pairs = np.unique(at)
-        pair_n = None
-        if learn:
-            learned = np.sort(at[known[there]])
-            pair_n = np.searchsorted(learned, pairs, "right") - np.searchsorted(learned, pairs, "left")
-            del learned
-        of = np.full(n, -1, np.int32)
-        of[there] = np.searchsorted(pairs, at)
+        pairs, found = np.unique(at, return_inverse=True)
         del at
+        found = found.astype(np.int32)
+        pair_n = np.bincount(found[known[there]], minlength=len(pairs)) if learn else None
+        if k > 2:
+            of = np.full(n, -1, np.int32)
+            of[there] = found
+        else:
+            of = found
         levels.append(Level(contexts, rests, begins, pairs, pair_n, of))
     word_n = np.bincount(word[known], minlength=len(words)).astype(np.int64) if learn else None
     return Block(words, word_n, word, ends, levels)
