@@ -17,6 +17,7 @@ from tickwise.plans.context import Models
 from tickwise.plans.refresh import Store
 from tickwise.session import checkpoint_dir, folder, stored
 from tickwise.sources import landing as Ld
+from tickwise.sources.ledger import Ledger
 from tickwise.streaming import ingest as SI
 
 
@@ -143,7 +144,33 @@ def refresh_marts(m: Models) -> DataFrame:
     return dim.unionByName(risk)
 
 
+def landed_ledger(m: Models) -> DataFrame:
+    """The bars land as Parquet by symbol, half of the symbols first,
+    with a damaged file beside each; the ledger takes what is pending after
+    each of two landings and once more. One row a symbol: the rows handed out,
+    its files that were loaded, and those set aside."""
+    landing, ledger = _scratch(m, "landing"), Ledger(m.spark, _scratch(m, "ledger") + "/files", attempts=2)
+    api = stored(Iq.api_frame(m.raw_bars).withColumn("sym", F.col("symbol")), "api")
+    later = F.pmod(F.xxhash64("sym"), F.lit(2)) == 1
+    counts = []
+    for part in (api.where(~later), api.where(later), None):
+        if part is not None:
+            part.repartition("sym").write.mode("append").partitionBy("sym").parquet(landing)
+            (part.select("sym", F.lit("PAR1 cut short").alias("value")).distinct().coalesce(1)
+                 .write.mode("append").partitionBy("sym").text(landing))
+        for taken in ledger.take(landing):
+            counts.append(stored(taken.rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")), "taken"))
+            ledger.commit(taken)
+    files = ledger.entries().groupBy(F.regexp_extract("path", "sym=([^/]*)/", 1).alias("folder")).agg(
+        F.count_if(F.col("verdict") == "loaded").alias("files_loaded"),
+        F.count_if(F.col("verdict") == "quarantined").alias("files_aside"))
+    rows = reduce(DataFrame.unionByName, counts).groupBy("symbol").agg(F.sum("rows").alias("rows_read"))
+    same = F.regexp_replace("folder", "%5E", "^") == F.col("symbol")
+    return rows.join(files, same).select("symbol", "rows_read", (F.col("files_loaded") > 0).alias("loaded"), "files_aside")
+
+
 SPARK = {
+    "landed_ledger": landed_ledger,
     "refresh_fact": refresh_fact,
     "refresh_marts": refresh_marts,
     "corrupt_file_quarantine": corrupt_file_quarantine,
@@ -155,6 +182,8 @@ SPARK = {
 # ---- oracle SQL -------------------------------------------------------------------------------
 _z = Iq._z
 SQL = {
+    "landed_ledger": """SELECT symbol, count(*) AS rows_read, true AS loaded, CAST(1 AS BIGINT) AS files_aside
+        FROM raw_bars GROUP BY symbol""",
     "refresh_fact": "SELECT * FROM price_fact",
     "refresh_marts": """SELECT symbol, CAST(NULL AS INTEGER) AS year, sessions, cum_return_total AS a,
         current_vol AS b, avg_price AS c, risk_profile AS class FROM asset_dim

@@ -18,8 +18,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.operators import upsert as U, validate as V
+from tickwise.operators import upsert as U, validate as Va
+from tickwise.plans import versions as V
 from tickwise.session import scratch, stored
+from tickwise.sources.landing import ingest_bars
+from tickwise.sources.ledger import Ledger
 
 
 def with_year(df: DataFrame, date_col: str) -> DataFrame:
@@ -160,23 +163,25 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
     the rejects and the load, so it is stored once. Returns the row count of each
     stored table."""
     steps = ["assets", "prices", "macro"] if only is None else [only]
+    for name in ("assets", "watermarks"):
+        V.restore(spark, os.path.join(out_dir, name))
     paths = {s: os.path.join(out_dir, s) for s in ("assets", "prices", "macro", "quarantine")}
     run_id = uuid.uuid4().hex
     rejects = [] if parse_rejects is None else [parse_rejects]
     for step in steps:
         if step == "assets":
-            v = stored(V.validate_assets(assets), "validated_assets")
-            rejects.append(V.quarantine(v, "assets", ["symbol"]))
-            good = loaded(deduped(V.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
+            v = stored(Va.validate_assets(assets), "validated_assets")
+            rejects.append(Va.quarantine(v, "assets", ["symbol"]))
+            good = loaded(deduped(Va.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
             if table_exists(spark, paths["assets"]):
                 current = spark.read.parquet(paths["assets"])
                 good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS,
                                 U.ASSET_UPDATES + ["loaded_at"])
-            stored(good, "assets").write.mode("overwrite").parquet(paths["assets"])
+            V.replace(good, paths["assets"])
         elif step == "prices":
-            v = stored(V.validate_bars(bars), "validated_bars")
-            rejects.append(V.quarantine(v, "bars", ["symbol", "trade_date"]))
-            good = deduped(V.valid_rows(v).drop("volume_raw"), U.BAR_KEYS, U.BAR_UPDATES)
+            v = stored(Va.validate_bars(bars), "validated_bars")
+            rejects.append(Va.quarantine(v, "bars", ["symbol", "trade_date"]))
+            good = deduped(Va.valid_rows(v).drop("volume_raw"), U.BAR_KEYS, U.BAR_UPDATES)
             marks = bar_watermarks(spark, out_dir)
             if mode == "incremental" and marks is not None:
                 good = U.since_watermark(marks, good, start_date)
@@ -184,18 +189,17 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
                                               U.BAR_UPDATES + ["loaded_at"], "trade_date"))
             if marks is not None:
                 merged = U.watermarks(marks.unionByName(merged), date_col="last_date")
-            (stored(merged, "watermarks").write.mode("overwrite")
-             .parquet(os.path.join(out_dir, "watermarks")))
+            V.replace(merged, os.path.join(out_dir, "watermarks"))
         elif step == "macro":
-            v = stored(V.validate_macro(macro), "validated_macro")
-            rejects.append(V.quarantine(v, "macro", ["obs_date", "series"]))
-            good = deduped(V.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
+            v = stored(Va.validate_macro(macro), "validated_macro")
+            rejects.append(Va.quarantine(v, "macro", ["obs_date", "series"]))
+            good = deduped(Va.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
             upsert_into(spark, paths["macro"], loaded(good), U.MACRO_KEYS,
                         U.MACRO_UPDATES + ["loaded_at"], "obs_date")
         else:
             raise ValueError(f"unknown step {step!r}")
     if rejects:
-        (V.quarantine_all(rejects).withColumn("run_id", F.lit(run_id))
+        (Va.quarantine_all(rejects).withColumn("run_id", F.lit(run_id))
           .write.mode("append").parquet(paths["quarantine"]))
     counts = [spark.read.parquet(paths[s]).select(F.lit(s).alias("table_name"),
                                                    F.count(F.lit(1)).alias("rows"))
@@ -206,6 +210,24 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
     return out
 
 
+def load_landed(spark: SparkSession, out_dir: str, landing: str, macro: DataFrame, assets: DataFrame,
+                attempts: int = 3, **options) -> DataFrame:
+    """A21 from landed Parquet files: the pending ones are taken by the ledger
+    below ``out_dir``, batch by batch; a batch is loaded (``run_load`` with
+    ``options``), its newly quarantined files join the quarantine, and only
+    then does the ledger say so. Loads are idempotent, so a batch that fails on
+    the way is taken again. Returns the verdicts of all files."""
+    ledger = Ledger(spark, os.path.join(out_dir, "ledger"), attempts)
+    with scratch(spark):
+        for taken in ledger.take(landing):
+            aside = taken.files.where("verdict = 'quarantined'").select(
+                F.lit("bars").alias("entity"), F.col("file").alias("record_key"), "reason")
+            _load(spark, out_dir, ingest_bars(taken.rows), macro, assets, options.get("mode", "incremental"),
+                  options.get("only"), options.get("start_date", "2019-01-01"), aside)
+            ledger.commit(taken)
+    return ledger.entries()
+
+
 def store_quality_results(results: DataFrame, path: str, run_id: str | None = None) -> str:
     """X11: append a checkpoint's result rows to a Parquet table keyed by run
     id (one partition per run), so earlier runs are never rewritten."""

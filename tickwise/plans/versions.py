@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MANIFEST = "_manifest.json"
 
@@ -83,3 +83,41 @@ def sweep(spark: SparkSession, base: str) -> int:
             fs.delete(status.getPath(), True)
             gone += 1
     return gone
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    _, fs, at = _context(spark, path)
+    return bool(fs.exists(at))
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """If a replacement stopped between its renames, put the earlier table back."""
+    context, fs, at = _context(spark, path)
+    if fs.exists(at) or not fs.exists(at.getParent()):
+        return
+    for status in fs.listStatus(at.getParent()):
+        if status.getPath().getName().startswith(f"{at.getName()}.old-"):
+            fs.rename(status.getPath(), at)
+            return
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Replace the Parquet table at ``path``, which ``df`` may read. The new
+    rows are written whole beside it; only then is the old folder moved away
+    and the new one to its name. A write that fails leaves the old table; the
+    old folder goes last, and ``restore`` brings it back where the two renames
+    were cut apart."""
+    spark = df.sparkSession
+    restore(spark, path)
+    mark = uuid.uuid4().hex
+    df.write.parquet(f"{path}.new-{mark}")
+    _, fs, at = _context(spark, path)
+    _, _, new = _context(spark, f"{path}.new-{mark}")
+    _, _, old = _context(spark, f"{path}.old-{mark}")
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"{path} cannot be moved")
+    if not fs.rename(new, at):
+        fs.rename(old, at)
+        raise OSError(f"{path}.new-{mark} cannot be moved to {path}")
+    if fs.exists(old):
+        fs.delete(old, True)
