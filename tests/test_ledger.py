@@ -145,3 +145,44 @@ def test_failed_load_leaves_the_assets(spark, monkeypatch):
     load()
     assert sorted(r.symbol for r in spark.read.parquet(out + "/assets").collect()) == rows
     assert not [f for f in os.listdir(out) if f.startswith("assets.old")]
+
+
+def test_batch_and_stream_share_a_table(spark):
+    """In either order: the batch's values overwrite, a streamed fetch
+    overwrites a batch's and an older fetch's, all rows have a load time, and
+    an older fetch that comes after all is left out."""
+    import datetime as dt
+    from pyspark.sql import types as T
+    from tickwise.streaming import ingest as SI
+    schema = T.StructType(SI.STREAM_SCHEMA.fields + [T.StructField("file_path", T.StringType())])
+
+    def stream(out, adj, fetched, days=(2, 3), epoch=1):
+        rows = [("AAA", dt.date(2020, 1, d), 1.0, 2.0, 0.5, 1.5, adj, 100.0, fetched, None, f"f{fetched}") for d in days]
+        SI.process_batch(spark, out + "/prices", out + "/q")(spark.createDataFrame(rows, schema), epoch)
+
+    def batch(out, adj, days=(3, 4)):
+        bars = spark.createDataFrame([("AAA", dt.date(2020, 1, d), 1.0, 2.0, 0.5, 1.5, adj, 100) for d in days],
+                                     "symbol string, trade_date date, open double, high double, low double, "
+                                     "close double, adj_close double, volume bigint")
+        bars = bars.withColumn("volume_raw", F.col("volume").cast("double")).withColumn("source", F.lit("batch"))
+        J.run_load(spark, out, bars, None, None, mode="full", only="prices")
+
+    def state(out):
+        rows = spark.read.parquet(out + "/prices").collect()
+        assert all(r.loaded_at is not None for r in rows)
+        return {r.trade_date.day: (r.adj_close, r.source) for r in rows}
+
+    out = folder()
+    batch(out, 1.1)
+    stream(out, 1.4, 5)
+    assert state(out) == {2: (1.4, "yahoo_finance"), 3: (1.4, "batch"), 4: (1.1, "batch")}
+    stream(out, 1.2, 4, epoch=2)
+    assert state(out)[3] == (1.4, "batch")
+    other = folder()
+    stream(other, 1.4, 5)
+    batch(other, 1.1)
+    assert state(other) == {2: (1.4, "yahoo_finance"), 3: (1.1, "yahoo_finance"), 4: (1.1, "batch")}
+    stream(other, 1.2, 4, epoch=2)
+    assert state(other)[3] == (1.1, "yahoo_finance")
+    stream(other, 1.9, 6, epoch=3)
+    assert state(other)[3][0] == 1.9

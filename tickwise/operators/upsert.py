@@ -68,12 +68,18 @@ def settle_sequenced(rows: DataFrame, keys: list[str], update_cols: list[str]) -
     """A19 on rows from ``sequenced``: of all rows of a key, the one of the
     highest ``last_seq`` gives the updated columns, that of the lowest
     ``first_seq`` the others; rows of equal sequence are told apart by their
-    values. One partially aggregated shuffle on the key."""
-    others = [c for c in rows.columns
-              if c not in keys and c not in update_cols and c not in ("first_seq", "last_seq")]
-    g = rows.groupBy(*keys).agg(F.max(F.struct("last_seq", *update_cols)).alias("_last"),
+    values. A row without a sequence (a batch load's) comes before all that
+    have one. ``loaded_at`` is when the winning values first came, so settling
+    them again changes nothing. One partially aggregated shuffle on the key."""
+    others = [c for c in rows.columns if c not in keys and c not in update_cols
+              and c not in ("first_seq", "last_seq", "loaded_at")]
+    since = [(-F.unix_micros("loaded_at")).alias("_since")] if "loaded_at" in rows.columns else []
+    g = rows.groupBy(*keys).agg(F.max(F.struct("last_seq", *update_cols, *since)).alias("_last"),
                                 F.min(F.struct("first_seq", *others)).alias("_first"))
-    return g.select(*keys, "_last.*", "_first.*").select(*rows.columns)
+    out = g.select(*keys, "_last.*", "_first.*")
+    if since:
+        out = out.withColumn("loaded_at", F.timestamp_micros(-F.col("_since")))
+    return out.select(*rows.columns)
 
 
 def merge_sequenced(target: DataFrame, batch: DataFrame, keys: list[str],

@@ -92,7 +92,7 @@ def stream_ingest(m: Models) -> DataFrame:
     target = os.path.join(d, "bars")
     SI.run_stream_ingest(m.spark, os.path.join(d, "landing", "*", "*"), target,
                          os.path.join(d, "checkpoint"))
-    return m.spark.read.parquet(target).drop("first_seq", "last_seq")
+    return m.spark.read.parquet(target).drop("first_seq", "last_seq", "loaded_at")
 
 
 def sink_tables(m: Models) -> DataFrame:

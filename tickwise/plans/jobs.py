@@ -122,6 +122,21 @@ def loaded(rows: DataFrame) -> DataFrame:
     return rows.withColumn("loaded_at", F.current_timestamp())
 
 
+#: What tells fetches apart: their time, then their file.
+SEQUENCE = "struct<t:bigint,file_path:string>"
+
+
+def stored_bars(rows: DataFrame) -> DataFrame:
+    """Bars as the table holds them, whoever loads it: with their load time and
+    with the first and last sequence, NULL where the load gives none. A batch
+    load overwrites values and leaves a stored row's sequence; a streamed row
+    overwrites those of a batch, or of an older fetch."""
+    for c in ("first_seq", "last_seq"):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast(SEQUENCE))
+    return loaded(rows).select(*U.BAR_KEYS, *U.BAR_UPDATES, "source", "loaded_at", "first_seq", "last_seq")
+
+
 def deduped(rows: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
     """A19 for a load: one row a key. ``batch_seq`` orders rows of equal keys
     (the last one's updated columns win); where the source gives none, the
@@ -141,7 +156,8 @@ def bar_watermarks(spark: SparkSession, out_dir: str) -> DataFrame | None:
     marks = os.path.join(out_dir, "watermarks")
     if table_exists(spark, marks):
         return spark.read.parquet(marks)
-    return U.watermarks(spark.read.parquet(os.path.join(out_dir, "prices")))
+    # stored, as the load rewrites the files that they come from
+    return stored(U.watermarks(spark.read.parquet(os.path.join(out_dir, "prices"))), "watermarks")
 
 
 def run_load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
@@ -185,7 +201,7 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
             marks = bar_watermarks(spark, out_dir)
             if mode == "incremental" and marks is not None:
                 good = U.since_watermark(marks, good, start_date)
-            merged = U.watermarks(upsert_into(spark, paths["prices"], loaded(good), U.BAR_KEYS,
+            merged = U.watermarks(upsert_into(spark, paths["prices"], stored_bars(good), U.BAR_KEYS,
                                               U.BAR_UPDATES + ["loaded_at"], "trade_date"))
             if marks is not None:
                 merged = U.watermarks(marks.unionByName(merged), date_col="last_date")

@@ -4,7 +4,8 @@ A file stream (JSON lines, PERMISSIVE with ``_corrupt_record``) feeds
 ``foreachBatch``: corrupt lines go to a quarantine table, the rest are
 normalised (A1-A3), validated (A12), de-duplicated by an explicit sequence
 (A19: last value wins, first source stays) and merged into the stored
-table (A16) by rewriting only the years they touch. The table keeps the
+table (A16) by rewriting only the years they touch. That table may be the one
+that batch loads write (``jobs.stored_bars``), in any order. It keeps the
 first and last sequence of each row, so an older fetch that lands later
 does not undo a newer one, however the files are cut into micro-batches.
 The merge is idempotent, so a micro-batch replayed after a failure leaves
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.operators import upsert as U, validate as V
-from tickwise.plans.jobs import upsert_into
+from tickwise.plans.jobs import stored_bars, upsert_into
 from tickwise.session import checkpoint_dir, scratch
 from tickwise.sources import landing as Ld
 
@@ -63,7 +64,7 @@ def process_batch(spark: SparkSession, target: str, quarantine: str):
                     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
                     .parquet(quarantine))
             good = V.valid_rows(v).drop("volume_raw")
-            good = U.settle_sequenced(U.sequenced(good), U.BAR_KEYS, U.BAR_UPDATES)
+            good = U.settle_sequenced(stored_bars(U.sequenced(good)), U.BAR_KEYS, U.BAR_UPDATES)
             with scratch(spark):
                 upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date",
                             merge=U.merge_sequenced)
