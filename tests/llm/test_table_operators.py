@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import re
 from collections import defaultdict
 from itertools import product
@@ -278,3 +279,54 @@ def test_pipeline_edges(spark):
 def test_pipeline_query(spark):
     got = corpus_pipeline.run(spark, SF_SMALL)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 0
+
+
+# ---- sizes that used to change the method ------------------------------------------------------
+
+
+def test_every_archive_has_a_dictionary(tmp_path):
+    """One short record, fifteen, and some of 200 KB: a leading skippable
+    frame, and the records come back."""
+    rng = np.random.default_rng(2)
+    long = [bytes(rng.integers(97, 123, 200_000, dtype=np.uint8)) for _ in range(3)]
+    cases = [[b"WARC/1.1 x"], [b"WARC/1.1 %d " % i + b"ab" * 40 for i in range(15)], long, [b"a"] * 40, [b""] * 3 + [b"z"]]
+    for n, records in enumerate(cases):
+        a = warc.Archive(f"file://{tmp_path}", f"{n}.warc.zst")
+        for r in records:
+            a.add(r)
+        a.close()
+        raw = (tmp_path / f"{n}.warc.zst").read_bytes()
+        magic, size = np.frombuffer(raw[:8], "<u4").tolist()
+        assert magic == warc.SKIPPABLE and 0 < size <= warc.DICTIONARY_BYTES
+        packer = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw[8:8 + size]))
+        got = packer.stream_reader(raw[8 + size:], read_across_frames=True).read()
+        assert got == b"".join(records)
+
+
+def test_topk_large_components(spark):
+    """Finite components up to a long's ends are scored exactly, beside rows
+    that the index answers."""
+    rows = [(i, [float(i % 7), 1.0 - i]) for i in range(120)] + [(200, [-1e17, 2.0]), (201, [1e17, 1.0]), (250, [0.5, -3e15])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    ints = {i: [max(-2**63, min(2**63 - 1, math.floor(256 * c))) for c in v] for i, v in rows}
+    for q in (i for i in ints if i % 50 == 0):
+        scores = {i: sum(a * b for a, b in zip(ints[q], v)) for i, v in ints.items() if i != q}
+        want = sorted(scores, key=lambda i: (-max(-2**63, min(2**63 - 1, scores[i])), i))[:5]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [r[1] for r in mine] == want
+        assert [r[2] for r in mine] == [max(-2**63, min(2**63 - 1, scores[i])) for i in want]
+
+
+def test_mixtures_and_corpora_without_languages_stay(spark):
+    """A text of several identified languages stays, and where none can be
+    learned, each text with a letter."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    by_lang = {r.lang: r.text for r in docs.where("lang IS NOT NULL AND length(text) > 2000").collect()}
+    mixed = "\n".join(by_lang[x][:n] for x, n in zip(sorted(by_lang), (900, 750, 700, 650)))
+    frame = spark.createDataFrame([(1, mixed), (2, "12 34"), (3, None), (4, "")], "doc_id bigint, text string")
+    model = langid.train(docs, F.lit(True))
+    assert [r.doc_id for r in langid.keep_identified(frame, model).collect()] == [1]
+    assert len(langid.predict(frame, model).where("doc_id = 1").first().languages) == 4
+    none = langid.train(docs.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
+    assert [r.doc_id for r in langid.keep_identified(frame, none).collect()] == [1]

@@ -186,10 +186,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                       (f"{prefix}languages", "array<struct<lang:string,share:double>>")], make)
 
 
-def keep_identified(docs: DataFrame, model: Model, least_share: float = 0.5,
+def keep_identified(docs: DataFrame, model: Model, least_share: float = 0.0,
                     text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a main
-    language with a proportion of at least ``least_share``."""
+    """The rows of ``docs``, all columns as they are, whose text has an
+    identified language, in whatever mixture; ``least_share`` asks for a main
+    one of at least that proportion. A model without languages rejects none of
+    the texts that hold a letter."""
+    if not model.languages:
+        return docs.where(F.col(f"`{text}`").rlike(r"\p{L}"))
     prefix = fresh([f"{c}" for c in docs.columns], "_li")
     found = predict(docs, model, text, docs.columns, prefix)
     return (found.where((F.col(f"{prefix}lang_pred") != UNDETERMINED)

@@ -110,6 +110,12 @@ class Index:
         return self.ids[at][best], exact[best]
 
 
+def _large(x: np.ndarray) -> np.ndarray:
+    """Rows with a component too large for sums of products in doubles to be
+    exact (taken as doubles: the least long has no positive counterpart)."""
+    return np.abs(x.astype(np.float64)).max(axis=1, initial=0.0) * float(x.shape[1]) ** 0.5 >= 2.0 ** 25
+
+
 def _exact(ids: np.ndarray, rows: np.ndarray, q: np.ndarray, k: int, own: int):
     """As ``Index.search`` for components too large for it: integers of any size."""
     at = np.flatnonzero(ids != own)
@@ -186,14 +192,19 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
                     held, index = (ids, width), None
                     x_ids = np.frombuffer(ids, dtype=np.int64)
                     x = np.frombuffer(rows, dtype=np.int64).reshape(-1, width)
+                    large = _large(x)
                 q_id = np.frombuffer(q_ids, dtype=np.int64)
                 qs = np.frombuffer(q_rows, dtype=np.int64).reshape(-1, width)
-                small = max(np.abs(x).max(), np.abs(qs).max()) * float(width) ** 0.5 < 2.0 ** 25
-                if small and index is None:
-                    index = Index(x_ids, x)
-                for own, q in zip(q_id.tolist(), qs):
-                    got, scores = index.search(q, k, own) if small else _exact(x_ids, x, q, k, own)
-                    out += [(own, int(i), int(s)) for i, s in zip(got, scores)]
+                if index is None and not large.all():
+                    index = Index(x_ids[~large], x[~large])
+                for own, q, beyond in zip(q_id.tolist(), qs, _large(qs)):
+                    exact = np.ones(len(x), bool) if beyond else large
+                    if not exact.all():
+                        got, scores = index.search(q, k, own)
+                        out += [(own, int(i), int(s)) for i, s in zip(got, scores)]
+                    if exact.any():
+                        got, scores = _exact(x_ids[exact], x[exact], q, k, own)
+                        out += [(own, int(i), int(s)) for i, s in zip(got, scores)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), pa.int64()) for c in (zip(*out) if out else ([], [], []))],
                     ["query_id", "vec_id", "score"])

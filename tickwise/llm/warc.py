@@ -32,7 +32,8 @@ from tickwise.session import checkpoint_dir, stored
 MIN_REVISIT = 100              # bytes: shorter payloads are always stored
 ARCHIVE_BYTES = 64 << 20       # of compressed records after which an archive is closed
 SAMPLE_BYTES = 2 << 20         # of records that a dictionary is trained on, at most
-MIN_SAMPLES = 16               # fewer records: no dictionary
+MIN_SAMPLES = 16               # fewer pieces of records: a dictionary of their text as it stands
+MIN_PIECE = 512                # bytes of a piece, at least
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 6
 SKIPPABLE = 0x184D2A5D         # the frame that holds a dictionary (fixed value of the format)
@@ -78,6 +79,28 @@ def record(key, url: str | None, payload: bytes, digest: str, refers_to) -> byte
     return _header(kind, key, url, digest, refers_to, block, len(payload)) + block + b"\r\n\r\n"
 
 
+def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
+    """A dictionary of these records: trained on pieces of them, so that one
+    long record or a few make enough; of what is too short or too alike to
+    train on, the records' own beginning."""
+    whole = sum(map(len, records))
+    piece = max(MIN_PIECE, min(SAMPLE_BYTES, whole) // (4 * MIN_SAMPLES))
+    samples, held = [], 0
+    for r in records:
+        for i in range(0, len(r), piece):
+            if held < SAMPLE_BYTES:
+                samples.append(r[i:i + piece])
+                held += len(samples[-1])
+    if len(samples) >= MIN_SAMPLES:
+        try:
+            # Segment length and frequency are given: no search over them.
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8, level=LEVEL)
+        except zstandard.ZstdError:
+            pass
+    return zstandard.ZstdCompressionDict(b"".join(samples)[:DICTIONARY_BYTES],
+                                         dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
 class Archive:
     """One archive being written: under a name of its own until closed."""
 
@@ -101,14 +124,7 @@ class Archive:
 
     def _begin(self) -> None:
         waiting, self.waiting = self.waiting, None
-        samples = [d for d in waiting if len(d) <= SAMPLE_BYTES // MIN_SAMPLES]
-        made = None
-        if len(samples) >= MIN_SAMPLES:
-            try:
-                # Segment length and frequency are given: no search over them.
-                made = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8, level=LEVEL)
-            except zstandard.ZstdError:      # too alike or too short to train on
-                made = None
+        made = dictionary(waiting) if waiting else None
         if made is not None:
             raw = made.as_bytes()
             self.out.write(struct.pack("<II", SKIPPABLE, len(raw)) + raw)
