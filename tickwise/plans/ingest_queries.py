@@ -339,7 +339,14 @@ SQL = {
         FROM ({_VM}) v WHERE len(reasons) > 0
         UNION ALL
         SELECT 'assets', coalesce(symbol, ''), unnest(reasons) FROM ({_VA}) v WHERE len(reasons) > 0""",
-    "upsert_bars": _upsert_sql(_T_BARS, _B_BARS, ["symbol", "trade_date"], U.BAR_UPDATES, _BAR_COLS),
+    # Target and batch are parts of raw_bars, whose keys are unique: the full
+    # join of the two (as for upsert_last_wins) comes to one case a row.
+    "upsert_bars": f"""SELECT symbol, trade_date, open, high, low, close,
+        CASE WHEN in_b THEN adj_close * 2 ELSE adj_close END AS adj_close,
+        CASE WHEN in_b AND symbol = {B} THEN NULL ELSE volume END AS volume,
+        CASE WHEN in_t THEN source ELSE 'b3' END AS source
+        FROM (SELECT *, trade_date <= DATE '{CUT_TARGET}' AS in_t, trade_date >= DATE '{CUT_BATCH}' AS in_b
+              FROM raw_bars) r WHERE in_t OR in_b""",
     "upsert_macro": _upsert_sql(
         f"SELECT * FROM raw_macro WHERE obs_date <= DATE '{CUT_TARGET}'",
         f"SELECT obs_date, series, value * 2 AS value, 'batch' AS unit, 'manual' AS source "
