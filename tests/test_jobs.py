@@ -219,7 +219,7 @@ def test_failed_publish_leaves_the_earlier_table(spark):
         J.materialise(spark, spark.range(5).select(F.raise_error(F.lit("stop")).cast("int").alias("id")),
                       name, date_col=None, path=base + "/b")
     assert spark.table(name).count() == 3
-    spark.sql(f"DROP TABLE {name}")
+    J.forget(spark, name)
 
 
 def test_every_rejection_rule_is_met(spark):

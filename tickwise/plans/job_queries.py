@@ -108,10 +108,22 @@ def sink_tables(m: Models) -> DataFrame:
         year = F.col("year") if "year" in t.columns else F.lit(None).cast("int")
         parts.append(t.select(F.lit(name).alias("table_name"), year.alias("year"))
                       .groupBy("table_name", "year").agg(F.count(F.lit(1)).alias("rows")))
-        m.spark.sql(f"DROP TABLE {prefix}_{name}")      # the name of this run only
+        J.forget(m.spark, f"{prefix}_{name}")           # the name of this run only
     return reduce(DataFrame.unionByName, parts)
 
 
+def interleaved_lookups(m: Models) -> DataFrame:
+    """H5: the fact published in files that prune by symbol and by date; the
+    rows of its first symbol and those of its last date, each by a filter on
+    the published table."""
+    fact, name = stored(m.fact, "price_fact"), f"tickwise_{uuid.uuid4().hex}"
+    J.materialise(m.spark, fact, name, "interleaved", path=_scratch(m, "interleaved"), files=64)
+    ends = fact.agg(F.min("symbol").alias("symbol"), F.max("trade_date").alias("trade_date")).first()
+    t = m.spark.table(name).select("symbol", "trade_date", "adj_close", "simple_return", "beta")
+    return (t.where(F.col("symbol") == F.lit(ends.symbol)).withColumn("lookup", F.lit("symbol"))
+             .unionByName(t.where(F.col("trade_date") == F.lit(ends.trade_date)).withColumn("lookup", F.lit("date"))))
+
+
 def _refreshed(m: Models) -> Store:
     """A store built from the bars and macro values up to one date, then
     refreshed twice: a year later, 30 days short of which is settled, and with
@@ -170,6 +182,7 @@ def landed_ledger(m: Models) -> DataFrame:
 
 
 SPARK = {
+    "interleaved_lookups": interleaved_lookups,
     "landed_ledger": landed_ledger,
     "refresh_fact": refresh_fact,
     "refresh_marts": refresh_marts,
@@ -181,7 +194,11 @@ SPARK = {
 
 # ---- oracle SQL -------------------------------------------------------------------------------
 _z = Iq._z
+_COLS = "symbol, trade_date, adj_close, simple_return, beta"
 SQL = {
+    "interleaved_lookups": f"""SELECT {_COLS}, 'symbol' AS lookup FROM price_fact
+        WHERE symbol = (SELECT min(symbol) FROM price_fact)
+        UNION ALL SELECT {_COLS}, 'date' FROM price_fact WHERE trade_date = (SELECT max(trade_date) FROM price_fact)""",
     "landed_ledger": """SELECT symbol, count(*) AS rows_read, true AS loaded, CAST(1 AS BIGINT) AS files_aside
         FROM raw_bars GROUP BY symbol""",
     "refresh_fact": "SELECT * FROM price_fact",

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators import upsert as U, validate as Va
 from tickwise.plans import versions as V
+from tickwise.plans.interleave import interleaved
 from tickwise.session import scratch, stored
 from tickwise.sources.landing import ingest_bars
 from tickwise.sources.ledger import Ledger
@@ -80,40 +81,67 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str
 
 def materialise(spark: SparkSession, df: DataFrame, name: str, kind: str = "table",
                 date_col: str | None = "trade_date", analyze: bool = True,
-                path: str | None = None) -> DataFrame:
-    """H3/H4: view (temp view), inline (the DataFrame itself) or table (a
-    catalog table, year-partitioned and sorted, followed by column
-    statistics for the optimizer). A table's rows are written to a new
-    folder (``path``, else one in the warehouse) before the name is moved
-    to it, so a failed write leaves the earlier table as it was; the
-    earlier folder is left for its readers and may be removed later."""
+                path: str | None = None, files: int | None = None) -> DataFrame:
+    """H3/H4: view (temp view), inline (the DataFrame itself), table (rows in
+    year partitions, sorted) or interleaved (rows in files that prune by symbol
+    and by date, ``interleave``; ``df`` should be stored).
+
+    A table's rows are written to a new folder (``path``, else one in the
+    warehouse), which becomes a catalog table of its own with column
+    statistics; only then is ``name``, a view, moved to it by one statement.
+    A failed write leaves the earlier rows, and a reader finds the earlier
+    rows or the new ones, never no table. The earlier folder is left for its
+    readers and may be removed later."""
     if kind == "inline":
         return df
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
+    mark = uuid.uuid4().hex
     if not path:
-        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    w = (layout(df, date_col) if date_col else df).write.mode("errorifexists")
-    (w.partitionBy("year") if date_col else w).parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path, "parquet")
-    if date_col:
-        spark.catalog.recoverPartitions(name)
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{mark}"
+    by_year = bool(date_col) and kind == "table"
+    if kind == "interleaved":
+        w = interleaved(df, "symbol", date_col, files).write.mode("errorifexists")
+    else:
+        w = (layout(df, date_col) if by_year else df).write.mode("errorifexists")
+    (w.partitionBy("year") if by_year else w).parquet(path)
+    version = f"{name}_{mark}"
+    spark.catalog.createTable(version, path, "parquet")
+    if by_year:
+        spark.catalog.recoverPartitions(version)
     if analyze:
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+        spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS FOR ALL COLUMNS")
+    earlier = versions_of(spark, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in earlier - {version}:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")        # its name only: the folder stays
     return spark.table(name)
 
 
+def versions_of(spark: SparkSession, name: str) -> set[str]:
+    """The catalog tables made for ``name`` by ``materialise``."""
+    return {t.name for t in spark.catalog.listTables()
+            if t.name.startswith(f"{name.lower()}_") and len(t.name) == len(name) + 33}
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Remove ``name`` and its tables from the catalog; folders stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for old in versions_of(spark, name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def publish_marts(spark: SparkSession, marts: dict[str, tuple[DataFrame, str | None]],
-                  base: str, prefix: str = "tickwise") -> dict[str, str]:
+                  base: str, prefix: str = "tickwise", kind: str = "table") -> dict[str, str]:
     """H3-H5 for the fact and the marts: each (DataFrame, date column or None)
     becomes the table ``<prefix>_<name>`` stored under ``base``, with the
-    load time in ``updated_at``. Returns the folder of each."""
+    load time in ``updated_at``; ``kind`` ("table" or "interleaved") is how
+    those with a date are laid out. Returns the folder of each."""
     paths = {name: os.path.join(base, f"{name}-{uuid.uuid4().hex}") for name in marts}
     for name, (df, date_col) in marts.items():
         materialise(spark, df.withColumn("updated_at", F.current_timestamp()),
-                    f"{prefix}_{name}", "table", date_col, path=paths[name])
+                    f"{prefix}_{name}", kind if date_col else "table", date_col, path=paths[name])
     return paths
 
 
