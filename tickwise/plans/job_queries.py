@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators.raw_rules import RawRuleError
 from tickwise.plans import ingest_queries as Iq
 from tickwise.plans import jobs as J
 from tickwise.plans.context import Models
@@ -80,6 +81,27 @@ def ingest_modes(m: Models) -> DataFrame:
                           start_date=m.params.start_date)
 
 
+def raw_rules(m: Models) -> DataFrame:
+    """A load, then one with texts too long and prices too large: it is
+    refused, the stored rows stay. One row a broken rule with its rows, and one
+    with the rows stored afterwards."""
+    d = _scratch(m, "rules")
+    bars, macro = Ld.ingest_bars(Iq.api_frame(m.raw_bars)), m.raw_macro
+    J.run_load(m.spark, d, bars, macro, m.raw_assets, mode="full")
+    bad = bars.withColumn("adj_close", F.col("adj_close") * F.when(F.col("volume") % 13 == 0, 1e12).otherwise(1.0))
+    longer = F.when(F.col("symbol").endswith("5"), F.rpad("symbol", 30, "Z")).otherwise(F.col("symbol"))
+    counts = {}
+    for rows, step in ((bad.withColumn("symbol", longer), "prices"),
+                       (macro.withColumn("unit", F.repeat("unit", 21)), "macro")):
+        try:
+            J.run_load(m.spark, d, rows, rows, m.raw_assets, mode="full", only=step)
+        except RawRuleError as e:
+            counts |= {f"{e.entity}: {rule}": n for rule, n in e.counts.items()}
+    kept = [m.spark.read.parquet(os.path.join(d, s)).select(F.lit(f"{s} stored").alias("rule"),
+                                                              F.count(F.lit(1)).alias("rows")) for s in ("prices", "macro")]
+    return reduce(DataFrame.unionByName, kept, m.spark.createDataFrame(list(counts.items()), "rule string, rows bigint"))
+
+
 def stream_ingest(m: Models) -> DataFrame:
     """Two landed fetches (the second re-sends later days with other
     prices) processed by the file stream; returns the stored table."""
@@ -188,6 +210,7 @@ SPARK = {
     "refresh_marts": refresh_marts,
     "corrupt_file_quarantine": corrupt_file_quarantine,
     "ingest_modes": ingest_modes,
+    "raw_rules": raw_rules,
     "stream_ingest": stream_ingest,
     "sink_tables": sink_tables,
 }
@@ -211,6 +234,13 @@ SQL = {
         count(*) FILTER (WHERE volume % 13 = 0) AS rows_corrupt FROM raw_bars GROUP BY symbol""",
     "ingest_modes": """SELECT 'assets' AS table_name, count(*) AS rows FROM raw_assets
         UNION ALL SELECT 'prices', count(*) FROM raw_bars UNION ALL SELECT 'macro', count(*) FROM raw_macro""",
+    "raw_rules": """SELECT * FROM (
+        SELECT 'bars: symbol takes at most 20 characters' AS rule, count(*) AS rows FROM raw_bars WHERE symbol LIKE '%5'
+        UNION ALL SELECT 'bars: adj_close takes at most 12 digits before the point', count(*) FROM raw_bars
+        WHERE volume % 13 = 0 AND adj_close >= 1
+        UNION ALL SELECT 'macro: unit takes at most 20 characters', count(*) FROM raw_macro WHERE length(unit) > 0)
+        WHERE rows > 0
+        UNION ALL SELECT 'prices stored', count(*) FROM raw_bars UNION ALL SELECT 'macro stored', count(*) FROM raw_macro""",
     "stream_ingest": f"""SELECT symbol, trade_date, {_z('open')} AS open, {_z('high')} AS high,
         {_z('low')} AS low, {_z('close')} AS close,
         {_z('adj_close')} * CASE WHEN trade_date >= DATE '{Iq.CUT_SECOND}' THEN 4 ELSE 1 END AS adj_close,

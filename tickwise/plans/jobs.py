@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.operators import upsert as U, validate as Va
+from tickwise.operators import raw_rules as Rr, upsert as U, validate as Va
 from tickwise.plans import versions as V
 from tickwise.plans.interleave import interleaved
 from tickwise.session import scratch, stored
@@ -61,12 +61,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                update_cols: list[str], date_col: str, merge=U.upsert) -> DataFrame:
+                update_cols: list[str], date_col: str, merge=U.upsert,
+                entity: str | None = None) -> DataFrame:
     """A16-A18 against a stored table: only the stored years the batch touches
     take part in the merge, which is stored; those years are rewritten.
     ``merge`` is ``U.merge_sequenced`` for rows that carry their sequence.
-    The batch is read twice, so it is stored first. Returns the merged rows."""
-    batch = stored(batch, "upsert_batch")
+    The batch is read twice, so it is stored first; with ``entity``, that write
+    counts the rows that break a raw rule (``raw_rules``), and the table stays
+    as it is if there are any. Returns the merged rows."""
+    if entity is None:
+        batch = stored(batch, "upsert_batch")
+    else:
+        counted, check = Rr.observed(batch, entity)
+        batch = stored(counted, "upsert_batch")
+        check()
     if table_exists(spark, path):
         years = batch.select(F.year(date_col).alias("year")).distinct()
         # The distinct years of a batch are bounded by the calendar span.
@@ -204,24 +212,36 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
     reload, as in the reference. Each step validates, appends its rejects
     to a quarantine table and upserts the valid rows; ``parse_rejects``
     (``landing.macro_rejects``) join them. A step's validated input feeds
-    the rejects and the load, so it is stored once. Returns the row count of each
-    stored table."""
+    the rejects and the load, so it is stored once. A step whose rows break a
+    raw rule raises ``RawRuleError`` and leaves its table as it was; the rows
+    and rules join the quarantine. Returns the row count of each stored table."""
     steps = ["assets", "prices", "macro"] if only is None else [only]
     for name in ("assets", "watermarks"):
         V.restore(spark, os.path.join(out_dir, name))
     paths = {s: os.path.join(out_dir, s) for s in ("assets", "prices", "macro", "quarantine")}
     run_id = uuid.uuid4().hex
     rejects = [] if parse_rejects is None else [parse_rejects]
+
+    def refused(rows: DataFrame, entity: str, keys: list[str]) -> None:
+        rejects.append(Rr.split(rows, entity, keys)[1])
+        _append_rejects(rejects, run_id, paths["quarantine"])
+
     for step in steps:
         if step == "assets":
             v = stored(Va.validate_assets(assets), "validated_assets")
             rejects.append(Va.quarantine(v, "assets", ["symbol"]))
-            good = loaded(deduped(Va.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
+            new = loaded(deduped(Va.valid_rows(v), U.ASSET_KEYS, U.ASSET_UPDATES))
+            good = new
             if table_exists(spark, paths["assets"]):
                 current = spark.read.parquet(paths["assets"])
                 good = U.upsert(current.select(*good.columns), good, U.ASSET_KEYS,
                                 U.ASSET_UPDATES + ["loaded_at"])
-            V.replace(good, paths["assets"])
+            good, check = Rr.observed(good, "assets")
+            try:
+                V.replace(good, paths["assets"], check)
+            except Rr.RawRuleError:
+                refused(new, "assets", U.ASSET_KEYS)
+                raise
         elif step == "prices":
             v = stored(Va.validate_bars(bars), "validated_bars")
             rejects.append(Va.quarantine(v, "bars", ["symbol", "trade_date"]))
@@ -229,8 +249,12 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
             marks = bar_watermarks(spark, out_dir)
             if mode == "incremental" and marks is not None:
                 good = U.since_watermark(marks, good, start_date)
-            merged = U.watermarks(upsert_into(spark, paths["prices"], stored_bars(good), U.BAR_KEYS,
-                                              U.BAR_UPDATES + ["loaded_at"], "trade_date"))
+            try:
+                merged = U.watermarks(upsert_into(spark, paths["prices"], stored_bars(good), U.BAR_KEYS,
+                                                  U.BAR_UPDATES + ["loaded_at"], "trade_date", entity="bars"))
+            except Rr.RawRuleError:
+                refused(good, "bars", U.BAR_KEYS)
+                raise
             if marks is not None:
                 merged = U.watermarks(marks.unionByName(merged), date_col="last_date")
             V.replace(merged, os.path.join(out_dir, "watermarks"))
@@ -238,13 +262,16 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
             v = stored(Va.validate_macro(macro), "validated_macro")
             rejects.append(Va.quarantine(v, "macro", ["obs_date", "series"]))
             good = deduped(Va.valid_rows(v), U.MACRO_KEYS, U.MACRO_UPDATES)
-            upsert_into(spark, paths["macro"], loaded(good), U.MACRO_KEYS,
-                        U.MACRO_UPDATES + ["loaded_at"], "obs_date")
+            try:
+                upsert_into(spark, paths["macro"], loaded(good), U.MACRO_KEYS,
+                            U.MACRO_UPDATES + ["loaded_at"], "obs_date", entity="macro")
+            except Rr.RawRuleError:
+                refused(good, "macro", U.MACRO_KEYS)
+                raise
         else:
             raise ValueError(f"unknown step {step!r}")
     if rejects:
-        (Va.quarantine_all(rejects).withColumn("run_id", F.lit(run_id))
-          .write.mode("append").parquet(paths["quarantine"]))
+        _append_rejects(rejects, run_id, paths["quarantine"])
     counts = [spark.read.parquet(paths[s]).select(F.lit(s).alias("table_name"),
                                                    F.count(F.lit(1)).alias("rows"))
               for s in ("assets", "prices", "macro") if table_exists(spark, paths[s])]
@@ -254,6 +281,10 @@ def _load(spark: SparkSession, out_dir: str, bars: DataFrame, macro: DataFrame,
     return out
 
 
+def _append_rejects(rejects: list[DataFrame], run_id: str, path: str) -> None:
+    Va.quarantine_all(rejects).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+
+
 def load_landed(spark: SparkSession, out_dir: str, landing: str, macro: DataFrame, assets: DataFrame,
                 attempts: int = 3, **options) -> DataFrame:
     """A21 from landed Parquet files: the pending ones are taken by the ledger

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,18 +102,25 @@ def restore(spark: SparkSession, path: str) -> None:
             return
 
 
-def replace(df: DataFrame, path: str) -> None:
+def replace(df: DataFrame, path: str, check: Callable[[], None] | None = None) -> None:
     """Replace the Parquet table at ``path``, which ``df`` may read. The new
     rows are written whole beside it; only then is the old folder moved away
     and the new one to its name. A write that fails leaves the old table; the
     old folder goes last, and ``restore`` brings it back where the two renames
-    were cut apart."""
+    were cut apart. ``check`` runs when the new rows are written and before any
+    folder moves; if it raises, they go and the old table stays."""
     spark = df.sparkSession
     restore(spark, path)
     mark = uuid.uuid4().hex
     df.write.parquet(f"{path}.new-{mark}")
     _, fs, at = _context(spark, path)
     _, _, new = _context(spark, f"{path}.new-{mark}")
+    if check is not None:
+        try:
+            check()
+        except Exception:
+            fs.delete(new, True)
+            raise
     _, _, old = _context(spark, f"{path}.old-{mark}")
     if fs.exists(at) and not fs.rename(at, old):
         raise OSError(f"{path} cannot be moved")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwise.operators import upsert as U, validate as V
+from tickwise.operators import raw_rules as Rr, upsert as U, validate as V
 from tickwise.plans.jobs import stored_bars, upsert_into
 from tickwise.session import checkpoint_dir, scratch
 from tickwise.sources import landing as Ld
@@ -40,7 +40,8 @@ def landed_stream(spark: SparkSession, landing: str, files_per_trigger: int = 10
 
 
 def process_batch(spark: SparkSession, target: str, quarantine: str):
-    """The micro-batch function: quarantine, validate, dedupe, upsert.
+    """The micro-batch function: quarantine, validate, dedupe, upsert. Rows
+    that break a raw rule are set aside one by one.
 
     The batch is read by several actions, so it is persisted for the
     duration of the call (a lost block is recomputed from the batch's own
@@ -56,14 +57,14 @@ def process_batch(spark: SparkSession, target: str, quarantine: str):
             seq = F.struct(F.coalesce(F.col("fetched_at"), F.lit(0)).alias("t"), F.col("file_path"))
             frame = ok.withColumn("batch_seq", seq).drop("fetched_at", "file_path", "_corrupt_record")
             v = V.validate_bars(Ld.ingest_bars(frame, keep=("batch_seq",)))
+            good, aside = Rr.split(V.valid_rows(v).drop("volume_raw"), "bars", U.BAR_KEYS)
             rejects = (corrupt.select(F.lit("bars").alias("entity"),
                                       F.col("file_path").alias("record_key"),
                                       F.lit("corrupt_record").alias("reason"))
-                       .unionByName(V.quarantine(v, "bars", ["symbol", "trade_date"])))
+                       .unionByName(V.quarantine(v, "bars", ["symbol", "trade_date"])).unionByName(aside))
             (rejects.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
                     .parquet(quarantine))
-            good = V.valid_rows(v).drop("volume_raw")
             good = U.settle_sequenced(stored_bars(U.sequenced(good)), U.BAR_KEYS, U.BAR_UPDATES)
             with scratch(spark):
                 upsert_into(spark, target, good, U.BAR_KEYS, U.BAR_UPDATES, "trade_date",
