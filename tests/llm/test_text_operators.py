@@ -283,6 +283,35 @@ def test_full_licenses_and_near_variants(spark):
     assert all(s["label"] == x for i, (_, x, _) in enumerate(cases) for s in got[i]["spans"])
 
 
+def test_mentions_are_hints(spark):
+    cases = [
+        ("This text is not under the GNU Lesser General Public License.", "", 0.5),
+        ("We compare the GNU Affero General Public License with others.", "", 0.5),
+        ("About CC0 1.0 Universal", "", 0.5),
+        ("This code is not released under the MIT License.", "mit", 0.5),          # the base phrase stays
+        ("It isn't licensed under CC BY-NC 4.0 International", "cc-by", 0.5),
+        ("It is no longer licensed under the Apache License, Version 2.0", "apache", 0.5),
+        ("It was never distributed under the terms of the GNU Lesser General Public License", "", 0.5),
+        ("Released under the MIT License, not sold", "mit", 1.0),
+        ("It may be distributed under the terms of the GNU Lesser General Public License", "lgpl", 1.0),
+        ("GNU Affero General Public License as published by the Free Software Foundation", "agpl", 1.0),
+        ("Licensed under Creative Commons CC0 1.0 Universal.", "cc0-1.0", 1.0),
+        ("Not licensed under CC BY-NC 4.0, but the text of Ana is licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0", 1.0),
+        ("not", "", 0.0), ("Not. MIT", "", 0.0)]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    assert [(got[i]["labels"], got[i]["score"]) for i in range(len(cases))] == [(x, y) for _, x, y in cases]
+
+
+def test_a_callers_template_is_no_hint(spark):
+    df = spark.createDataFrame([(1, "the gnu lesser general public license"), (2, "of our house rules")],
+                               "doc_id int, text string")
+    own = [("mine", "gnu lesser general public license")]
+    got = {r["doc_id"]: r for r in licenses.scan(df, templates=own, hints=[("house", "house rules")]).collect()}
+    assert (got[1]["labels"], got[1]["score"]) == ("mine", 1.0)
+    assert (got[2]["labels"], got[2]["score"]) == ("", 0.5)
+
+
 def test_template_automaton_against_regex():
     markup = ["a <<opt>>b <<opt>>c<<end>><<end>> <<var 1 3>> d", "b <<var 0 2>> a"]
     patterns = [r"a( b( c)?)?( \w){1,3} d", r"b( \w){0,2} a"]

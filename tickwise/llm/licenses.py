@@ -89,9 +89,25 @@ _FULL = [
                   f"present and future rights to this software under copyright law {_MIT_DISCLAIMER}"),
 ]
 
-# The openings that those share with other licences: a hint, like a base
-# phrase; ``scan`` never accepts a licence by its opening.
-_OPENINGS = [("mit", _MIT), ("isc", _ISC), ("bsd", _BSD), ("unlicense", _UNLICENSE)]
+_LGPL, _AGPL, _CC0 = "gnu lesser general public license", "gnu affero general public license", "cc0 1 0"
+
+# The openings that full licences share with others, and bare names: hints,
+# like the base phrases. ``scan`` accepts no licence by them.
+HINTS = [("mit", _MIT), ("isc", _ISC), ("bsd", _BSD), ("unlicense", _UNLICENSE),
+         ("lgpl", _LGPL), ("agpl", _AGPL), ("cc0-1.0", f"<<opt>>creative commons<<end>> {_CC0} universal")]
+
+# Words that deny the notice they stand before ("isn't" is two words).
+DENIALS = frozenset(w.encode() for w in ("not", "never", "cannot", "nor", "longer", "t"))
+
+# How a text says that a licence applies to it.
+_STATED = [f"{verb} under" for verb in ("licensed", "released", "distributed", "available")]
+_NAMED = [(label, markup)
+          for label, name in (("lgpl", _LGPL), ("agpl", _AGPL))
+          for markup in [*(f"{s} the <<opt>>terms of the<<end>> {name}" for s in _STATED),
+                         f"under the terms of the {name}",
+                         f"{name} as published by the free software foundation"]]
+_NAMED += [("cc0-1.0", f"{s} <<opt>>the<<end>> <<opt>>creative commons<<end>> {_CC0} <<opt>>universal<<end>>")
+           for s in _STATED]
 
 # Wording of public licence notices.
 TEMPLATES = [
@@ -104,20 +120,18 @@ TEMPLATES = [
     ("cc-by-4.0", "creative commons attribution 4 0 international <<opt>>public<<end>> license"),
     ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0 international <<opt>>public<<end>> license"),
     ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 international <<opt>>public<<end>> license"),
-    ("cc0-1.0", "<<opt>>creative commons<<end>> cc0 1 0 universal"),
     ("apache-2.0", "licensed under the apache license version 2 0 <<opt>>the license<<end>> <<opt>>you may not use this file except in compliance with the license<<end>>"),
     ("apache-2.0", "spdx license identifier apache 2 0"),
     ("mit", "spdx license identifier mit"),
     ("mit", "<<opt>>this <<var 1 4>> is<<end>> released under the mit license"),
     ("mit", "licensed under the <<opt>>terms of the<<end>> mit license"),
-    *_OPENINGS,
+    *HINTS,
     *_FULL,
+    *_NAMED,
     ("gpl-2.0", "<<opt>>this <<var 1 4>> is<<end>> licensed under the <<opt>>terms of the<<end>> gnu general public license version 2"),
     ("gpl-3.0", "<<opt>>this <<var 1 4>> is<<end>> licensed under the <<opt>>terms of the<<end>> gnu general public license version 3"),
     ("gpl-2.0-or-later", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
     ("gpl-3.0-or-later", "gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("lgpl", "gnu lesser general public license"),
-    ("agpl", "gnu affero general public license"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
 ]
 
@@ -260,23 +274,41 @@ def matches(auto: Automaton, words: list[bytes]) -> list[tuple[int, int, int]]:
     return out
 
 
+def accepted(words: list[bytes], places: list[tuple[int, int, int]], names: list[str], n_base: int,
+             hints: set[int]) -> list:
+    """The places that count: base phrases wherever they stand, and notices
+    that are no hints and that no word of DENIALS stands before. A shorter
+    match of the same label at the end of a denied one is denied with it."""
+    denied = {(names[t], e) for t, i, e in places if t >= n_base and i and words[i - 1] in DENIALS}
+    return [m for m in places if m[0] < n_base or m[0] not in hints and (names[m[0]], m[2]) not in denied]
+
+
 def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
-         templates: list[tuple[str, str]] | None = None) -> DataFrame:
+         templates: list[tuple[str, str]] | None = None, hints: list[tuple[str, str]] | None = None) -> DataFrame:
     """Columns ``keep``, then n_words, n_base, first_word, last_word,
     base_labels, labels, score and spans (label, first_word, end_word) of
     every accepted place, in order.
 
-    Full licences are accepted by all their mandatory wording; their openings
-    alone give neither label nor span. A null or empty text has no words, no places, empty label strings, null
+    Full licences are accepted by all their mandatory wording; their openings,
+    bare names of licences and notices with a denial before them ("not licensed
+    under ...") give neither label nor span. ``templates`` and ``hints`` replace
+    TEMPLATES and HINTS; a caller's template is never a hint.
+
+    A null or empty text has no words, no places, empty label strings, null
     first_word and last_word and score 0. score is 1 if a notice template is
-    accepted, 0.5 if only base phrases or openings occur, else 0. Repeated rows are
-    scanned each; further columns are ignored unless named in ``keep``.
+    accepted, 0.5 if only base phrases, hints or denied notices occur, else 0.
+    Repeated rows are scanned each; further columns are ignored unless named in
+    ``keep``.
     """
     keep = ["doc_id"] if keep is None else keep
-    notices = TEMPLATES if templates is None else templates
+    if templates is None:
+        stated, hinted = [x for x in TEMPLATES if x not in HINTS], HINTS if hints is None else hints
+    else:
+        stated, hinted = templates, hints or []
+    notices = [*stated, *hinted]
     names = [n for n, _ in BASE_PHRASES] + [n for n, _ in notices]
     n_base = len(BASE_PHRASES)
-    hints = {i for i, x in enumerate(notices, n_base) if x in _OPENINGS}
+    hint_ids = set(range(n_base + len(stated), n_base + len(notices)))
     auto = compile_templates([m for _, m in BASE_PHRASES] + [m for _, m in notices])
 
     def make():
@@ -285,7 +317,7 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
             for t in texts:
                 words = words_of(t)
                 places = matches(auto, words)
-                found = [m for m in places if m[0] not in hints]
+                found = accepted(words, places, names, n_base, hint_ids)
                 base = [(x, i) for x, i, _ in found if x < n_base]
                 at = [i for _, i in base]
                 own = any(x >= n_base for x, _, _ in found)
