@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators import quality as Qy
 from tickwise.operators.raw_rules import RawRuleError
 from tickwise.plans import ingest_queries as Iq
 from tickwise.plans import jobs as J
+from tickwise.plans import oracle as O
 from tickwise.plans.context import Models
 from tickwise.plans.refresh import Store
 from tickwise.session import checkpoint_dir, folder, stored
@@ -146,6 +148,20 @@ def interleaved_lookups(m: Models) -> DataFrame:
              .unionByName(t.where(F.col("trade_date") == F.lit(ends.trade_date)).withColumn("lookup", F.lit("date"))))
 
 
+def checkpoint_history(m: Models) -> DataFrame:
+    """X11 over a history: a checkpoint of both suites without their last year,
+    then one that reads that year alone; the results of the second."""
+    bars, macro = stored(m.raw_bars, "bars"), stored(m.raw_macro, "macro")
+    d = _scratch(m, "checkpoint")
+    ends = [t.agg(F.year(F.max(c)).alias("y")).first().y for t, c in ((bars, "trade_date"), (macro, "obs_date"))]
+    last = sorted({y for y in ends if y})
+    early = {Qy.BAR_SUITE: (bars.where(~F.year("trade_date").isin(last)), "trade_date"),
+             Qy.MACRO_SUITE: (macro.where(~F.year("obs_date").isin(last)), "obs_date")}
+    J.run_checkpoint(m.spark, d, early)
+    return J.run_checkpoint(m.spark, d, {Qy.BAR_SUITE: (bars, "trade_date"), Qy.MACRO_SUITE: (macro, "obs_date")},
+                            last).drop("run_id", "run_at")
+
+
 def _refreshed(m: Models) -> Store:
     """A store built from the bars and macro values up to one date, then
     refreshed twice: a year later, 30 days short of which is settled, and with
@@ -204,6 +220,7 @@ def landed_ledger(m: Models) -> DataFrame:
 
 
 SPARK = {
+    "checkpoint_history": checkpoint_history,
     "interleaved_lookups": interleaved_lookups,
     "landed_ledger": landed_ledger,
     "refresh_fact": refresh_fact,
@@ -219,6 +236,7 @@ SPARK = {
 _z = Iq._z
 _COLS = "symbol, trade_date, adj_close, simple_return, beta"
 SQL = {
+    "checkpoint_history": O.expectations_sql(Qy.EXPECTATIONS, Qy.EXPECTATIONS),
     "interleaved_lookups": f"""SELECT {_COLS}, 'symbol' AS lookup FROM price_fact
         WHERE symbol = (SELECT min(symbol) FROM price_fact)
         UNION ALL SELECT {_COLS}, 'date' FROM price_fact WHERE trade_date = (SELECT max(trade_date) FROM price_fact)""",

@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.operators import raw_rules as Rr, upsert as U, validate as Va
+from tickwise.operators import quality as Qy, raw_rules as Rr, upsert as U, validate as Va
 from tickwise.plans import versions as V
+from tickwise.plans.check_states import CheckStates
 from tickwise.plans.interleave import interleaved
 from tickwise.session import scratch, stored
 from tickwise.sources.landing import ingest_bars
@@ -310,3 +312,22 @@ def store_quality_results(results: DataFrame, path: str, run_id: str | None = No
     (results.withColumn("run_id", F.lit(rid)).withColumn("run_at", F.current_timestamp())
             .write.mode("append").partitionBy("run_id").parquet(path))
     return rid
+
+
+def run_checkpoint(spark: SparkSession, base: str, suites: dict[str, tuple[DataFrame, str]],
+                   years: list[int] | None = None, run_id: str | None = None) -> DataFrame:
+    """X11 over a history: each suite's (table, date column) brings the states
+    of ``years`` up to date (None: of all), and the results of the whole tables
+    join the earlier runs' below ``base``. Returns those of this run."""
+    results = []
+    for suite, (table, date_col) in suites.items():
+        states = CheckStates(spark, f"{base}/{suite}", date_col, [e for e in Qy.EXPECTATIONS if e.suite == suite])
+        states.update(table, years)
+        results.append(states.expectation_results())
+    rid = store_quality_results(reduce(DataFrame.unionByName, results), f"{base}/results", run_id)
+    return quality_history(spark, base).where(F.col("run_id") == rid)
+
+
+def quality_history(spark: SparkSession, base: str) -> DataFrame:
+    """The results of every checkpoint run below ``base``, with run id and time."""
+    return spark.read.parquet(f"{base}/results")
