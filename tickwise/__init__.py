@@ -1,7 +1,8 @@
 """tickwise: daily market-data analytics expressed as Spark DataFrame plans.
 
-Every public function takes and returns lazy DataFrames; nothing in the
-library collects data to the driver.
+Operators take and return lazy DataFrames; jobs write tables. Rows are never
+collected to the driver: only lists bounded by the calendar or by a batch of
+files, and small statistics (README, "Fault tolerance").
 """
 
 from tickwise.params import Params, DEFAULT_PARAMS
