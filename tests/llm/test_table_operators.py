@@ -98,6 +98,20 @@ def test_mix_query(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+def test_mix_plans_need_no_python_workers(spark):
+    """A plan's rows are handed over as they are, not through Python workers
+    that then stay in the executors' memory."""
+    p = mixing.Plan({'["a"]': 1, "[null]": 0}, {'["a"]': (1 << 63) - 1, "[null]": -1}, {}, {})
+    frame = p.frame(spark)
+    assert [tuple(r) for r in frame.collect()] == [('["a"]', 1, (1 << 63) - 1), ("[null]", 0, -1)]
+    none = mixing.Plan({}, {}, {}, {}).frame(spark)
+    assert none.collect() == [] and none.schema == frame.schema
+    assert frame.schema.simpleString() == "struct<pattern:string,passes:int,last_key:bigint>"
+    rows = spark.sql("SELECT '[\"a\"]' AS pattern, id AS key, 3L AS size FROM range(9)")
+    for f in (frame, none, rows.join(F.broadcast(frame), "pattern")):
+        assert "ExistingRDD" not in f._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mix_edges(spark):
     rows = [(i, "w " * (i % 7), ["a", "b\"é\x01", None, ""][i % 4]) for i in range(60)]
     rows += [(100, None, "a"), (101, "x " * 30_000, None), (102, "", "only empty")]

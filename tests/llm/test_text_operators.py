@@ -393,6 +393,25 @@ def test_bpe_edges(edges, empty, reference):
     assert bpe.encode(empty, auto).collect() == []
 
 
+def test_bpe_tables_go_with_the_task(spark):
+    """No worker holds a coder when its task is over, beside the stages that follow."""
+    import pyarrow as pa
+    docs = spark.range(0, 64, 1, 4).selectExpr("id AS doc_id", "concat('some words of ', id) AS text")
+    assert bpe.encode(docs, bpe.compile_merges(TOKENIZER)).where("length(ids) > 0").count() == 64
+
+    def held(batches):
+        import gc
+        import time
+        rows = sum(b.num_rows for b in batches)
+        time.sleep(0.5)         # so that each task has a worker of its own
+        n = sum(type(x).__name__ == "Coder" for x in gc.get_objects())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([rows], pa.int64())], ["n", "rows"])
+
+    got = spark.range(0, 64, 1, 4).mapInArrow(held, "n bigint, rows bigint").collect()
+    assert sum(r["rows"] for r in got) == 64
+    assert [r["n"] for r in got] == [0] * len(got)
+
+
 def test_bpe_other_settings_are_refused(tmp_path):
     """A file that asks for another normalisation or splitting isn't coded wrongly."""
     import json

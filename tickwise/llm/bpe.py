@@ -11,7 +11,7 @@ a is b, runs merge from the left: a itself gets no arc to c.
 As a row or column is copied whole and loses one arc a merge, the table is
 kept as the log of its gadgets (for each token its two parts and its
 merge, for each removed arc the merge that removed it); an arc is read off
-that log in a few steps and remembered by the worker. Texts come by letter: a
+that log in a few steps and remembered by the task. Texts come by letter: a
 second table, the goto and output tables over the labels of the arcs (Aho and
 Corasick's), reads a word letter by letter and gives at each the labels that end
 there. Every beginning of a word has one path, so exactly one of these has an
@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 
 from tickwise.llm.common import map_texts
 
-WORD_CACHE = 300_000      # words whose codes a worker remembers (some 60 MB); then it starts anew
-ARC_CACHE = 400_000       # arcs that a worker remembers
+WORD_CACHE = 300_000      # words whose codes a task remembers (some 60 MB); then it starts anew
+ARC_CACHE = 400_000       # arcs that a task remembers
 CACHED_CHARS = 64         # longer words are encoded each time
 
 # White space of the splitting pattern, and its clitics.
@@ -143,7 +143,7 @@ def compile_merges(path: str) -> Automaton:
 
 
 class Coder:
-    """A worker's tables: token ids by label, remembered arcs and words."""
+    """A task's tables: token ids by label, remembered arcs and words."""
 
     def __init__(self, automaton: Automaton):
         a = automaton
@@ -244,20 +244,13 @@ class Coder:
         return " ".join([labels[i] for i in np.frombuffer(codes or b"", dtype="<u4").tolist()])
 
 
-_coders: list[tuple[Automaton, Coder]] = []     # a worker's last one: tasks of a job share its tables
-
-
-def _coder(automaton: Automaton) -> Coder:
-    if not _coders or _coders[0][0] is not automaton:
-        _coders[:] = [(automaton, Coder(automaton))]
-    return _coders[0][1]
-
-
 def _mapped(df: DataFrame, automaton: Automaton, col: str, keep, fields, row, binary=False) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(automaton)
 
     def make():
-        coder = _coder(shared.value)
+        # The task's own: a worker outlives the stage, and its tables would
+        # stand beside all that the executor does next (built in 0.1 s).
+        coder = Coder(shared.value)
         return lambda values: [list(c) for c in zip(*[row(coder, v) for v in values])] or [[] for _ in fields]
 
     return map_texts(df, col, keep, fields, make, binary)

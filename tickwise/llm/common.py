@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of the driver's ``rows``, handed over as Arrow: rows of plain
+    Python go through Python workers of their own, which then stay beside
+    those of the operators in each executor's memory."""
+    fields = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows)) or [()] * len(arrow)
+    return spark.createDataFrame(
+        pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), fields)
+
+
 def remainder_is(id_col: str, mod: int, rem: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``rem`` (null id: no)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == rem, F.lit(False))

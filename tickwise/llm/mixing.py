@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import fresh
+from tickwise.llm.common import fresh, local_rows
 from tickwise.session import stored
 
 MAX_PATTERNS = 100_000
@@ -136,7 +136,7 @@ class Plan:
 
     def frame(self, spark) -> DataFrame:
         rows = [(p, n, self.last_key[p]) for p, n in self.passes.items()]
-        return spark.createDataFrame(rows, "pattern string, passes int, last_key bigint")
+        return local_rows(spark, rows, "pattern string, passes int, last_key bigint")
 
 
 def copies() -> Column:
@@ -153,7 +153,7 @@ def _last_keys(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
     for shift in range(_KEY_BITS - _DIGIT, -1, -_DIGIT):
         if not prefix:
             break
-        at = F.broadcast(spark.createDataFrame(list(prefix.items()), "pattern string, prefix bigint"))
+        at = F.broadcast(local_rows(spark, list(prefix.items()), "pattern string, prefix bigint"))
         inside = rows.join(at, "pattern").where(
             F.shiftrightunsigned("key", shift + _DIGIT) == F.col("prefix"))
         sums = (inside.groupBy("pattern", F.shiftrightunsigned("key", shift).alias("part"))
@@ -161,7 +161,7 @@ def _last_keys(rows: DataFrame, rest: dict[str, int]) -> dict[str, int]:
         # Digits are at most 512 a pattern: a small window, one row a pattern out.
         run = Window.partitionBy("pattern").orderBy("part")
         sums = sums.withColumn("upto", F.sum("size").over(run))
-        need = F.broadcast(spark.createDataFrame(list(left.items()), "pattern string, need bigint"))
+        need = F.broadcast(local_rows(spark, list(left.items()), "pattern string, need bigint"))
         found = (sums.join(need, "pattern").where("upto > need")
                  .groupBy("pattern").agg(F.min(F.struct("part", "upto", "size")).alias("x"))
                  .select("pattern", "x.*").collect())
@@ -217,8 +217,8 @@ def mix_sizes(docs: DataFrame, text: str = "text", source: str = "source", id_co
     names = {x: json.loads(x)[0] for x in p.passes}
     table = [(x, n, p.last_key[x], p.source_size[names[x]], p.target[names[x]]) for x, n in p.passes.items()]
     # A row a pattern: at most MAX_PATTERNS, as plan() has checked.
-    of_pattern = F.broadcast(spark.createDataFrame(
-        table, "pattern string, passes int, last_key bigint, source_size bigint, target double"))
+    of_pattern = F.broadcast(local_rows(
+        spark, table, "pattern string, passes int, last_key bigint, source_size bigint, target double"))
     return rows.join(of_pattern, "pattern").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * copies()).alias("taken"))
 
