@@ -68,11 +68,16 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for b in batches:
+
+        def added(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = b.column(n_keep)
             texts = (texts.cast(pa.binary()) if binary else texts).to_pylist()
             out = [pa.array(v, t) for v, t in zip(f(texts), out_types)]
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n_keep)] + out, names)
+            return pa.RecordBatch.from_arrays([b.column(i) for i in range(n_keep)] + out, names)
+
+        yield from map(added, batches)
+        # A worker that waits for its next task gives the freed batches back.
+        pa.default_memory_pool().release_unused()
 
     picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(col))
     return picked.mapInArrow(run, schema)
